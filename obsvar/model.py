@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -23,12 +24,30 @@ class DatasetError(ValueError):
     """A request the dataset cannot answer; raised before any plan is built."""
 
 
+class Components(Mapping):
+    """Named matrices whose plans are made when they are first asked for."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers, self._made = dict(makers), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 @dataclass(frozen=True)
 class Raw:
     var: DataFrame
     x: DataFrame | None = None
     x_format: str = "csr"
-    varm: dict[str, DataFrame] = field(default_factory=dict)
+    varm: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -37,11 +56,11 @@ class Dataset:
     var: DataFrame | None = None
     x: DataFrame | None = None
     x_format: str = "csr"
-    layers: dict[str, DataFrame] = field(default_factory=dict)
-    obsm: dict[str, DataFrame] = field(default_factory=dict)
-    varm: dict[str, DataFrame] = field(default_factory=dict)
-    obsp: dict[str, DataFrame] = field(default_factory=dict)
-    varp: dict[str, DataFrame] = field(default_factory=dict)
+    layers: Mapping[str, DataFrame] = field(default_factory=dict)
+    obsm: Mapping[str, DataFrame] = field(default_factory=dict)
+    varm: Mapping[str, DataFrame] = field(default_factory=dict)
+    obsp: Mapping[str, DataFrame] = field(default_factory=dict)
+    varp: Mapping[str, DataFrame] = field(default_factory=dict)
     uns: DataFrame | None = None
     raw: Raw | None = None
     path: str = ""
@@ -75,7 +94,7 @@ class Dataset:
         return pick_member(getattr(self, kind), kind, name, self.path)
 
 
-def pick_member(found: dict[str, DataFrame], kind: str, name: str | None, path: str) -> DataFrame:
+def pick_member(found: Mapping[str, DataFrame], kind: str, name: str | None, path: str) -> DataFrame:
     if not name:
         raise DatasetError(f"{kind} needs the name of a matrix; available: {', '.join(found) or 'none'}")
     if name not in found:

@@ -7,17 +7,17 @@ one scan and not a thousand-branch union. Schema algebra runs on the driver, on
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsvar.functions.naming import column, with_unique_columns
+from obsvar.functions.naming import column, quoted, with_unique_columns
 from obsvar.functions.typing import common_type_of
-from obsvar.model import INDEX_COLUMN, Dataset, DatasetError
+from obsvar.model import INDEX_COLUMN, Components, Dataset, DatasetError
 from obsvar.operators.scans import WIDE_CAP, vector_columns, wide_cells
 from obsvar.operators.variables import has_repeated_names, unique_variable_names
 
@@ -46,27 +46,30 @@ class Collection:
         """A collection of datasets at hand, in the order of their names."""
         if not datasets:
             raise DatasetError("No files found: a collection needs at least one dataset")
-        parts: dict[tuple[str, str | None], list[Part]] = {}
-        for name in sorted(datasets):
-            ds = datasets[name]
-            found = [(("obs", None), ds.obs), (("var", None), ds.var), (("x", None), ds.x)]
-            for kind in ("layers", "obsm", "varm", "obsp", "varp"):
-                found += [((kind, n), df) for n, df in getattr(ds, kind).items()]
-            for key, df in found:
-                if df is not None:
-                    rows = df.select(F.lit(name).alias(FILE), *[column(c) for c in df.columns])
-                    parts.setdefault(key, []).append(Part(rows, (name,)))
-        return Collection(tuple(sorted(datasets)), parts, var_name_column)
-
-    def component(self, kind: str, name: str | None = None, everywhere: bool = True) -> list[Part]:
-        """The parts of a component; every member must have it unless told otherwise."""
+        parts: dict[tuple[str, str | None], list[Callable[[], Part]]] = {}
+
+        def tagged(member: str, kind: str, name: str | None) -> Part:
+            held = getattr(datasets[member], kind)
+            df = held[name] if name else held
+            return Part(df.select(F.lit(member).alias(FILE), *map(column, df.columns)), (member,))
+
+        for member in sorted(datasets):
+            ds = datasets[member]
+            found = [(k, None) for k in ("obs", "var", "x") if getattr(ds, k) is not None]
+            found += [(k, n) for k in ("layers", "obsm", "varm", "obsp", "varp") for n in getattr(ds, k)]
+            for key in found:
+                parts.setdefault(key, []).append(partial(tagged, member, *key))
+        made = {key: partial(lambda makers: [m() for m in makers], makers) for key, makers in parts.items()}
+        return Collection(tuple(sorted(datasets)), Components(made), var_name_column)
+
+    def component(self, kind: str, name: str | None = None) -> list[Part]:
+        """The parts of a component; every member must have it."""
         found = self.parts.get((kind, name), [])
         have = {m for p in found for m in p.members}
         missing = [m for m in self.members if m not in have]
-        label = f"{kind} '{name}'" if name else kind
-        if not found or (everywhere and missing):
-            where = ", ".join(missing) if found else "any dataset"
-            raise DatasetError(f"{label} not found in {where}")
+        if missing:
+            label = f"{kind} '{name}'" if name else kind
+            raise DatasetError(f"{label} not found in {', '.join(missing)}")
         return sorted(found, key=lambda p: p.members[0])
 
 
@@ -255,12 +258,9 @@ def harmonize_x(
     """
     variables = member_variables(col, name_column)
     picked = pick_variables(col, variables, mode, names)
-    place = {n: i for i, n in enumerate(picked)}
     mine = variables.filter(F.col("var_name").isin(picked))
-    slot = F.element_at(
-        F.create_map(*[x for n, i in place.items() for x in (F.lit(n), F.lit(i).cast("bigint"))]),
-        F.col("var_name"),
-    )
+    listed = F.array(*[F.lit(n) for n in picked])
+    slot = (F.array_position(listed, F.col("var_name")) - 1).cast("bigint")
     cells = (
         _cells(col, layer)
         .join(mine.select(FILE, "var_idx", slot.alias("_slot")), [FILE, "var_idx"])
@@ -274,11 +274,11 @@ def harmonize_x(
     presence = mine.groupBy(FILE).agg(F.collect_set(slot).alias("_has"))
     if len(col.members) * len(picked) <= PRESENCE_LIMIT:  # one flag per member and variable
         presence = F.broadcast(presence)
-    zero = F.lit(0).cast(cells.schema["value"].dataType)
-    return wide.join(presence, FILE, "left").select(
+    zero = f"cast(0 as {cells.schema['value'].dataType.simpleString()})"
+    return wide.join(presence, FILE, "left").selectExpr(
         *keys,
         *[
-            F.when(F.array_contains("_has", F.lit(i).cast("bigint")), F.coalesce(column(n), zero)).alias(n)
+            f"if(array_contains(_has, {i}L), coalesce({quoted(n)}, {zero}), null) as {quoted(n)}"
             for i, n in enumerate(picked)
         ],
     )

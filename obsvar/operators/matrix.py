@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsvar.functions.naming import column
-from obsvar.operators.numbering import BUCKET, rank_in_key, running_start
+from obsvar.operators.numbering import BUCKET, running_start
 from obsvar.operators.scans import CONDITIONAL_CAP, wide_cells
 
 
@@ -21,22 +21,33 @@ def to_compressed(
     empty rows get their start too; one closing row carries the number of entries. Positions are
     the row's start plus the rank inside the row, both built from ranged partial counts.
     """
-    stored = cells.groupBy(major).agg(F.count("*").alias("n"))
-    rows = (
-        axis.select(F.col(major).alias("r"))
-        .join(stored.withColumnRenamed(major, "r"), "r", "left")
-        .select("r", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    rows = cells.withColumn("_bucket", F.floor(F.col(minor) / bucket))
+    # counting values keeps the upstream plan equal to that of the entries, so Spark runs it once
+    counts = rows.groupBy(major, "_bucket").agg(F.count("value").alias("n"))
+    sizes = (
+        axis.select(major, F.lit(0).cast("bigint").alias("n"))
+        .unionByName(counts.select(major, "n"))
+        .groupBy(major)
+        .agg(F.sum("n").alias("n"))
     )
-    starts = running_start(rows, "r", "n", "start", bucket)
-    closing = rows.agg(
-        (F.max("r") + 1).cast("bigint").alias("r"), F.sum("n").cast("bigint").alias("start")
+    starts = running_start(sizes, major, "n", "start", bucket)
+    closing = sizes.agg((F.max(major) + 1).alias("r"), F.sum("n").alias("start"))
+    indptr = starts.select(F.col(major).alias("r"), "start").unionByName(closing)
+    before = F.sum("n").over(Window.partitionBy(major).orderBy("_bucket")) - F.col("n")
+    bases = (
+        counts.withColumn("before", before)
+        .join(starts.select(major, "start"), major)
+        .select(major, "_bucket", (F.col("start") + F.col("before")).alias("base"))
     )
-    indptr = starts.select("r", "start").unionByName(closing)
-    ranked = rank_in_key(cells, [major], minor, "_rank", bucket)
-    entries = ranked.join(starts.select(F.col("r").alias(major), "start"), major).select(
-        (F.col("start") + F.col("_rank")).alias("pos"),
-        F.col(minor).alias("idx"),
-        F.col("value").alias("val"),
+    inside = Window.partitionBy(major, "_bucket").orderBy(minor)
+    entries = (
+        rows.withColumn("_rank", F.row_number().over(inside) - 1)
+        .join(bases, [major, "_bucket"])
+        .select(
+            (F.col("base") + F.col("_rank")).alias("pos"),
+            F.col(minor).alias("idx"),
+            F.col("value").alias("val"),
+        )
     )
     return indptr, entries
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsvar.functions.naming import column, with_unique_columns
+from obsvar.functions.naming import column, quoted, with_unique_columns
 from obsvar.functions.text import bool_text
 from obsvar.model import Dataset, DatasetError, pick_member
 from obsvar.operators.variables import resolve_variables, variable_names
@@ -59,37 +59,31 @@ def wide_cells(
     the key, combined on the map side, and no join. The variable filter stands before it, so the
     Parquet scan of the cells can prune on ``var_idx``. Rows of cells without an axis row drop out.
     """
-    value_type = cells.schema["value"].dataType
-    wanted = cells.filter(F.col("var_idx").isin([i for i, _ in picks])).select(
-        *keys, "var_idx", "value", F.lit(False).alias("_axis")
+    value_type = cells.schema["value"].dataType.simpleString()
+    zero = f"cast(0 as {value_type})"
+    wanted = cells.filter(F.col("var_idx").isin([i for i, _ in picks])).selectExpr(
+        *keys, "var_idx", "value", "false as _axis"
     )
-    rows = axis.select(
-        *keys,
-        F.lit(None).cast("bigint").alias("var_idx"),
-        F.lit(None).cast(value_type).alias("value"),
-        F.lit(True).alias("_axis"),
+    rows = axis.selectExpr(
+        *keys, "cast(null as bigint) as var_idx", f"cast(null as {value_type}) as value", "true as _axis"
     )
     both = rows.unionByName(wanted)
-    zero = F.lit(0).cast(value_type)
 
-    def shown(value, name):
-        return (F.coalesce(value, zero) if fill_zero else value).alias(name)
+    def shown(value: str, name: str) -> str:
+        return f"{f'coalesce({value}, {zero})' if fill_zero else value} as {quoted(name)}"
 
+    # columns are given as SQL text: one call to the JVM each, which matters at many columns
     if len(picks) <= CONDITIONAL_CAP:
-        aggregates = [
-            shown(F.max(F.when(F.col("var_idx") == i, F.col("value"))), name) for i, name in picks
-        ]
+        aggregates = [F.expr(shown(f"max(value) filter (where var_idx = {i})", n)) for i, n in picks]
         grouped = both.groupBy(*keys).agg(F.bool_or("_axis").alias("_axis"), *aggregates)
-        return grouped.filter("_axis").select(*keys, *[column(n) for _, n in picks])
-    indices = [i for i, _ in picks]
-    # the axis flag is a pivot value of its own: axis rows carry var_idx -1 there
-    flagged = both.select(
-        *keys, F.when(F.col("_axis"), -1).otherwise(F.col("var_idx")).alias("var_idx"),
-        F.when(F.col("_axis"), zero).otherwise(F.col("value")).alias("value"),
+        return grouped.filter("_axis").drop("_axis")
+    # axis rows carry var_idx -1, a pivot value of its own
+    flagged = both.selectExpr(
+        *keys, "if(_axis, -1, var_idx) as var_idx", f"if(_axis, {zero}, value) as value"
     )
-    pivoted = flagged.groupBy(*keys).pivot("var_idx", [-1, *indices]).agg(F.max("value"))
-    return pivoted.filter(column("-1").isNotNull()).select(
-        *keys, *[shown(column(str(i)), name) for i, name in picks]
+    pivoted = flagged.groupBy(*keys).pivot("var_idx", [-1, *[i for i, _ in picks]]).agg(F.max("value"))
+    return pivoted.filter("`-1` is not null").selectExpr(
+        *keys, *[shown(quoted(str(i)), n) for i, n in picks]
     )
 
 
@@ -186,9 +180,8 @@ def vector_columns(
     matrix: DataFrame, index: Sequence[str], name: str, width: int, extra: Sequence[str] = ()
 ) -> DataFrame:
     """The array column as ``name_0 .. name_{width-1}``; past the end of a vector it is NULL."""
-    return matrix.select(
-        *extra, *index, *[F.get("vec", i).alias(f"{name}_{i}") for i in range(width)]
-    )
+    dims = [f"get(vec, {i}) as {quoted(f'{name}_{i}')}" for i in range(width)]
+    return matrix.selectExpr(*extra, *index, *dims)
 
 
 def pack_columns(df: DataFrame, index: str, columns: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -93,17 +94,8 @@ def unique_variable_names(
     )
 
     def walk(family: pd.DataFrame) -> pd.DataFrame:
-        used, next_suffix, unique_names = set(blocked), {}, []
         family = family.sort_values("var_idx")
-        for name in family["name"]:
-            key, unique = name.lower(), name
-            suffix = next_suffix.get(key, 1)
-            while unique.lower() in used:
-                unique = f"{name}_{suffix}"
-                suffix += 1
-            next_suffix[key] = suffix
-            used.add(unique.lower())
-            unique_names.append(unique)
+        unique_names = _suffixed(list(family["name"]), set(blocked))
         return family[out].assign(unique_name=unique_names)
 
     walked_schema = T.StructType(
@@ -127,31 +119,66 @@ def has_repeated_names(
     return not counts.filter(clash).isEmpty()
 
 
+def _suffixed(names: Sequence[str], used: set[str]) -> list[str]:
+    """Names in order, each repeat with the first free ``_1``, ``_2`` ...; ``used`` is lower case."""
+    next_suffix, out = {}, []
+    for name in names:
+        key, unique = name.lower(), name
+        suffix = next_suffix.get(key, 1)
+        while unique.lower() in used:
+            unique = f"{name}_{suffix}"
+            suffix += 1
+        next_suffix[key] = suffix
+        used.add(unique.lower())
+        out.append(unique)
+    return out
+
+
+def _with_stems(name: str) -> list[str]:
+    """``a_1_2`` -> [a_1_2, a_1, a]."""
+    out = [name]
+    while re.search("_[0-9]+$", out[-1]):
+        out.append(out[-1].rsplit("_", 1)[0])
+    return out
+
+
 def resolve_variables(
     var: DataFrame, name_column: str, names: Sequence[str] | None, cap: int
 ) -> list[tuple[int, str]]:
-    """The ``(var_idx, column name)`` list of a wide scan: at most ``cap`` rows reach the driver."""
+    """The ``(var_idx, column name)`` list of a wide scan, in one small job.
+
+    All variables: at most ``cap`` names reach the driver, where repeats get their suffix. Chosen
+    names: one row per name and stem of it; only if one of those repeats are suffixes worked out.
+    """
     named = variable_names(var, name_column)
-    if has_repeated_names(named):
-        unique = unique_variable_names(named).select("var_idx", "unique_name")
-    else:
-        unique = named.withColumnRenamed("name", "unique_name")
     if names is None:
-        rows = unique.orderBy("var_idx").limit(cap + 1).collect()
+        rows = named.orderBy("var_idx").limit(cap + 1).collect()
         if len(rows) > cap:
             raise DatasetError(
                 f"more than {cap} variables: name the ones to read, or use the long or vector form"
             )
-        return [(r.var_idx, r.unique_name) for r in rows]
+        unique = _suffixed([r.name for r in rows], {"obs_idx"})
+        return [(r.var_idx, u) for r, u in zip(rows, unique)]
+    names = list(dict.fromkeys(names))
     if len(names) > cap:
         raise DatasetError(f"more than {cap} names: use the long or vector form")
-    wanted = list(dict.fromkeys(n.lower() for n in names))
-    rows = unique.filter(F.lower("unique_name").isin(wanted)).collect()
-    found = {r.unique_name.lower(): r.var_idx for r in rows}
+    wanted = [n.lower() for n in names]
+    stems = {s for n in wanted for s in _with_stems(n)}
+    key = F.lower("name").alias("key")
+    rows = (
+        named.filter(F.lower("name").isin(list(stems)))
+        .groupBy(key)
+        .agg(F.count("*").alias("n"), F.min("var_idx").alias("var_idx"))
+        .collect()
+    )
+    found = {r.key: r.var_idx for r in rows}
+    if "obs_idx" in stems or any(r.n > 1 for r in rows):
+        unique = unique_variable_names(named).select("var_idx", F.lower("unique_name").alias("key"))
+        found = {r.key: r.var_idx for r in unique.filter(F.col("key").isin(wanted)).collect()}
     missing = [n for n in names if n.lower() not in found]
     if missing:
         raise DatasetError(f"variables not found: {', '.join(missing)}")
-    return [(found[n.lower()], n) for n in dict.fromkeys(names)]
+    return [(found[n.lower()], n) for n in names]
 
 
 def duplicate_name_audit(var: DataFrame, name_column: str = INDEX_COLUMN) -> DataFrame:

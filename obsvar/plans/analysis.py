@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsvar.functions.naming import column
+from obsvar.functions.naming import column, quoted
 from obsvar.model import Dataset
 from obsvar.operators.collection import (
     FILE, Collection, common_variables, harmonize_long, harmonize_obs, harmonize_x, member_variables,
@@ -482,5 +482,5 @@ def cross_file_by_kind(
     return (
         obs.join(wide, [FILE, "obs_idx"])
         .groupBy(FILE, column(kind))
-        .agg(*[F.avg(column(g)).alias(f"mean_{g}") for g in genes])
+        .agg(*[F.expr(f"avg({quoted(g)}) as {quoted(f'mean_{g}')}") for g in genes])
     )

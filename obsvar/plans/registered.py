@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsvar.functions.naming import column, with_unique_columns
+from obsvar.functions.naming import quoted, with_unique_columns
 from obsvar.operators import collection as many
 from obsvar.operators import decode, inspect, matrix, numbering, scans, uns, variables
 from obsvar.plans import analysis
@@ -33,11 +33,12 @@ def registered(query: Query) -> Query:
 
 def rounded(df: DataFrame) -> DataFrame:
     """Fractional columns as doubles with six decimals, for comparison across engines."""
-    return df.select(
+    fractional = (T.DoubleType, T.FloatType)
+    return df.selectExpr(
         *[
-            F.round(column(f.name).cast("double"), 6).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else column(f.name)
+            f"round(cast({quoted(f.name)} as double), 6) as {quoted(f.name)}"
+            if isinstance(f.dataType, fractional)
+            else quoted(f.name)
             for f in df.schema.fields
         ]
     )
@@ -245,7 +246,7 @@ def matrix_shape(spark, folder):
 
 @registered
 def assign_index(spark, folder):
-    orders = star.Tables(spark, folder).orders.select("o_custkey", "o_orderkey")
+    orders = star.tables(spark, folder).orders.select("o_custkey", "o_orderkey")
     return numbering.assign_index(orders, ["o_custkey", "o_orderkey"], "obs_idx")
 
 

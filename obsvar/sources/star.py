@@ -11,10 +11,12 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsvar.model import Dataset, Raw
+from obsvar.model import Components, Dataset, Raw
 from obsvar.operators.collection import Collection
 
 # Size axis and own metric column of each member of ``by_flag``.
@@ -28,13 +30,20 @@ SLICE_WIDTHS = {"slice_1": 11, "slice_2": 12, "slice_3": 13}
 
 
 class Tables:
-    """The Parquet tables of one folder, read on access."""
+    """The Parquet tables of one folder, opened on access and kept, so that each footer is read once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
+
+
+@lru_cache(maxsize=8)
+def tables(spark: SparkSession, folder: str) -> Tables:
+    return Tables(spark, folder)
 
 
 def exact_sum(amount: str) -> Column:
@@ -83,7 +92,7 @@ def part_var(t: Tables) -> DataFrame:
 
 
 def expression(spark: SparkSession, folder: str) -> Dataset:
-    t = Tables(spark, folder)
+    t = tables(spark, folder)
     cell = [F.col("l_suppkey").alias("obs_idx"), F.col("l_partkey").alias("var_idx")]
     by_cell = t.lineitem.groupBy(*cell)
     x = by_cell.agg(F.sum("l_quantity").alias("value"))
@@ -91,25 +100,29 @@ def expression(spark: SparkSession, folder: str) -> Dataset:
         obs=supplier_obs(t),
         var=part_var(t),
         x=x,
-        layers={
-            "counts": by_cell.agg(F.count("*").cast("int").alias("value")),
-            "lognorm": x.withColumn("value", F.log1p("value")),
-            "price": by_cell.agg(exact_sum("l_extendedprice").alias("value")),
-        },
-        varm={
-            "stats": t.part.select(
-                F.col("p_partkey").alias("var_idx"),
-                F.array(F.col("p_size").cast("double"), "p_retailprice").alias("vec"),
-            )
-        },
-        obsp={"lead": lead_pairs(t.lineitem, "l_suppkey", "obs_idx")},
-        varp={"lead": lead_pairs(t.lineitem, "l_partkey", "var_idx")},
+        layers=Components(
+            {
+                "counts": lambda: by_cell.agg(F.count("*").cast("int").alias("value")),
+                "lognorm": lambda: x.withColumn("value", F.log1p("value")),
+                "price": lambda: by_cell.agg(exact_sum("l_extendedprice").alias("value")),
+            }
+        ),
+        varm=Components(
+            {
+                "stats": lambda: t.part.select(
+                    F.col("p_partkey").alias("var_idx"),
+                    F.array(F.col("p_size").cast("double"), "p_retailprice").alias("vec"),
+                )
+            }
+        ),
+        obsp=Components({"lead": lambda: lead_pairs(t.lineitem, "l_suppkey", "obs_idx")}),
+        varp=Components({"lead": lambda: lead_pairs(t.lineitem, "l_partkey", "var_idx")}),
         path=f"{t.folder}/expression",
     )
 
 
 def panel(spark: SparkSession, folder: str) -> Dataset:
-    t = Tables(spark, folder)
+    t = tables(spark, folder)
     brand_idx = (F.regexp_extract("p_brand", "[0-9]+$", 0).cast("bigint") - 1).alias("var_idx")
     by_cell = t.lineitem.join(
         t.part.select(F.col("p_partkey").alias("l_partkey"), brand_idx), "l_partkey"
@@ -127,7 +140,9 @@ def panel(spark: SparkSession, folder: str) -> Dataset:
         ),
         var=var.withColumn("gene_id", F.format_string("ENSB%05d", "var_idx")),
         x=by_cell.agg(F.sum("l_quantity").alias("value")),
-        layers={"raw_counts": by_cell.agg(F.count("*").cast("int").alias("value"))},
+        layers=Components(
+            {"raw_counts": lambda: by_cell.agg(F.count("*").cast("int").alias("value"))}
+        ),
         path=f"{t.folder}/panel",
     )
 
@@ -151,12 +166,10 @@ def _size_cells(lines: DataFrame, part: DataFrame, low: int, high: int):
 
 
 def sized(spark: SparkSession, folder: str) -> Dataset:
-    t = Tables(spark, folder)
+    t = tables(spark, folder)
     quantity = F.sum("l_quantity").alias("value")
     raw_var = _size_var(t.part, 1, RAW_SIZES)
-    profile = raw_var.select(
-        "var_idx", F.array(F.col("n_parts").cast("double"), F.col("price")).alias("vec")
-    )
+    profile = F.array(F.col("n_parts").cast("double"), F.col("price")).alias("vec")
     return Dataset(
         obs=supplier_obs(t),
         var=_size_var(t.part, 1, MAIN_SIZES),
@@ -164,14 +177,14 @@ def sized(spark: SparkSession, folder: str) -> Dataset:
         raw=Raw(
             var=raw_var,
             x=_size_cells(t.lineitem, t.part, 1, RAW_SIZES).agg(quantity),
-            varm={"profile": profile},
+            varm=Components({"profile": lambda: raw_var.select("var_idx", profile)}),
         ),
         path=f"{t.folder}/sized",
     )
 
 
 def embedding(spark: SparkSession, folder: str) -> Dataset:
-    t = Tables(spark, folder)
+    t = tables(spark, folder)
     vec = t.embeddings.select(F.col("vec_id").alias("obs_idx"), F.col("embedding").alias("vec"))
     return Dataset(
         obs=t.embeddings.select(
@@ -219,21 +232,21 @@ def _flag_member(t: Tables, flag: str) -> Dataset:
         obs=obs,
         var=var if flag == "A" else var.drop("price"),
         x=by_cell.agg(F.sum("l_quantity").alias("value")),
-        layers={"counts": by_cell.agg(F.count("*").cast("int").alias("value"))},
-        varm={"stats": var.select("var_idx", F.array(*stats).alias("vec"))},
-        obsp={"lead": lead_pairs(lines, "l_suppkey", "obs_idx")},
-        varp={"lead": lead_pairs(lines, "l_partkey", "var_idx")},
+        layers=Components({"counts": lambda: by_cell.agg(F.count("*").cast("int").alias("value"))}),
+        varm=Components({"stats": lambda: var.select("var_idx", F.array(*stats).alias("vec"))}),
+        obsp=Components({"lead": lambda: lead_pairs(lines, "l_suppkey", "obs_idx")}),
+        varp=Components({"lead": lambda: lead_pairs(lines, "l_partkey", "var_idx")}),
         path=f"flag_{flag}",
     )
 
 
 def by_flag(spark: SparkSession, folder: str) -> Collection:
-    t = Tables(spark, folder)
+    t = tables(spark, folder)
     return Collection.of({f"flag_{f}": _flag_member(t, f) for f in FLAG_MEMBERS})
 
 
 def slices(spark: SparkSession, folder: str) -> Collection:
-    t = Tables(spark, folder)
+    t = tables(spark, folder)
     obs = t.embeddings.select(F.col("vec_id").alias("obs_idx"), "label")
     return Collection.of(
         {
@@ -252,27 +265,21 @@ def slices(spark: SparkSession, folder: str) -> Collection:
 
 def metadata(spark: SparkSession, folder: str) -> DataFrame:
     """``(dataset, tree struct)``: one nested metadata object per event type."""
-    events = Tables(spark, folder).events
-    hour = F.hour("ts")
+    events = tables(spark, folder).events
+    by_hour = ", ".join(f"count_if(hour(ts) = {h})" for h in range(24))
+    by_quarter = ", ".join(
+        "array(" + ", ".join(f"count_if(hour(ts) div 6 = {q} and k % 3 = {m})" for m in range(3)) + ")"
+        for q in range(4)
+    )
     k = F.get_json_object("props", "$.k").cast("int")
-
-    def count_if(condition: Column) -> Column:
-        return F.count_if(condition)
-
-    quarter = F.floor(hour / 6)
-    counted = events.groupBy(F.col("event_type").alias("dataset")).agg(
+    counted = events.withColumn("k", k).groupBy(F.col("event_type").alias("dataset")).agg(
         F.count("*").alias("n"),
         (exact_sum("value") / F.count("*")).alias("mean"),
         F.max("value").alias("max"),
         F.count_distinct("user_id").alias("n_users"),
-        F.max(k).alias("k_max"),
-        F.array(*[count_if(hour == h) for h in range(24)]).alias("counts"),
-        F.array(
-            *[
-                F.array(*[count_if((quarter == q) & (k % 3 == m)) for m in range(3)])
-                for q in range(4)
-            ]
-        ).alias("grid"),
+        F.max("k").alias("k_max"),
+        F.expr(f"array({by_hour}) as counts"),
+        F.expr(f"array({by_quarter}) as grid"),
     )
     tree = F.struct(
         F.upper("dataset").alias("title"),
@@ -282,7 +289,7 @@ def metadata(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(
             F.struct("n_users", "k_max").alias("limits"), F.lit(0.1).alias("rate")
         ).alias("params"),
-        F.struct(F.array(*[F.lit(h) for h in range(24)]).alias("hours"), "counts").alias("hist"),
+        F.struct(F.expr("sequence(0, 23) as hours"), "counts").alias("hist"),
         F.col("grid"),
     )
     return counted.select("dataset", tree.alias("tree"))
