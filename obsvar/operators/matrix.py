@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsvar.functions.naming import column
-from obsvar.operators.numbering import BUCKET, running_start
+from obsvar.operators.numbering import BUCKET, bucket_of, running_start
 from obsvar.operators.scans import CONDITIONAL_CAP, wide_cells
 
 
@@ -21,7 +21,7 @@ def to_compressed(
     empty rows get their start too; one closing row carries the number of entries. Positions are
     the row's start plus the rank inside the row, both built from ranged partial counts.
     """
-    rows = cells.withColumn("_bucket", F.floor(F.col(minor) / bucket))
+    rows = cells.withColumn("_bucket", bucket_of(minor, bucket))
     # counting values keeps the upstream plan equal to that of the entries, so Spark runs it once
     counts = rows.groupBy(major, "_bucket").agg(F.count("value").alias("n"))
     sizes = (
@@ -61,10 +61,19 @@ def from_compressed(
     at the first of its positions there, and each entry takes the row of the last mark before it.
     The entries are shuffled once, and a row that owns a third of them is spread over many ranges.
     """
-    following = indptr.select((F.col("r") - 1).alias("r"), F.col("start").alias("end"))
-    owned = indptr.join(following, "r").filter("end > start")
-    first, last = F.floor(F.col("start") / bucket), F.floor((F.col("end") - 1) / bucket)
-    marks = owned.select("r", "start", F.explode(F.sequence(first, last)).alias("_bucket"))
+    # every start is also the end of the row before it
+    both_ends = F.expr(
+        "inline(array(named_struct('r', r, 'start', start, 'end', null),"
+        " named_struct('r', r - 1, 'start', null, 'end', start)))"
+    )
+    owned = (
+        indptr.select(both_ends)
+        .groupBy("r")
+        .agg(F.max("start").alias("start"), F.max("end").alias("end"))
+        .filter("end > start")
+    )
+    spanned = F.expr(f"sequence(start div {bucket}, (end - 1) div {bucket})")
+    marks = owned.select("r", "start", F.explode(spanned).alias("_bucket"))
     idx_type, val_type = entries.schema["idx"].dataType, entries.schema["val"].dataType
     stream = marks.select(
         "_bucket",
@@ -75,7 +84,7 @@ def from_compressed(
         F.lit(None).cast(val_type).alias("val"),
     ).unionByName(
         entries.select(
-            F.floor(F.col("pos") / bucket).alias("_bucket"),
+            bucket_of("pos", bucket).alias("_bucket"),
             "pos",
             F.lit(1).alias("_entry"),
             F.lit(None).cast("bigint").alias("r"),

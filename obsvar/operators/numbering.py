@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsvar.session import materialise
@@ -12,6 +12,15 @@ from obsvar.session import materialise
 BUCKET = 65_536
 
 
+def bucket_of(index: str, bucket: int = BUCKET) -> Column:
+    """The range of ``bucket`` consecutive indices a row falls in.
+
+    Never NULL: a nullable key would make Spark filter one side of each join on it, and two plans
+    that differ in such a filter no longer share their shuffle.
+    """
+    return F.expr(f"coalesce({index} div {bucket}, 0L)")
+
+
 def assign_index(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     """``df`` with a dense 0-based ``name`` in the order of ``order_by`` (a unique key).
 
@@ -42,7 +51,7 @@ def running_start(df: DataFrame, index: str, size: str, out: str, bucket: int =
     Rows are summed inside buckets of ``bucket`` consecutive indices, and only the bucket totals
     (rows / ``bucket`` of them) meet in one window.
     """
-    rows = df.withColumn("_bucket", F.floor(F.col(index) / bucket).cast("bigint"))
+    rows = df.withColumn("_bucket", bucket_of(index, bucket))
     inside = Window.partitionBy("_bucket").orderBy(index)
     totals = rows.groupBy("_bucket").agg(F.sum(size).alias("_total"))
     carried = totals.select(
@@ -63,7 +72,7 @@ def rank_in_key(
     The order axis is cut into ranges, so a key that owns a third of the rows is ranked by many
     tasks; the ranges of a key are put together by a running count over (key, range) totals.
     """
-    rows = df.withColumn("_bucket", F.floor(F.col(order) / bucket).cast("bigint"))
+    rows = df.withColumn("_bucket", bucket_of(order, bucket))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(order)
     counts = rows.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket")) - F.col("_n")
