@@ -110,7 +110,7 @@ def harmonized_schema(parts: Sequence[Part], index: str, mode: str) -> list[T.St
     return out
 
 
-def _harmonize_table(col: Collection, kind: str, index: str, mode: str) -> DataFrame:
+def harmonize_table(col: Collection, kind: str, index: str, mode: str) -> DataFrame:
     parts = [
         Part(with_unique_columns(p.rows), p.members, p.width) for p in col.component(kind)
     ]
@@ -135,12 +135,12 @@ def _harmonize_table(col: Collection, kind: str, index: str, mode: str) -> DataF
 
 def harmonize_obs(col: Collection, mode: str = "intersection") -> DataFrame:
     """Observations of all members: ``_file_name, obs_idx`` and the combined metadata columns."""
-    return _harmonize_table(col, "obs", "obs_idx", mode)
+    return harmonize_table(col, "obs", "obs_idx", mode)
 
 
 def harmonize_var(col: Collection, mode: str = "intersection") -> DataFrame:
     """Variable rows of all members; the mode applies to columns, never to rows."""
-    return _harmonize_table(col, "var", "var_idx", mode)
+    return harmonize_table(col, "var", "var_idx", mode)
 
 
 # --- variables and matrices -------------------------------------------------------------------

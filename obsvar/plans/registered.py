@@ -138,7 +138,7 @@ def multi_file_scan(spark, folder):
     }
     col = files.read_tables(spark, [f"{folder}/p*t.parquet", f"{folder}/*[pm]*er.parquet",
                                     f"{folder}/supplie?.parquet"], shared)
-    return many._harmonize_table(col, "obs", "key", "intersection")
+    return many.harmonize_table(col, "obs", "key", "intersection")
 
 
 @registered

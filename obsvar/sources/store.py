@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsvar.functions.naming import column
+from obsvar.functions.naming import column, quoted
 from obsvar.model import INDEX_COLUMN, Dataset, DatasetError, Raw
 from obsvar.operators.collection import FILE, Collection, Part
 from obsvar.operators.inspect import dataset_info, table_names, validate
@@ -181,9 +181,9 @@ def create_views(ds: Dataset, alias: str) -> list[str]:
         if not narrow and (table == "X" or prefix == "layers_"):
             continue
         frame = by_prefix[prefix](ds, table[len(prefix):]) if prefix else makers[table]()
-        frame.createOrReplaceTempView(f"{alias}_{table}")
+        frame.createOrReplaceTempView(quoted(f"{alias}_{table}"))
         created.append(f"{alias}_{table}")
     if "X" in table_names(ds):
-        scan_x_long(ds).createOrReplaceTempView(f"{alias}_X_long")
+        scan_x_long(ds).createOrReplaceTempView(quoted(f"{alias}_X_long"))
         created.append(f"{alias}_X_long")
     return created
