@@ -23,7 +23,8 @@ from obsvar.operators.variables import has_repeated_names, unique_variable_names
 
 FILE = "_file_name"
 MODES = ("intersection", "union")
-PRESENCE_LIMIT = 5_000_000
+BROADCAST_ROWS = 1_000_000  # of (member, variable) rows, some tens of bytes each
+PUSHED_INDICES = 1_000
 
 
 @dataclass(frozen=True)
@@ -258,27 +259,33 @@ def harmonize_x(
     """
     variables = member_variables(col, name_column)
     picked = pick_variables(col, variables, mode, names)
-    mine = variables.filter(F.col("var_name").isin(picked))
     listed = F.array(*[F.lit(n) for n in picked])
     slot = (F.array_position(listed, F.col("var_name")) - 1).cast("bigint")
-    cells = (
-        _cells(col, layer)
-        .join(mine.select(FILE, "var_idx", slot.alias("_slot")), [FILE, "var_idx"])
-        .select(FILE, "obs_idx", F.col("_slot").alias("var_idx"), "value")
+    mine = variables.filter(F.col("var_name").isin(picked)).select(FILE, "var_idx", slot.alias("_slot"))
+    # names are unique inside a member, so this bounds the rows of ``mine`` and of what is made of it
+    small = len(col.members) * len(picked) <= BROADCAST_ROWS
+    cells = _cells(col, layer)
+    if names is not None:
+        indices = [r.var_idx for r in mine.select("var_idx").distinct().take(PUSHED_INDICES + 1)]
+        if len(indices) <= PUSHED_INDICES:  # lets the scan of stored cells skip row groups
+            cells = cells.filter(F.col("var_idx").isin(indices))
+    cells = cells.join(F.broadcast(mine) if small else mine, [FILE, "var_idx"]).select(
+        FILE, "obs_idx", F.col("_slot").alias("var_idx"), "value"
     )
     axis = _stack([p.rows.select(FILE, "obs_idx") for p in col.component("obs")])
     keys = [FILE, "obs_idx"]
     if mode == "intersection":
         return wide_cells(axis, cells, list(enumerate(picked)), keys)
     wide = wide_cells(axis, cells, list(enumerate(picked)), keys, fill_zero=False)
-    presence = mine.groupBy(FILE).agg(F.collect_set(slot).alias("_has"))
-    if len(col.members) * len(picked) <= PRESENCE_LIMIT:  # one flag per member and variable
-        presence = F.broadcast(presence)
+    has = F.collect_set("_slot")
+    slots = F.sequence(F.lit(0).cast("bigint"), F.lit(len(picked) - 1).cast("bigint"))
+    flags = F.transform(slots, lambda i: F.array_contains(has, i))
+    presence = mine.groupBy(FILE).agg(flags.alias("_has"))
     zero = f"cast(0 as {cells.schema['value'].dataType.simpleString()})"
-    return wide.join(presence, FILE, "left").selectExpr(
+    return wide.join(F.broadcast(presence) if small else presence, FILE, "left").selectExpr(
         *keys,
         *[
-            f"if(array_contains(_has, {i}L), coalesce({quoted(n)}, {zero}), null) as {quoted(n)}"
+            f"if(get(_has, {i}), coalesce({quoted(n)}, {zero}), null) as {quoted(n)}"
             for i, n in enumerate(picked)
         ],
     )

@@ -301,9 +301,9 @@ def gene_set_score(
     return out
 
 
-def _per_variable(ds: Dataset) -> DataFrame:
+def _per_variable(ds: Dataset, cells: DataFrame) -> DataFrame:
     n_obs = _one(ds.require_obs(), F.count("*"))
-    return ds.require_x().groupBy("var_idx").agg(
+    return cells.groupBy("var_idx").agg(
         F.count_if(F.col("value") > 0).alias("n_cells"), F.sum("value").alias("_total")
     ).select("var_idx", "n_cells", (F.col("_total") / n_obs).alias("mean_counts"))
 
@@ -312,8 +312,7 @@ def top_features(ds: Dataset, marker: str, limit: int = 20) -> DataFrame:
     """Flagged variables with the highest mean over all observations."""
     chosen = ds.require_var().filter(column(marker)).select("var_idx")
     return (
-        _per_variable(ds)
-        .join(chosen, "var_idx", "left_semi")
+        _per_variable(ds, ds.require_x().join(chosen, "var_idx", "left_semi"))
         .orderBy(F.desc("mean_counts"), "var_idx")
         .limit(limit)
     )
@@ -322,7 +321,7 @@ def top_features(ds: Dataset, marker: str, limit: int = 20) -> DataFrame:
 def high_expression(ds: Dataset, min_mean: float = 1.0, limit: int = 20) -> DataFrame:
     """Variables with a mean over ``min_mean``, highest first."""
     return (
-        _per_variable(ds)
+        _per_variable(ds, ds.require_x())
         .filter(F.col("mean_counts") > min_mean)
         .orderBy(F.desc("mean_counts"), "var_idx")
         .limit(limit)

@@ -41,7 +41,11 @@ class Tables:
         return table
 
 
-@lru_cache(maxsize=8)
+# plans are immutable: a session makes those of a folder once and shares them between queries
+per_session = lru_cache(maxsize=8)
+
+
+@per_session
 def tables(spark: SparkSession, folder: str) -> Tables:
     return Tables(spark, folder)
 
@@ -91,6 +95,7 @@ def part_var(t: Tables) -> DataFrame:
     )
 
 
+@per_session
 def expression(spark: SparkSession, folder: str) -> Dataset:
     t = tables(spark, folder)
     cell = [F.col("l_suppkey").alias("obs_idx"), F.col("l_partkey").alias("var_idx")]
@@ -121,6 +126,7 @@ def expression(spark: SparkSession, folder: str) -> Dataset:
     )
 
 
+@per_session
 def panel(spark: SparkSession, folder: str) -> Dataset:
     t = tables(spark, folder)
     brand_idx = (F.regexp_extract("p_brand", "[0-9]+$", 0).cast("bigint") - 1).alias("var_idx")
@@ -165,6 +171,7 @@ def _size_cells(lines: DataFrame, part: DataFrame, low: int, high: int):
     return lines.join(sizes, "l_partkey").groupBy(F.col("l_suppkey").alias("obs_idx"), "var_idx")
 
 
+@per_session
 def sized(spark: SparkSession, folder: str) -> Dataset:
     t = tables(spark, folder)
     quantity = F.sum("l_quantity").alias("value")
@@ -183,6 +190,7 @@ def sized(spark: SparkSession, folder: str) -> Dataset:
     )
 
 
+@per_session
 def embedding(spark: SparkSession, folder: str) -> Dataset:
     t = tables(spark, folder)
     vec = t.embeddings.select(F.col("vec_id").alias("obs_idx"), F.col("embedding").alias("vec"))
@@ -240,11 +248,13 @@ def _flag_member(t: Tables, flag: str) -> Dataset:
     )
 
 
+@per_session
 def by_flag(spark: SparkSession, folder: str) -> Collection:
     t = tables(spark, folder)
     return Collection.of({f"flag_{f}": _flag_member(t, f) for f in FLAG_MEMBERS})
 
 
+@per_session
 def slices(spark: SparkSession, folder: str) -> Collection:
     t = tables(spark, folder)
     obs = t.embeddings.select(F.col("vec_id").alias("obs_idx"), "label")
@@ -263,6 +273,7 @@ def slices(spark: SparkSession, folder: str) -> Collection:
     )
 
 
+@per_session
 def metadata(spark: SparkSession, folder: str) -> DataFrame:
     """``(dataset, tree struct)``: one nested metadata object per event type."""
     events = tables(spark, folder).events

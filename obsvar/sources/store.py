@@ -133,7 +133,8 @@ def open_dataset(
 
 def member_name(path: Column, depth: int) -> Column:
     """The dataset folder's name, from the path of one of its component files."""
-    return F.url_decode(F.element_at(F.split(path, "/"), -(2 + depth)))
+    folder = F.element_at(F.split(path, "/"), -(1 + depth))
+    return F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
 
 
 def open_collection(spark: SparkSession, pattern: str, var_name_column: str = INDEX_COLUMN) -> Collection:
@@ -151,7 +152,7 @@ def open_collection(spark: SparkSession, pattern: str, var_name_column: str = IN
     for (kind, name, schema, width), roots in grouped.items():
         entry = {"schema": json.loads(schema)}
         rows = spark.read.schema(_schema(entry)).parquet(*[_folder(r, kind, name) for r in roots])
-        file_name = member_name(F.col("_metadata.file_path"), 2 if name else 1)
+        file_name = member_name(F.col("_metadata.file_path"), 3 if name else 2)
         tagged = rows.select(file_name.alias(FILE), *[column(c) for c in rows.columns])
         members = tuple(sorted(names[r] for r in roots))
         parts.setdefault((kind, name), []).append(Part(tagged, members, width))

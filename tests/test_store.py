@@ -123,6 +123,14 @@ def test_collection_from_disk_equals_the_one_in_memory(spark, tmp_path):
         store.open_collection(spark, f"{tmp_path}/other_*")
 
 
+def test_odd_member_names(spark, tmp_path):
+    for name in ("a+b", "a c", "a%d"):
+        store.save_dataset(sample(spark, 1), f"{tmp_path}/{name}")
+    col = store.open_collection(spark, f"{tmp_path}/a*")
+    found = {r[0] for r in many.concat_obsp(col, "distances").select("_file_name").collect()}
+    assert found == set(col.members) == {"a+b", "a c", "a%d"}
+
+
 def test_plain_files(spark, tmp_path):
     spark.range(3).select("id", F.lit("a").alias("left_only")).coalesce(1).write.parquet(f"{tmp_path}/one")
     spark.range(2).selectExpr("id as key").coalesce(1).write.parquet(f"{tmp_path}/two")
