@@ -19,7 +19,7 @@ from obsvar.functions.naming import column, quoted, with_unique_columns
 from obsvar.functions.typing import common_type_of
 from obsvar.model import INDEX_COLUMN, Components, Dataset, DatasetError
 from obsvar.operators.scans import WIDE_CAP, vector_columns, wide_cells
-from obsvar.operators.variables import has_repeated_names, unique_variable_names
+from obsvar.operators.variables import has_repeated_names, name_stems, unique_variable_names
 
 FILE = "_file_name"
 MODES = ("intersection", "union")
@@ -149,13 +149,69 @@ def harmonize_var(col: Collection, mode: str = "intersection") -> DataFrame:
 
 def member_variables(col: Collection, name_column: str | None = None) -> DataFrame:
     """``(_file_name, var_idx, var_name)`` with repeats renamed inside each member first."""
-    named = _stack(
-        [variable_names_of(p, name_column or col.var_name_column) for p in col.component("var")]
-    )
+    named = _named(col, name_column)
     if has_repeated_names(named, [FILE]):
-        unique = unique_variable_names(named, [FILE])
-        return unique.select(FILE, "var_idx", F.col("unique_name").alias("var_name"))
-    return named.select(FILE, "var_idx", F.col("name").alias("var_name"))
+        return _renamed(named)
+    return named.withColumnRenamed("name", "var_name")
+
+
+def _named(col: Collection, name_column: str | None) -> DataFrame:
+    chosen = name_column or col.var_name_column
+    return _stack([variable_names_of(p, chosen) for p in col.component("var")])
+
+
+def _renamed(named: DataFrame) -> DataFrame:
+    unique = unique_variable_names(named, [FILE])
+    return unique.select(FILE, "var_idx", F.col("unique_name").alias("var_name"))
+
+
+def _variables_and_picks(
+    col: Collection, mode: str, names: Sequence[str] | None, name_column: str | None
+) -> tuple[DataFrame, list[str], list[int] | None]:
+    """Variables of all members, the columns of a wide view, and their indices if they are few.
+
+    One small job in the common case. Where a member repeats a name that matters here, the names
+    are made unique first and picked afterwards.
+    """
+    _check_mode(mode)
+    named = _named(col, name_column)
+    key = F.lower("name").alias("key")
+    per_member = named.groupBy(FILE, key).agg(
+        F.count("*").alias("n"), F.min("name").alias("name"), F.min("var_idx").alias("var_idx")
+    )
+    if names is not None:
+        stems = {s for n in names for s in name_stems(n.lower())}
+        per_member = per_member.filter(F.col("key").isin(list(stems)))
+    by_name = per_member.groupBy("name").agg(
+        F.count("*").alias("n_files"),
+        F.bool_or((F.col("n") > 1) | (F.col("key") == "obs_idx")).alias("clash"),
+        F.min(F.struct(FILE, "var_idx")).alias("first_seen"),
+        # one index per member at most
+        (F.collect_set("var_idx") if names is not None else F.lit(None)).alias("indices"),
+    )
+    everywhere = F.col("n_files") == len(col.members)
+    if names is None and mode == "intersection":
+        by_name = by_name.filter(everywhere | F.col("clash"))
+    by_name = by_name.orderBy(F.desc("clash"), "first_seen")
+    # chosen names bound the rows themselves: one per name and stem of it
+    rows = (by_name.limit(WIDE_CAP + 1) if names is None else by_name).collect()
+    plain = named.withColumnRenamed("name", "var_name")
+    if rows and rows[0].clash:
+        variables = _renamed(named)
+        return variables, pick_variables(col, variables, mode, names), None
+    if names is None:
+        if not rows or len(rows) > WIDE_CAP:
+            pick_variables(col, plain, mode)  # says what is wrong
+        return plain, [r.name for r in rows], None
+    picked = list(dict.fromkeys(names))
+    found = {r.name: r for r in rows}
+    lacking = mode == "intersection" and any(
+        n not in found or found[n].n_files < len(col.members) for n in picked
+    )
+    if lacking or len(picked) > WIDE_CAP:
+        pick_variables(col, plain, mode, names)  # says what is wrong
+    indices = sorted({i for n in picked if n in found for i in found[n].indices})
+    return plain, picked, indices if len(indices) <= PUSHED_INDICES else None
 
 
 def variable_names_of(part: Part, name_column: str) -> DataFrame:
@@ -257,18 +313,15 @@ def harmonize_x(
 
     A variable a member has shows 0 where nothing is stored; one it does not have shows NULL.
     """
-    variables = member_variables(col, name_column)
-    picked = pick_variables(col, variables, mode, names)
+    variables, picked, indices = _variables_and_picks(col, mode, names, name_column)
     listed = F.array(*[F.lit(n) for n in picked])
     slot = (F.array_position(listed, F.col("var_name")) - 1).cast("bigint")
     mine = variables.filter(F.col("var_name").isin(picked)).select(FILE, "var_idx", slot.alias("_slot"))
     # names are unique inside a member, so this bounds the rows of ``mine`` and of what is made of it
     small = len(col.members) * len(picked) <= BROADCAST_ROWS
     cells = _cells(col, layer)
-    if names is not None:
-        indices = [r.var_idx for r in mine.select("var_idx").distinct().take(PUSHED_INDICES + 1)]
-        if len(indices) <= PUSHED_INDICES:  # lets the scan of stored cells skip row groups
-            cells = cells.filter(F.col("var_idx").isin(indices))
+    if indices is not None:  # lets the scan of stored cells skip row groups
+        cells = cells.filter(F.col("var_idx").isin(indices))
     cells = cells.join(F.broadcast(mine) if small else mine, [FILE, "var_idx"]).select(
         FILE, "obs_idx", F.col("_slot").alias("var_idx"), "value"
     )

@@ -134,7 +134,7 @@ def _suffixed(names: Sequence[str], used: set[str]) -> list[str]:
     return out
 
 
-def _with_stems(name: str) -> list[str]:
+def name_stems(name: str) -> list[str]:
     """``a_1_2`` -> [a_1_2, a_1, a]."""
     out = [name]
     while re.search("_[0-9]+$", out[-1]):
@@ -163,7 +163,7 @@ def resolve_variables(
     if len(names) > cap:
         raise DatasetError(f"more than {cap} names: use the long or vector form")
     wanted = [n.lower() for n in names]
-    stems = {s for n in wanted for s in _with_stems(n)}
+    stems = {s for n in wanted for s in name_stems(n)}
     key = F.lower("name").alias("key")
     rows = (
         named.filter(F.lower("name").isin(list(stems)))
