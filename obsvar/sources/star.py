@@ -33,7 +33,7 @@ class Tables:
     """The Parquet tables of one folder, opened on access and kept, so that each footer is read once."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+        self.spark, self.folder = spark, str(folder).rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
         table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
