@@ -10,6 +10,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 import __spark_entry__ as contract  # noqa: E402
 from compare import connect, table  # noqa: E402
 
+from obsvar.plans.oracle import SQL  # noqa: E402
+from obsvar.plans.registered import QUERIES  # noqa: E402
+
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
 
@@ -20,14 +23,16 @@ def other():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert QUERIES.items() <= contract.queries().items()
+    assert SQL.items() <= contract.oracle_sql().items()
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, other, name):
     df = contract.queries()[name](spark, FOLDER)
     found = df.collect()
