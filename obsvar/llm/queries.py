@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsvar.llm import decontaminate, mixing, quality, shards
+from obsvar.llm import decontaminate, jaccard, mixing, quality, shards
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op3_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.similar_groups(docs, words=4, percent=85)
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "source", "mix.size", "mix.source_size", "mix.target", "mix.epochs", "mix.taken")
@@ -47,6 +52,7 @@ QUERIES = {
         op1_quality_repetition,
         op2_decontaminate,
         op3_shards,
+        op5_jaccard_join,
         op8_mixing,
     )
 }

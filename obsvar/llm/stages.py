@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsvar.llm import decontaminate, shards
+from obsvar.llm import decontaminate, jaccard, shards
 from obsvar.llm import mixing as mixes
 
 
@@ -14,7 +14,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+    """Of every group of near copies (five words, 0.8) the document with the smallest id stays."""
+    groups = jaccard.similar_groups(docs, words=5, percent=80)
+    gone = groups.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
