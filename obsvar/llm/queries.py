@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsvar.llm import decontaminate, jaccard, mixing, quality, shards
+from obsvar.llm import decontaminate, jaccard, mixing, quality, shards, toxicity
+from obsvar.llm.textblocks import crc_slot
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +42,18 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_groups(docs, words=4, percent=85)
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.expr(f"{crc_slot('doc_id')} % 5 = 0")
+    labels = table(spark, folder, "labels").filter(~held_out)
+    found = toxicity.scored(docs, toxicity.fit(docs, labels))
+    score = F.col("toxicity.score")
+    return found.select(
+        "doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"),
+        F.col("toxicity.evidence").alias("evidence"),
+    )
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "source", "mix.size", "mix.source_size", "mix.target", "mix.epochs", "mix.taken")
@@ -53,6 +66,7 @@ QUERIES = {
         op2_decontaminate,
         op3_shards,
         op5_jaccard_join,
+        op7_toxicity,
         op8_mixing,
     )
 }

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from obsvar.llm import decontaminate, jaccard, shards
 from obsvar.llm import mixing as mixes
+from obsvar.llm import toxicity as toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+    """Documents whose toxicity score reaches one half go; all given labels are learned from."""
+    return toxic.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
