@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from obsvar.llm.components import components
 from obsvar.llm.shingles import frequency_levels, signatures, token_sets
+from obsvar.llm.textblocks import small_batches
 from obsvar.session import scratch_path
 
 #: Bits of the filter of ids whose sets are read again: a fixed size; full, it only saves less.
@@ -125,7 +126,7 @@ def similar_groups(
     smallest of its set. A null id is no id: it reaches others, and gets null if it reaches none.
     No pair within a posting list is skipped unless it is connected or proved dissimilar.
     """
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.col(id).alias("id"), F.col(text).alias("text"))
     levels = frequency_levels(rows, "text", words)
     signed = rows.select("id", signatures(words, percent, levels)(F.col("text")).alias("s")).select("id", "s.*")
     signed = _stored(signed, "jaccard-signatures")

@@ -47,7 +47,7 @@ def _drawn(docs: DataFrame, id: str, text: str, seed: int) -> DataFrame:
     """Adds ``_mix``: size, key and a tie breaker; all follow from id, text and seed alone."""
     seen = F.xxhash64(F.col(id), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")), F.lit(seed))
     even = (F.shiftrightunsigned(seen, 11).cast("double") + 0.5) / float(1 << 53)
-    measured = docs.withColumn("_m", words_and_weight(F.col(text)))
+    measured = tb.small_batches(docs).withColumn("_m", words_and_weight(F.col(text)))
     drawn = F.struct(
         F.col("_m.words").alias("size"), (-F.log(even) / F.col("_m.weight")).alias("key"), seen.alias("tie")
     )

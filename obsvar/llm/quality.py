@@ -107,7 +107,7 @@ def repetition(docs: DataFrame, text: str = "text", out: str = "repetition") ->
     empty one: no words, ``base_failed``, not kept. Other columns pass through; one already called
     ``out`` is replaced. An empty table gives an empty table.
     """
-    measured = docs.withColumn(out, _measures(F.col(text)))
+    measured = tb.small_batches(docs).withColumn(out, _measures(F.col(text)))
     m = F.col(out)
     failed = (m.n_words < MIN_WORDS) | (100 * m.n_repeat_words > BASE_PERCENT * m.n_words)
     clean = 100 * m.dup_line_chars <= LINE_LIMIT * m.word_chars

@@ -10,8 +10,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+#: Rows of one Arrow batch of texts: with long texts the default would take gigabytes.
+BATCH_ROWS = 1_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)  # odd, so that powers can be inverted modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
@@ -120,6 +123,17 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
         first = last
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session told to send at most ``BATCH_ROWS`` rows to Python at a time.
+
+    A smaller setting stays. Spark has this setting by session only.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def crc_slot(ids: str) -> str:
     """SQL of crc32 over an id written as text; null ids count as the empty text."""
     return f"crc32(encode(coalesce(cast({ids} as string), ''), 'UTF-8'))"

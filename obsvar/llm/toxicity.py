@@ -187,7 +187,7 @@ def _document_counts(docs: DataFrame, text: str, terms: np.ndarray) -> tuple[int
         numbers = np.append(np.flatnonzero(seen), len(terms))
         yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(np.append(seen, rows)[numbers])], ["term", "n"])
 
-    found = docs.select(text).mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n")).collect()
+    found = tb.small_batches(docs).select(text).mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n")).collect()
     out = np.zeros(len(terms) + 1, np.int64)
     for number, n in found:
         out[number] = n
@@ -294,7 +294,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "toxici
     Null and empty texts, like all without a known term, get the share of toxic rows among such
     examples, and no evidence. Equal texts get equal scores. A column called ``out`` is replaced.
     """
-    return docs.withColumn(out, scorer(model)(F.col(text)))
+    return tb.small_batches(docs).withColumn(out, scorer(model)(F.col(text)))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, text: str = "text") -> DataFrame:
