@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsvar.llm import decontaminate, jaccard, mixing, quality, shards, toxicity
+from obsvar.llm import decontaminate, jaccard, langid, mixing, pii, quality, shards, toxicity, urlgraph
 from obsvar.llm.textblocks import crc_slot
 
 
@@ -37,6 +37,18 @@ def op3_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.protected(docs)
+    kinds = F.transform("base", lambda s: s.kind)
+    counts = [
+        (F.size("base") - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.rendered(F.col("base")), 256).alias("base_sha256"), pii.rendered(F.col("all")).alias("spans")
+    )
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return jaccard.similar_groups(docs, words=4, percent=85)
@@ -59,14 +71,41 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "source", "mix.size", "mix.source_size", "mix.target", "mix.epochs", "mix.taken")
 
 
+#: Fixed rules of the query.
+URL_RULES = (
+    urlgraph.Rule("allow", "com", "/"),
+    urlgraph.Rule("block", "example.com", "/en/"),
+    urlgraph.Rule("allow", "www.example.com", "/en/"),
+    urlgraph.Rule("block", "net", "/es/"),
+    urlgraph.Rule("block", "net", "/fr/"),
+)
+
+
+def op9_url_graph(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return urlgraph.judged(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.expr(f"{crc_slot('doc_id')} % 3 = 1")
+    found = langid.identified(docs.select("doc_id", "text"), langid.fit(docs.filter(~held_out)))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score", "language.ambiguous"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_repetition,
         op2_decontaminate,
         op3_shards,
+        op4_pii,
         op5_jaccard_join,
         op7_toxicity,
         op8_mixing,
+        op9_url_graph,
+        op10_langid,
     )
 }
