@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsvar.llm import decontaminate, jaccard, langid, mixing, pii, quality, shards, toxicity, urlgraph
+from obsvar.llm import decontaminate, jaccard, langid, lm, mixing, pii, quality, shards, toxicity, urlgraph
 from obsvar.llm.textblocks import crc_slot
 
 
@@ -54,6 +54,13 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_groups(docs, words=4, percent=85)
 
 
+def op6_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.expr(f"{crc_slot('doc_id')} % 5 = 1")
+    found = lm.scored(docs, ~held_out)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held_out = F.expr(f"{crc_slot('doc_id')} % 5 = 0")
@@ -103,6 +110,7 @@ QUERIES = {
         op3_shards,
         op4_pii,
         op5_jaccard_join,
+        op6_lm_scores,
         op7_toxicity,
         op8_mixing,
         op9_url_graph,
