@@ -2,8 +2,8 @@
 
 Two similar sets share a token among the first few of each, under any common order of all tokens.
 Three orders are used, all from rare to frequent, with ties broken by different hashes. The first
-makes candidates through an inverted index, the other two must agree, and what is left is verified
-on the whole sets. Equal sets are one node throughout.
+makes candidates through an inverted index, where a somewhat longer prefix must share several
+tokens; the other two must agree, and what is left is verified on the whole sets. Equal sets are one node throughout.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from obsvar.session import scratch_path
 
 #: Bits of the filter of ids whose sets are read again: a fixed size; full, it only saves less.
 FILTER_BITS = 20
+#: Shared tokens among the first of both sets, under the first order, that make a candidate.
+AGREE = 3
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -32,6 +34,21 @@ def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
+def _agreed(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of (a, b, an, bn, ap, bp) rows, one for each shared prefix token, that may be similar.
+
+    Enough tokens must be shared; and as no token before the first shared one is, what is left of
+    either set after its place there must suffice.
+    """
+    tally = pairs.groupBy("a", "b").agg(
+        F.count("*").alias("shared"), *(F.min(c).alias(c) for c in ("an", "bn", "ap", "bp"))
+    )
+    least = F.least("an", "bn")
+    enough, total = F.ceil(least * percent / 100), percent * (F.col("an") + F.col("bn"))
+    rest = F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp")) * (100 + percent)
+    return tally.filter((F.col("shared") >= F.least(F.lit(AGREE), enough)) & (rest >= total)).select("a", "b")
+
+
 def _slot(id: Column) -> Column:
     return F.xxhash64(F.coalesce(id, F.lit(-1))).bitwiseAND((1 << FILTER_BITS) - 1).cast("int")
 
@@ -66,6 +83,13 @@ def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, reader) -> Data
     return _stored(once.select("node", "n", "tokens", "second", "third"), "jaccard-sets")
 
 
+def _compared(docs: DataFrame, classes: DataFrame, shared: DataFrame, percent: int, reader) -> DataFrame:
+    """The similar pairs among those that share prefix tokens; only their sets are read."""
+    pairs = _stored(_agreed(shared, percent), "jaccard-pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    return _stored(_verified(pairs, _sets(docs, classes, nodes, reader), percent), "jaccard-links")
+
+
 def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFrame:
     """Edges (a, b) between nodes that connect all nodes which a chain of similar pairs connects.
 
@@ -77,19 +101,16 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFra
     postings = classes.select("node", "n", "mid", F.posexplode("prefix").alias("pos", "token"))
     lists = (
         postings.groupBy("token")
-        .agg(F.max(F.struct("mid", "node", "n")).alias("hub"), F.min("node").alias("low"), F.max("node").alias("high"))
+        .agg(F.max(F.struct("mid", "node", "n", "pos")).alias("hub"), F.min("node").alias("low"), F.max("node").alias("high"))
         .filter("low <> high")
-        .select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
+        .select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos"))
     )
     shared = _stored(postings.select("token", "node", "n", "pos").join(lists, "token"), "jaccard-lists")
-    star = (
-        shared.filter(F.col("node") != F.col("hub"))
-        .filter(_sizes_fit("n", "hub_n", percent))
-        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        .distinct()
-    )
-    sets = _sets(docs, classes, shared.select("node").distinct(), reader)
-    links = _stored(_verified(star, sets, percent), "jaccard-links")
+    star = shared.filter(F.col("node") != F.col("hub")).filter(_sizes_fit("n", "hub_n", percent)).select(
+        F.col("node").alias("a"), F.col("hub").alias("b"), F.col("n").alias("an"), F.col("hub_n").alias("bn"),
+        F.col("pos").alias("ap"), F.col("hub_pos").alias("bp"),
+    )
+    links = _compared(docs, classes, star, percent, reader)
     labels = components(links)
 
     named = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -100,17 +121,16 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFra
     apart = named.filter("label <> hub_label").select(
         "token", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xp"), F.col("label").alias("xl")
     )
-    enough = percent * (F.col("n") + F.col("xn"))
     rest = (
-        apart.join(named.filter(F.col("node") != F.col("hub")), "token")
+        apart.join(named, "token")
         .filter((F.col("label") != F.col("xl")) & _sizes_fit("n", "xn", percent))
         .filter((F.col("label") == F.col("hub_label")) | (F.col("x") < F.col("node")))
-        # no token before the first shared one is shared: what is left must suffice
-        .filter(((F.col("n") - F.col("pos")) * (100 + percent) >= enough) & ((F.col("xn") - F.col("xp")) * (100 + percent) >= enough))
-        .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-        .distinct()
     )
-    return links.union(_stored(_verified(rest, sets, percent), "jaccard-links"))
+    one = F.struct(F.col("x").alias("v"), F.col("xn").alias("n"), F.col("xp").alias("p"))
+    two = F.struct(F.col("node").alias("v"), F.col("n").alias("n"), F.col("pos").alias("p"))
+    rest = rest.select(F.least(one, two).alias("s"), F.greatest(one, two).alias("t"))  # by node: they differ
+    columns = [F.col(f"{end}.{c}").alias(name) for end, side in (("s", "a"), ("t", "b")) for c, name in (("v", side), ("n", f"{side}n"), ("p", f"{side}p"))]
+    return links.union(_compared(docs, classes, rest.select(*columns), percent, reader))
 
 
 def similar_groups(
@@ -128,7 +148,7 @@ def similar_groups(
     """
     rows = small_batches(docs).select(F.col(id).alias("id"), F.col(text).alias("text"))
     levels = frequency_levels(rows, "text", words)
-    signed = rows.select("id", signatures(words, percent, levels)(F.col("text")).alias("s")).select("id", "s.*")
+    signed = rows.select("id", signatures(words, percent, levels, AGREE)(F.col("text")).alias("s")).select("id", "s.*")
     signed = _stored(signed, "jaccard-signatures")
     classes = (
         signed.filter("n > 0")

@@ -62,9 +62,13 @@ def distinct_sets(block: tb.Block, words: int, levels: np.ndarray) -> tuple[np.n
     return hashes, row, np.bincount(row, minlength=block.rows)
 
 
-def prefix_sizes(sizes: np.ndarray, percent: int) -> np.ndarray:
-    """How many first tokens of a set surely hold one of any set that is similar enough."""
-    return np.where(sizes > 0, sizes - -(-percent * sizes // 100) + 1, 0)
+def prefix_sizes(sizes: np.ndarray, percent: int, agree: int = 1) -> np.ndarray:
+    """How many first tokens of a set surely hold ``agree`` of any set that is similar enough.
+
+    Where so few tokens make sets similar, ``agree`` is that number.
+    """
+    enough = -(-percent * sizes // 100)
+    return np.where(sizes > 0, sizes - enough + np.minimum(agree, enough), 0)
 
 
 def cut(values: np.ndarray, sizes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -142,7 +146,7 @@ def _prints(hashes: np.ndarray, row: np.ndarray, rows: int) -> list[np.ndarray]:
     return [_sums(tb.mix(hashes ^ np.uint64(salt)), row, rows).view(np.int64) for salt in PRINT_SALTS]
 
 
-def signatures(words: int, percent: int, levels: np.ndarray):
+def signatures(words: int, percent: int, levels: np.ndarray, agree: int):
     """A function of the text: set size, two fingerprints of the set, mean level, first prefix."""
 
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -152,7 +156,7 @@ def signatures(words: int, percent: int, levels: np.ndarray):
                 hashes, row, sizes = distinct_sets(block, words, levels)
                 level = levels[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
                 mid = _sums(level * np.uint64(1000), row, block.rows).astype(np.int64) // np.maximum(1, sizes)
-                lengths = prefix_sizes(sizes, percent)
+                lengths = prefix_sizes(sizes, percent, agree)
                 columns = [sizes.astype(np.int64), *_prints(hashes, row, block.rows), mid]
                 parts.append([*map(pa.array, columns), lists(cut(hashes, sizes, lengths), lengths)])
             yield _struct(parts, SIGNATURE)
