@@ -99,7 +99,7 @@ def grams(word: np.ndarray, n: int) -> np.ndarray:
 def extend(rolled: np.ndarray, word: np.ndarray, i: int) -> np.ndarray:
     """The hashes of ``i`` words, made those of ``i + 1``."""
     following = np.zeros_like(word)
-    following[: len(word) - i] = word[i:]
+    following[: max(0, len(word) - i)] = word[i:]
     return rolled * _GRAM + following
 
 
