@@ -115,7 +115,7 @@ def base_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataF
 
 
 def _contexts(docs: DataFrame, text: str) -> DataFrame:
-    """(entity, context, terms): each valid match with the words beside it."""
+    """(print, entity, context, terms): each valid match with the words beside it, and its text's hash."""
     found = _cut(docs, text)
 
     def sided(kind: str) -> Column:
@@ -127,7 +127,7 @@ def _contexts(docs: DataFrame, text: str) -> DataFrame:
         return F.filter(both, lambda s: _valid(kind, s.value))
 
     every = F.flatten(F.array_compact(F.array(*map(sided, KINDS))))
-    rows = found.select(F.explode(every).alias("m"))
+    rows = found.select(F.xxhash64(F.col(text)).alias("print"), F.explode(every).alias("m"))
 
     def words(piece: Column, at_end: bool) -> Column:
         split = F.array_remove(F.split(F.lower(piece), WORD_BREAK), "")
@@ -135,8 +135,8 @@ def _contexts(docs: DataFrame, text: str) -> DataFrame:
         return F.slice(split, start, AROUND)
 
     beside = F.concat(words(F.col("m.before"), True), words(F.col("m.after"), False))
-    rows = rows.select(F.lower("m.value").alias("entity"), beside.alias("words"))
-    return rows.select("entity", F.xxhash64("words").alias("context"), F.array_distinct("words").alias("terms"))
+    rows = rows.select("print", F.lower("m.value").alias("entity"), beside.alias("words"))
+    return rows.select("print", "entity", F.xxhash64("words").alias("context"), F.array_distinct("words").alias("terms"))
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -147,12 +147,16 @@ def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
     needs ``SUPPORT`` contexts beside an entity. An entity or term that fills most of the corpus
     is reduced within partitions before it is shuffled.
     """
-    contexts = _contexts(docs, text).groupBy("entity", "context").agg(F.first("terms").alias("terms"))
-    contexts = materialise(contexts)
-    total = docs.count()
+    places = materialise(_contexts(docs, text))
+    contexts = places.groupBy("entity", "context").agg(F.first("terms").alias("terms"))
+    total = max(2, docs.count())
     entities = contexts.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= SUPPORT)
     pairs = contexts.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    pairs = materialise(pairs.filter(F.col("n_et") >= SUPPORT).join(entities, "entity"))
+    pairs = pairs.filter(F.col("n_et") >= SUPPORT).join(entities, "entity")
+    # texts with the term beside any entity: no more than all that have it, and often too many already
+    near = places.select("print", F.explode("terms").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    most = F.col("n_et") * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - GENERALISE)) * (1 + 1e-9)
+    pairs = materialise(pairs.join(near, "term").filter(F.col("n_near") <= most).drop("n_near"))
     asked = pairs.select("term").distinct()
     small = F.broadcast if (n := asked.count()) <= BROADCAST_TERMS else (lambda df: df)
     if n:
@@ -160,7 +164,7 @@ def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
         holds = words.join(small(asked), "term").groupBy("term").agg(F.count("*").alias("n_t"))
     else:
         holds = asked.withColumn("n_t", F.lit(0).cast("bigint"))
-    told = F.log2(F.lit(float(max(total, 2))) / F.col("n_e"))
+    told = F.log2(F.lit(float(total)) / F.col("n_e"))
     share = F.least(F.lit(1.0), F.col("n_et") / F.col("n_t"))
     degree = F.when(told > 0, 1 + F.log2(share) / told)
     found = pairs.join(holds, "term").withColumn("disclosure", degree).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
