@@ -26,7 +26,7 @@ from obsvar.llm.eliasfano import Trie, joined
 from obsvar.session import scratch_path
 
 #: Bytes of text for each shard, and shards at least.
-SHARD_BYTES, LEAST_SHARDS = 32 << 20, 8
+SHARD_BYTES, LEAST_SHARDS = 20 << 20, 8
 #: Texts per shard that are looked at to name the contexts to be split; only the deal depends on it.
 SAMPLED = 64
 BLOCK_BYTES = 4 << 20
@@ -228,19 +228,23 @@ def answered(plan: Plan):
                 learn = np.unpackbits(flags, count=len(row)).astype(bool)
                 word = np.empty(len(row), np.uint64)
                 word[learn], word[~learn] = trained.astype(np.uint64) << np.uint64(32), held
-                for into, value in zip((blocks, contexts, sizes, rows, learns, words), (block, name, size, row, learn, word), strict=True):
-                    into.append(value)
+                # copies: a view would keep all of the row's bytes
+                for into, value in zip((contexts, sizes, rows), (name, size, row), strict=True):
+                    into.append(value.copy())
+                blocks.append(block)
+                learns.append(learn)
+                words.append(word)
         if shard is None:
             return
         length = np.array([len(r) for r in rows])
         known, place = np.unique(joined(contexts, np.uint64), return_inverse=True)
-        owner = np.repeat(place, joined(sizes, np.int64)).astype(np.uint64)
-        del contexts, place
+        owner = np.repeat(place.astype(np.uint32), joined(sizes, np.int64))
+        del contexts, place, sizes
         learn, word = joined(learns, bool), joined(words, np.uint64)
         del learns, words
-        key = (owner << np.uint64(32)) | (word >> np.uint64(32))
+        key = (owner.astype(np.uint64) << np.uint64(32)) | (word >> np.uint64(32))
         pairs, pair_count = np.unique(key[learn], return_counts=True)
-        own = np.bincount(owner[learn].astype(np.int64), minlength=len(known))
+        own = np.bincount(owner[learn], minlength=len(known))
         at = np.minimum(np.searchsorted(names, known), len(names) - 1)
         is_hot = names[at] == known
         total = np.where(is_hot, plan.counts[whole[at]], own)
@@ -256,17 +260,17 @@ def answered(plan: Plan):
             pairs & np.uint64(0xFFFFFFFF), np.log10((pair_count - discount) / total[mother]),
         )
         asked, back = np.unique(key, return_inverse=True)
-        del key
+        back = back.astype(np.uint32)
+        del key, pairs, pair_count, mother, number
         context = (asked >> np.uint64(32)).astype(np.int64)
         score, seen, _ = trie.look_up(known[context], asked & np.uint64(0xFFFFFFFF))
         is_begin = is_hot & (plan.hot[whole[at]] == BEGIN)
         base = np.where(is_begin, 0.0, np.log10(total + 0.5))
         counted = (total > 0) & ~is_begin
         ends = np.concatenate(([0], np.cumsum(length)))
-        where = owner.astype(np.int64)
         for k, block in enumerate(blocks):
             part = slice(ends[k], ends[k + 1])
-            row, mine, pair = rows[k].astype(np.int64), where[part], back[part]
+            row, mine, pair = rows[k].astype(np.int64), owner[part], back[part]
             used, row = np.unique(row, return_inverse=True)
             n = len(used)
             sums = packed(
