@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsvar.session import materialise
 
 
+def _rank(node: str) -> Column:
+    return F.struct(F.xxhash64(node), F.col(node))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (a, b): the label is one of the component's nodes.
 
-    In each round every node moves to its smallest neighbour if that is smaller, edges follow
-    their ends, and edges within a node vanish; the number of nodes left falls at least by half.
-    Neighbours are only ever reduced to their minimum, so a node that owns most edges is no group
-    in memory. Edges and labels are cut from their lineage by reliable checkpoints.
+    In each round every node moves to the neighbour of the smallest hash, if that is smaller than
+    its own, and on to where that one moves; edges follow their ends, and edges within a node
+    vanish. By hash, chains and stars shrink by a constant part in each round. Neighbours are only
+    ever reduced to their minimum, so a node that owns most edges is no group in memory. Edges and
+    labels are cut from their lineage by reliable checkpoints.
     """
     edges = materialise(edges.select("a", "b").filter("a <> b").distinct())
     labels = None
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        moves = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("to")))
+        best = both.groupBy("a").agg(F.min(_rank("b")).alias("best")).withColumn("best", F.least("best", _rank("a")))
+        moves = best.select(F.col("a").alias("node"), F.col("best")["b"].alias("to"))
+        onward = moves.select(F.col("node").alias("to"), F.col("to").alias("then"))
+        moves = materialise(moves.join(onward, "to").select("node", F.col("then").alias("to")))
         if labels is None:
             labels = moves.select("node", F.col("to").alias("label"))
         else:
