@@ -9,7 +9,7 @@ from obsvar.session import materialise
 
 
 def _rank(node: str) -> Column:
-    return F.struct(F.xxhash64(node), F.col(node))
+    return F.struct(F.xxhash64(node).alias("hash"), F.col(node).alias("node"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         best = both.groupBy("a").agg(F.min(_rank("b")).alias("best")).withColumn("best", F.least("best", _rank("a")))
-        moves = best.select(F.col("a").alias("node"), F.col("best")["b"].alias("to"))
+        moves = best.select(F.col("a").alias("node"), F.col("best")["node"].alias("to"))
         onward = moves.select(F.col("node").alias("to"), F.col("to").alias("then"))
         moves = materialise(moves.join(onward, "to").select("node", F.col("then").alias("to")))
         if labels is None:
