@@ -18,13 +18,11 @@ from pyspark.sql import types as T
 from obsvar.functions.naming import column, quoted, with_unique_columns
 from obsvar.functions.typing import common_type_of
 from obsvar.model import INDEX_COLUMN, Components, Dataset, DatasetError
-from obsvar.operators.scans import WIDE_CAP, vector_columns, wide_cells
-from obsvar.operators.variables import has_repeated_names, name_stems, unique_variable_names
+from obsvar.operators.scans import vector_columns, wide_cells
+from obsvar.operators.variables import _suffixed, has_repeated_names, name_stems, unique_variable_names
 
 FILE = "_file_name"
 MODES = ("intersection", "union")
-BROADCAST_ROWS = 1_000_000  # of (member, variable) rows, some tens of bytes each
-PUSHED_INDICES = 1_000
 
 
 @dataclass(frozen=True)
@@ -101,9 +99,7 @@ def harmonized_schema(parts: Sequence[Part], index: str, mode: str) -> list[T.St
     if mode == "intersection":
         order = [k for k in order if all(k in fields for fields in by_part)]
         if not [k for k in order if k != INDEX_COLUMN]:
-            raise DatasetError(
-                "no metadata columns are common to all datasets; use schema_mode 'union'"
-            )
+            raise DatasetError("the datasets have no metadata column in common: take schema_mode 'union'")
     out = []
     for key in order:
         having = [fields[key] for fields in by_part if key in fields]
@@ -167,11 +163,11 @@ def _renamed(named: DataFrame) -> DataFrame:
 
 def _variables_and_picks(
     col: Collection, mode: str, names: Sequence[str] | None, name_column: str | None
-) -> tuple[DataFrame, list[str], list[int] | None]:
-    """Variables of all members, the columns of a wide view, and their indices if they are few.
+) -> tuple[DataFrame, list[str], list[int]]:
+    """Variables of all members, the columns of a wide view, and the range of their indices.
 
-    One small job in the common case. Where a member repeats a name that matters here, the names
-    are made unique first and picked afterwards.
+    One small job in the common case. Where a member repeats a name that matters here, without
+    regard to case, its names are made unique first and picked afterwards.
     """
     _check_mode(mode)
     named = _named(col, name_column)
@@ -182,36 +178,13 @@ def _variables_and_picks(
     if names is not None:
         stems = {s for n in names for s in name_stems(n.lower())}
         per_member = per_member.filter(F.col("key").isin(list(stems)))
-    by_name = per_member.groupBy("name").agg(
-        F.count("*").alias("n_files"),
-        F.bool_or((F.col("n") > 1) | (F.col("key") == "obs_idx")).alias("clash"),
-        F.min(F.struct(FILE, "var_idx")).alias("first_seen"),
-        # one index per member at most
-        (F.collect_set("var_idx") if names is not None else F.lit(None)).alias("indices"),
-    )
-    everywhere = F.col("n_files") == len(col.members)
-    if names is None and mode == "intersection":
-        by_name = by_name.filter(everywhere | F.col("clash"))
-    by_name = by_name.orderBy(F.desc("clash"), "first_seen")
-    # chosen names bound the rows themselves: one per name and stem of it
-    rows = (by_name.limit(WIDE_CAP + 1) if names is None else by_name).collect()
-    plain = named.withColumnRenamed("name", "var_name")
-    if rows and rows[0].clash:
-        variables = _renamed(named)
-        return variables, pick_variables(col, variables, mode, names), None
-    if names is None:
-        if not rows or len(rows) > WIDE_CAP:
-            pick_variables(col, plain, mode)  # says what is wrong
-        return plain, [r.name for r in rows], None
-    picked = list(dict.fromkeys(names))
-    found = {r.name: r for r in rows}
-    lacking = mode == "intersection" and any(
-        n not in found or found[n].n_files < len(col.members) for n in picked
-    )
-    if lacking or len(picked) > WIDE_CAP:
-        pick_variables(col, plain, mode, names)  # says what is wrong
-    indices = sorted({i for n in picked if n in found for i in found[n].indices})
-    return plain, picked, indices if len(indices) <= PUSHED_INDICES else None
+    clashing = per_member.agg(F.bool_or((F.col("n") > 1) | (F.col("key") == "obs_idx")))
+    clash = bool(clashing.first()[0])
+    variables = _renamed(named) if clash else named.withColumnRenamed("name", "var_name")
+    picked = pick_variables(col, variables, mode, names)
+    asked = F.lower("var_name").isin([n.lower() for n in picked]) if names is not None else F.lit(True)
+    low, high = variables.filter(asked).agg(F.min("var_idx"), F.max("var_idx")).first()
+    return variables, picked, [] if low is None else [low, high]
 
 
 def variable_names_of(part: Part, name_column: str) -> DataFrame:
@@ -237,44 +210,31 @@ def common_variables(col: Collection, variables: DataFrame, mode: str = "interse
 def pick_variables(
     col: Collection, variables: DataFrame, mode: str, names: Sequence[str] | None = None
 ) -> list[str]:
-    """The variable columns of a wide view, at most ``WIDE_CAP``.
+    """The variables of a wide view, in the order in which they are first seen.
 
-    Named variables must be in every member in intersection mode; all are kept in union mode.
+    Named variables are looked up without regard to case. They must be in every member in
+    intersection mode, in some member in union mode.
     """
     _check_mode(mode)
     if names is None:
-        rows = (
-            common_variables(col, variables, mode)
-            .orderBy("first_seen")
-            .select("var_name")
-            .limit(WIDE_CAP + 1)
-            .collect()
-        )
+        rows = common_variables(col, variables, mode).orderBy("first_seen").select("var_name").collect()
         if not rows:
-            raise DatasetError(
-                "no variables are common to all datasets; use schema_mode 'union' or name variables"
-            )
-        if len(rows) > WIDE_CAP:
-            raise DatasetError(f"more than {WIDE_CAP} variables: name the ones to read")
+            raise DatasetError("the datasets have no variable in common: name some, or take schema_mode 'union'")
         return [r.var_name for r in rows]
-    picked = list(dict.fromkeys(names))
-    if len(picked) > WIDE_CAP:
-        raise DatasetError(f"more than {WIDE_CAP} names: use the long form")
-    if mode == "intersection":
-        have = (
-            variables.filter(F.col("var_name").isin(picked))
-            .groupBy("var_name")
-            .agg(F.collect_set(FILE).alias("files"))
-            .collect()
+    picked = list({n.lower(): n for n in reversed(names)}.values())[::-1]
+    key = F.lower("var_name").alias("key")
+    have = variables.filter(key.isin([n.lower() for n in picked])).groupBy(key)
+    found = {r.key: r.n for r in have.agg(F.count_distinct(FILE).alias("n")).collect()}
+    needed = len(col.members) if mode == "intersection" else 1
+    lacking = [n for n in picked if found.get(n.lower(), 0) < needed]
+    if lacking:
+        having = variables.filter(F.lower("var_name") == lacking[0].lower()).select(FILE).distinct()
+        holders = {r[0] for r in having.limit(len(col.members)).collect()}
+        without = [m for m in col.members if m not in holders]
+        raise DatasetError(
+            f"{len(lacking)} of the named variables are lacking ({mode}), first '{lacking[0]}', "
+            f"not found in {len(without)} of {len(col.members)} datasets: {', '.join(map(repr, without[:5]))}"
         )
-        files = {r.var_name: set(r.files) for r in have}
-        for n in picked:
-            missing = [m for m in col.members if m not in files.get(n, set())]
-            if missing:
-                raise DatasetError(
-                    f"variable '{n}' not found in '{missing[0]}' (intersection mode); "
-                    "use schema_mode 'union' or leave it out"
-                )
     return picked
 
 
@@ -311,36 +271,35 @@ def harmonize_x(
 ) -> DataFrame:
     """Wide matrix of all members: ``_file_name, obs_idx`` and one column per variable.
 
-    A variable a member has shows 0 where nothing is stored; one it does not have shows NULL.
+    A variable a member has shows 0 where nothing is stored; one it does not have shows NULL. Names
+    that differ by case between members are different variables, unless names are asked for: these
+    match in any case. Columns whose names differ by case alone get suffixes like repeated names.
     """
-    variables, picked, indices = _variables_and_picks(col, mode, names, name_column)
-    listed = F.array(*[F.lit(n) for n in picked])
-    slot = (F.array_position(listed, F.col("var_name")) - 1).cast("bigint")
-    mine = variables.filter(F.col("var_name").isin(picked)).select(FILE, "var_idx", slot.alias("_slot"))
-    # names are unique inside a member, so this bounds the rows of ``mine`` and of what is made of it
-    small = len(col.members) * len(picked) <= BROADCAST_ROWS
-    cells = _cells(col, layer)
-    if indices is not None:  # lets the scan of stored cells skip row groups
-        cells = cells.filter(F.col("var_idx").isin(indices))
-    cells = cells.join(F.broadcast(mine) if small else mine, [FILE, "var_idx"]).select(
-        FILE, "obs_idx", F.col("_slot").alias("var_idx"), "value"
+    variables, picked, span = _variables_and_picks(col, mode, names, name_column)
+    labels = _suffixed(picked, {"obs_idx", FILE})
+    spark = variables.sparkSession
+    by = (lambda c: F.lower(c)) if names is not None else F.col
+    slots = spark.createDataFrame(
+        [(n.lower() if names is not None else n, k) for k, n in enumerate(picked)], "_name string, _slot bigint"
     )
+    mine = variables.withColumn("_name", by("var_name")).join(slots, "_name").select(FILE, "var_idx", "_slot")
+    cells = _cells(col, layer)
+    if span:  # lets the scan of stored cells skip row groups
+        cells = cells.filter(F.col("var_idx").between(*span))
+    cells = cells.join(mine, [FILE, "var_idx"]).select(FILE, "obs_idx", F.col("_slot").alias("var_idx"), "value")
     axis = _stack([p.rows.select(FILE, "obs_idx") for p in col.component("obs")])
     keys = [FILE, "obs_idx"]
+    columns = list(enumerate(labels))
     if mode == "intersection":
-        return wide_cells(axis, cells, list(enumerate(picked)), keys)
-    wide = wide_cells(axis, cells, list(enumerate(picked)), keys, fill_zero=False)
-    has = F.collect_set("_slot")
-    slots = F.sequence(F.lit(0).cast("bigint"), F.lit(len(picked) - 1).cast("bigint"))
-    flags = F.transform(slots, lambda i: F.array_contains(has, i))
-    presence = mine.groupBy(FILE).agg(flags.alias("_has"))
+        return wide_cells(axis, cells, columns, keys)
+    wide = wide_cells(axis, cells, columns, keys, fill_zero=False)
+    places = F.sequence(F.lit(0).cast("bigint"), F.lit(len(picked) - 1).cast("bigint"))
+    flags = F.transform(places, lambda i: F.array_contains(F.col("_slots"), i))
+    presence = mine.groupBy(FILE).agg(F.collect_set("_slot").alias("_slots")).select(FILE, flags.alias("_has"))
     zero = f"cast(0 as {cells.schema['value'].dataType.simpleString()})"
-    return wide.join(F.broadcast(presence) if small else presence, FILE, "left").selectExpr(
+    return wide.join(presence, FILE, "left").selectExpr(
         *keys,
-        *[
-            f"if(get(_has, {i}), coalesce({quoted(n)}, {zero}), null) as {quoted(n)}"
-            for i, n in enumerate(picked)
-        ],
+        *[f"if(get(_has, {i}), coalesce({quoted(n)}, {zero}), null) as {quoted(n)}" for i, n in columns],
     )
 
 

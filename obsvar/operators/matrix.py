@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from obsvar.functions.naming import column
 from obsvar.operators.numbering import BUCKET, bucket_of, running_start
-from obsvar.operators.scans import CONDITIONAL_CAP, wide_cells
+from obsvar.operators.scans import near, packed_rows
 
 
 def to_compressed(
@@ -123,53 +123,36 @@ def compare_cells(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def sparse_format(indptr: DataFrame, n_obs: int, n_var: int) -> str:
-    """CSR, CSC or unknown, from the number of row starts. A square matrix needs it declared."""
-    size = indptr.count()
-    if n_obs == n_var and size == n_obs + 1:
-        return "unknown"
-    return {n_obs + 1: "csr", n_var + 1: "csc"}.get(size, "unknown")
+def sparse_format(indptr: DataFrame, obs: DataFrame, var: DataFrame) -> DataFrame:
+    """One row: starts, observations, variables, and csr, csc or unknown by their numbers.
+
+    A square matrix needs its format declared: either reading would fit.
+    """
+    counted = [
+        df.select(*[F.lit(int(i == k)).alias(n) for i, n in enumerate(("n_starts", "n_obs", "n_var"))])
+        for k, df in enumerate((indptr, obs, var))
+    ]
+    counts = counted[0].unionByName(counted[1]).unionByName(counted[2]).agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in ("n_starts", "n_obs", "n_var")]
+    )
+    starts, rows, columns = F.col("n_starts"), F.col("n_obs"), F.col("n_var")
+    kind = F.when((rows != columns) & (starts == rows + 1), "csr").when((rows != columns) & (starts == columns + 1), "csc")
+    return counts.withColumn("format", kind.otherwise("unknown"))
 
 
 def densify(obs: DataFrame, cells: DataFrame, picks: Sequence[tuple[int, str]]) -> DataFrame:
     """``(obs_idx, var_idx, value)`` for every observation and picked variable, 0 where unstored.
 
-    Few variables: one wide aggregation per observation, then unfolded. Many: zero cells are stacked
-    with the stored ones and summed per cell. Both shuffle once.
+    One packed row per observation, then unfolded: the zeros are never shuffled.
     """
-    if len(picks) <= CONDITIONAL_CAP:
-        wide = wide_cells(obs, cells, picks)
-        unfolded = F.array(
-            *[
-                F.struct(F.lit(i).cast("bigint").alias("var_idx"), column(n).alias("value"))
-                for i, n in picks
-            ]
-        )
-        return wide.select("obs_idx", F.inline(unfolded))
     indices = [i for i, _ in picks]
-    literal = F.array(*[F.lit(i).cast("bigint") for i in indices])
-    value_type = cells.schema["value"].dataType
-    grid = obs.select(
-        "obs_idx",
-        F.explode(literal).alias("var_idx"),
-        F.lit(0).cast(value_type).alias("value"),
-        F.lit(True).alias("_axis"),
-    )
-    stored = cells.filter(F.col("var_idx").isin(indices)).select(
-        "obs_idx", "var_idx", "value", F.lit(False).alias("_axis")
-    )
-    return (
-        grid.unionByName(stored)
-        .groupBy("obs_idx", "var_idx")
-        .agg(
-            F.bool_or("_axis").alias("_axis"),
-            F.coalesce(F.max(F.when(~F.col("_axis"), F.col("value"))), F.lit(0).cast(value_type)).alias(
-                "value"
-            ),
-        )
-        .filter("_axis")
-        .select("obs_idx", "var_idx", "value")
+    packed = packed_rows(obs, near(cells, indices), max(indices, default=-1) + 1)
+    listed = F.array(*[F.lit(i).cast("bigint") for i in indices]).cast("array<bigint>")
+    unfolded = F.transform(
+        listed, lambda i: F.struct(i.alias("var_idx"), F.get(F.col("vec"), i.cast("int")).alias("value"))
     )
+    zero = F.lit(0).cast(cells.schema["value"].dataType)
+    return packed.select("obs_idx", F.inline(unfolded)).withColumn("value", F.coalesce("value", zero))
 
 
 def vectors_to_long(matrix: DataFrame, index: str = "obs_idx") -> DataFrame:
@@ -192,7 +175,3 @@ def project_variables(cells: DataFrame, indices: Sequence[int]) -> DataFrame:
 def slice_observations(cells: DataFrame, start: int, count: int) -> DataFrame:
     """Cells of the contiguous observations ``start .. start+count-1``."""
     return cells.filter(F.col("obs_idx").between(start, start + count - 1))
-
-
-def cast_values(cells: DataFrame, data_type: str) -> DataFrame:
-    return cells.withColumn("value", F.col("value").cast(data_type))

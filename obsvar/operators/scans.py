@@ -13,8 +13,8 @@ from obsvar.functions.text import bool_text
 from obsvar.model import Dataset, DatasetError, pick_member
 from obsvar.operators.variables import resolve_variables, variable_names
 
-WIDE_CAP = 2_000
-CONDITIONAL_CAP = 64
+CONDITIONAL_COLUMNS = 64  # so many columns are an aggregate each; more are read from packed rows
+# Fixed value: what a dataset without metadata answers.
 NO_UNS = "No uns data in file"
 
 
@@ -46,6 +46,63 @@ def scan_raw_var(ds: Dataset, boolean_text: bool = False) -> DataFrame:
 # --- matrices, wide ---------------------------------------------------------------------------
 
 
+def cast_values(cells: DataFrame, data_type: str) -> DataFrame:
+    """Cells with their values as another number type."""
+    return cells.withColumn("value", F.col("value").cast(data_type))
+
+
+def near(cells: DataFrame, indices: Sequence[int]) -> DataFrame:
+    """Cells in the range of the given variables, and of these alone if they are few.
+
+    Both conditions reach the Parquet scan, which the store clusters by variable.
+    """
+    if not indices:
+        return cells.filter("false")
+    kept = cells.filter(F.col("var_idx").between(min(indices), max(indices)))
+    return kept.filter(F.col("var_idx").isin(list(indices))) if len(indices) <= CONDITIONAL_COLUMNS else kept
+
+
+def packed_rows(
+    axis: DataFrame, cells: DataFrame, width: int, keys: Sequence[str] = ("obs_idx",), fill_zero: bool = True
+) -> DataFrame:
+    """``(keys, vec)``: one array of ``width`` values for each row of ``axis``.
+
+    The stored cells of a row are collected in variable order and the gaps between them are filled,
+    so the work is linear in the row width, whatever that is, and there is one shuffle on the key.
+    Of cells stored more than once the largest counts; cells without an axis row drop out; an index
+    outside 0 to ``width - 1`` raises. A row never holds more entries than there are variables.
+    """
+    kind = cells.schema["value"].dataType.simpleString()
+    cell = f"struct<var_idx:bigint,value:{kind}>"
+    stored = cells.selectExpr(*keys, f"cast(struct(var_idx, value) as {cell}) as cell", "false as _axis")
+    rows = axis.selectExpr(*keys, f"cast(null as {cell}) as cell", "true as _axis")
+    packed = (
+        rows.unionByName(stored)
+        .groupBy(*keys)
+        .agg(F.bool_or("_axis").alias("_axis"), F.array_sort(F.collect_list("cell")).alias("cells"))
+        .filter("_axis")
+    )
+    after = lambda i: F.get(F.col("cells"), i + 1)["var_idx"]
+    packed = packed.withColumn(
+        "cells", F.filter("cells", lambda c, i: F.coalesce(after(i) != c["var_idx"], F.lit(True)))
+    )
+    gap = F.lit(0).cast(kind) if fill_zero else F.lit(None).cast(kind)
+    previous = F.concat(F.array(F.lit(-1).cast("bigint")), F.transform("cells", lambda c: c["var_idx"]))
+    filled = F.zip_with(
+        "cells",
+        F.slice(previous, F.lit(1), F.size("cells")),
+        lambda c, before: F.concat(
+            F.array_repeat(gap, (c["var_idx"] - before - 1).cast("int")), F.array(c["value"])
+        ),
+    )
+    last = F.element_at(previous, -1)
+    tail = F.array_repeat(gap, (F.lit(width - 1) - last).cast("int"))
+    outside = (last >= width) | (F.get("cells", F.lit(0))["var_idx"] < 0)
+    message = F.lit(f"a stored cell lies outside the {width} variables")
+    vec = F.when(F.coalesce(outside, F.lit(False)), F.raise_error(message)).otherwise(F.concat(F.flatten(filled), tail))
+    return packed.select(*keys, vec.alias("vec"))
+
+
 def wide_cells(
     axis: DataFrame,
     cells: DataFrame,
@@ -56,42 +113,35 @@ def wide_cells(
     """One row per row of ``axis``, one column per picked variable, 0 where no cell is stored.
 
     The axis is stacked under the selected cells and both meet in one aggregation: one shuffle on
-    the key, combined on the map side, and no join. The variable filter stands before it, so the
-    Parquet scan of the cells can prune on ``var_idx``. Rows of cells without an axis row drop out.
+    the key and no join. The variable filter stands before it, so the Parquet scan of the cells can
+    prune on ``var_idx``. Rows of cells without an axis row drop out. Few columns are one aggregate
+    each, combined on the map side; more are taken from one packed array per row, as a test of
+    every column for every cell would grow with cells times columns.
     """
     value_type = cells.schema["value"].dataType.simpleString()
     zero = f"cast(0 as {value_type})"
-    wanted = cells.filter(F.col("var_idx").isin([i for i, _ in picks])).selectExpr(
-        *keys, "var_idx", "value", "false as _axis"
-    )
+    chosen = near(cells, [i for i, _ in picks])
+    if len(picks) > CONDITIONAL_COLUMNS:
+        packed = packed_rows(axis, chosen, max(i for i, _ in picks) + 1, keys, fill_zero)
+        shown = f"coalesce(get(vec, {{}}), {zero}) as {{}}" if fill_zero else "get(vec, {}) as {}"
+        return packed.selectExpr(*keys, *[shown.format(i, quoted(n)) for i, n in picks])
+    wanted = chosen.selectExpr(*keys, "var_idx", "value", "false as _axis")
     rows = axis.selectExpr(
         *keys, "cast(null as bigint) as var_idx", f"cast(null as {value_type}) as value", "true as _axis"
     )
-    both = rows.unionByName(wanted)
 
     def shown(value: str, name: str) -> str:
         return f"{f'coalesce({value}, {zero})' if fill_zero else value} as {quoted(name)}"
 
     # columns are given as SQL text: one call to the JVM each, which matters at many columns
-    if len(picks) <= CONDITIONAL_CAP:
-        aggregates = [F.expr(shown(f"max(value) filter (where var_idx = {i})", n)) for i, n in picks]
-        grouped = both.groupBy(*keys).agg(F.bool_or("_axis").alias("_axis"), *aggregates)
-        return grouped.filter("_axis").drop("_axis")
-    # axis rows carry var_idx -1, a pivot value of its own
-    flagged = both.selectExpr(
-        *keys, "if(_axis, -1, var_idx) as var_idx", f"if(_axis, {zero}, value) as value"
-    )
-    pivoted = flagged.groupBy(*keys).pivot("var_idx", [-1, *[i for i, _ in picks]]).agg(F.max("value"))
-    return pivoted.filter("`-1` is not null").selectExpr(
-        *keys, *[shown(quoted(str(i)), n) for i, n in picks]
-    )
+    aggregates = [F.expr(shown(f"max(value) filter (where var_idx = {i})", n)) for i, n in picks]
+    grouped = rows.unionByName(wanted).groupBy(*keys).agg(F.bool_or("_axis").alias("_axis"), *aggregates)
+    return grouped.filter("_axis").drop("_axis")
 
 
 def _wide(obs, var, cells, names, name_column, value_type=None) -> DataFrame:
-    picks = resolve_variables(var, name_column, names, WIDE_CAP)
-    if value_type is not None:
-        cells = cells.withColumn("value", F.col("value").cast(value_type))
-    return wide_cells(obs, cells, picks)
+    picks = resolve_variables(var, name_column, names)
+    return wide_cells(obs, cast_values(cells, value_type) if value_type else cells, picks)
 
 
 def scan_x(
@@ -100,7 +150,7 @@ def scan_x(
     """Wide matrix: ``obs_idx`` and one double column per variable.
 
     ``names`` picks variables by the values of ``name_column`` (repeats carry ``_1``, ``_2``);
-    without it all variables are shown, up to ``WIDE_CAP``.
+    without it all variables are shown.
     """
     cells = ds.require_x()
     return _wide(ds.obs, ds.var, cells, names, name_column or ds.var_name_column, "double")
@@ -136,44 +186,18 @@ def scan_x_long(ds: Dataset, name_column: str | None = None, layer: str | None =
 
 
 def scan_x_vector(ds: Dataset, layer: str | None = None) -> DataFrame:
-    """``(obs_idx, vec)``: every variable of an observation in one array, for any matrix width.
-
-    The stored cells of a row are collected in variable order and the gaps between them are filled
-    with runs of zeros, so the work is linear in the row width. A row never holds more entries than
-    there are variables.
-    """
+    """``(obs_idx, vec)``: every variable of an observation in one array; counts the variables first."""
     obs, var = ds.require_obs(), ds.require_var()
     cells = ds.member("layers", layer) if layer else ds.require_x()
-    width = var.count()
-    stored = cells.select(
-        "obs_idx", F.struct("var_idx", F.col("value").cast("double").alias("value")).alias("cell")
-    )
-    rows = obs.select("obs_idx", F.lit(None).cast(stored.schema["cell"].dataType).alias("cell"))
-    packed = (
-        rows.unionByName(stored)
-        .groupBy("obs_idx")
-        .agg(F.array_sort(F.collect_list("cell")).alias("cells"))
-    )
-    previous = F.concat(
-        F.array(F.lit(-1).cast("bigint")), F.transform("cells", lambda c: c["var_idx"])
-    )
-    filled = F.zip_with(
-        "cells",
-        F.slice(previous, F.lit(1), F.size("cells")),
-        lambda c, before: F.concat(
-            F.array_repeat(F.lit(0.0), (c["var_idx"] - before - 1).cast("int")), F.array(c["value"])
-        ),
-    )
-    tail = F.array_repeat(F.lit(0.0), (F.lit(width - 1) - F.element_at(previous, -1)).cast("int"))
-    return packed.select("obs_idx", F.concat(F.flatten(filled), tail).alias("vec"))
+    return packed_rows(obs, cast_values(cells, "double"), var.count())
 
 
 # --- aligned dense matrices -------------------------------------------------------------------
 
 
 def vector_width(matrix: DataFrame) -> int:
-    row = matrix.select(F.size("vec").alias("k")).first()
-    return 0 if row is None else row.k
+    """The longest vector's length, over all rows; 0 without any."""
+    return matrix.agg(F.max(F.when(F.col("vec").isNotNull(), F.size("vec"))).alias("k")).first().k or 0
 
 
 def vector_columns(

@@ -126,29 +126,36 @@ def flatten_json(df: DataFrame, json_column: str) -> DataFrame:
     items = F.when(is_array, F.col("_v").try_cast("array<variant>"))
     sizes = [F.size(items)]
     for _ in range(1, levels.arrays):
-        head = F.get(items, 0)
-        nested = _kind(head).startswith("ARRAY")
-        sizes.append(F.when(nested, F.size(head.try_cast("array<variant>"))))
+        # a level is unrolled if all its elements are arrays of one length; else they stay JSON text
+        inner = F.transform(items, lambda e: F.size(e.try_cast("array<variant>")))
+        arrays = F.forall(items, lambda e: F.coalesce(_kind(e).startswith("ARRAY"), F.lit(False)))
+        nested = (F.size(items) > 0) & arrays & (F.array_min(inner) == F.array_max(inner))
+        sizes.append(F.when(nested, F.get(inner, 0)))
         items = F.when(
             nested, F.flatten(F.transform(items, lambda e: e.try_cast("array<variant>")))
         ).otherwise(items)
-    probe = F.when(is_array, F.get(items, 0)).otherwise(F.col("_v"))
+    kinds = F.transform(F.when(is_array, items).otherwise(F.array("_v")), _kind)
+    kinds = F.filter(kinds, lambda k: k.isNotNull() & (k != "VOID"))
     frame = frame.select(
         *rest, "key", "_v", is_array.alias("_is_array"), items.alias("_items"),
         F.when(is_array, _shape_text(sizes)).otherwise(F.lit("()")).alias("shape"),
-        _kind(probe).alias("_kind"),
+        kinds.alias("_kinds"),
     )
-    fractional = F.col("_kind").rlike("^(DECIMAL|DOUBLE|FLOAT)")
-    whole = F.col("_kind") == "BIGINT"
+    fraction = "^(DECIMAL|DOUBLE|FLOAT)"
 
     def rendered(v: Column) -> Column:
         return (
-            F.when(fractional, general_number(v.try_cast("double")))
+            F.when(_kind(v).rlike(fraction), general_number(v.try_cast("double")))
+            .when(_kind(v).rlike("^(ARRAY|OBJECT)"), F.to_json(v))
             .otherwise(v.try_cast("string"))
         )
 
+    def every(pattern: str) -> Column:
+        return (F.size("_kinds") > 0) & F.forall("_kinds", lambda k: k.rlike(pattern))
+
+    # the type that holds all elements
     dtype = (
-        F.when(whole, "int64").when(fractional, "float64").when(F.col("_kind") == "BOOLEAN", "bool")
+        F.when(every("^BIGINT$"), "int64").when(every(f"^BIGINT$|{fraction}"), "float64").when(every("^BOOLEAN$"), "bool")
         .otherwise("string")
     )
     return frame.select(

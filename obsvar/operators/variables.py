@@ -21,7 +21,6 @@ NAME_COLUMNS = (
 )
 ID_COLUMNS = ("gene_ids", "gene_id", "ensembl_id", "ensembl", "feature_id", "id", "ids")
 # Content rules.
-SAMPLE_ROWS = 20
 CONFIDENT_SHARE = 0.7
 ID_PATTERN = "^ENS."
 SYMBOL_PATTERN = "^(?=.*[A-Z])[A-Z0-9-]{2,12}$"
@@ -143,25 +142,20 @@ def name_stems(name: str) -> list[str]:
 
 
 def resolve_variables(
-    var: DataFrame, name_column: str, names: Sequence[str] | None, cap: int
+    var: DataFrame, name_column: str, names: Sequence[str] | None
 ) -> list[tuple[int, str]]:
     """The ``(var_idx, column name)`` list of a wide scan, in one small job.
 
-    All variables: at most ``cap`` names reach the driver, where repeats get their suffix. Chosen
+    All variables: their names, as many as the view has columns, reach the driver, where repeats get
+    their suffix. Chosen
     names: one row per name and stem of it; only if one of those repeats are suffixes worked out.
     """
     named = variable_names(var, name_column)
     if names is None:
-        rows = named.orderBy("var_idx").limit(cap + 1).collect()
-        if len(rows) > cap:
-            raise DatasetError(
-                f"more than {cap} variables: name the ones to read, or use the long or vector form"
-            )
+        rows = named.orderBy("var_idx").collect()
         unique = _suffixed([r.name for r in rows], {"obs_idx"})
         return [(r.var_idx, u) for r, u in zip(rows, unique)]
     names = list(dict.fromkeys(names))
-    if len(names) > cap:
-        raise DatasetError(f"more than {cap} names: use the long or vector form")
     wanted = [n.lower() for n in names]
     stems = {s for n in wanted for s in name_stems(n)}
     key = F.lower("name").alias("key")
@@ -197,7 +191,7 @@ def _by_name(columns: Sequence[str], candidates: Sequence[str]) -> str | None:
 
 
 def role_evidence(var: DataFrame) -> DataFrame:
-    """Per text column: how many of the first values look like ids, symbols or plain numbers."""
+    """Per text column: how many of all values look like ids, symbols or plain numbers."""
     texts = [
         f.name
         for f in var.schema.fields
@@ -209,7 +203,7 @@ def role_evidence(var: DataFrame) -> DataFrame:
             for i, c in enumerate(texts)
         ]
     )
-    sample = var.filter(F.col("var_idx") < SAMPLE_ROWS).select(F.inline(values))
+    sample = var.select(F.inline(values))
     looks_id = F.col("value").rlike(ID_PATTERN)
     return (
         sample.filter(F.col("value") != "")
@@ -226,9 +220,9 @@ def role_evidence(var: DataFrame) -> DataFrame:
 def detect_roles(var: DataFrame) -> dict[str, str]:
     """Which var columns hold names and ids: known names first, then content, then ``_index``.
 
-    By content, the first column (in table order) with more than 70 % matching values wins, else
-    the one with most matches; columns of mostly digits are left out. Scanning stops at the column
-    that gives the last open role a confident match. At most one small row per column is collected.
+    By content, columns with more than 70 % matching values come first, in table order; else the
+    one with most matches wins, the earlier of equal ones. Columns of mostly digits are left out.
+    All values count, in one aggregate; one small row per column is collected.
     """
     name = _by_name(var.columns, NAME_COLUMNS)
     ident = _by_name(var.columns, ID_COLUMNS)
@@ -236,31 +230,16 @@ def detect_roles(var: DataFrame) -> dict[str, str]:
         isinstance(f.dataType, T.StringType) and f.name != INDEX_COLUMN for f in var.schema.fields
     )
     if has_text and (name is None or ident is None):
-        rows = [
-            r
-            for r in sorted(role_evidence(var).collect(), key=lambda r: r.position)
-            if r.n_digits < r.n_valid // 2
-        ]
-        picks = {}
-        for role, counter in (("name", "n_symbols"), ("id", "n_ids")):
-            sure = [r for r in rows if r[counter] > int(r.n_valid * CONFIDENT_SHARE)]
-            picks[role] = (sure, counter)
-        # the scan ends once both roles are settled; later confident columns overwrite earlier ones
-        ends = [
-            -1 if known else (sure[0].position if sure else None)
-            for known, (sure, _) in ((name, picks["name"]), (ident, picks["id"]))
-        ]
-        stop = None if None in ends else max(ends)
-        seen = [r for r in rows if stop is None or r.position <= stop]
-
-        def choose(role: str) -> str | None:
-            best, score = None, 0
-            sure, counter = picks[role]
-            for r in seen:
-                if r in sure or r[counter] > score:
-                    best, score = r["column"], r[counter]
-            return best
-
-        name = name or choose("name")
-        ident = ident or choose("id")
+        rows = [r for r in role_evidence(var).collect() if r.n_digits < r.n_valid // 2]
+
+        def choose(counter: str) -> str | None:
+            def rank(r):
+                sure = r[counter] > int(r.n_valid * CONFIDENT_SHARE)
+                return (not sure, 0 if sure else -r[counter], r.position)
+
+            best = min((r for r in rows if r[counter]), key=rank, default=None)
+            return best and best["column"]
+
+        name = name or choose("n_symbols")
+        ident = ident or choose("n_ids")
     return {"var_name_column": name or INDEX_COLUMN, "var_id_column": ident or INDEX_COLUMN}

@@ -17,11 +17,9 @@ from obsvar.model import Dataset
 from obsvar.operators.collection import (
     FILE, Collection, common_variables, harmonize_long, harmonize_obs, harmonize_x, member_variables,
 )
-from obsvar.operators.scans import scan_obs, vector_columns
+from obsvar.operators.scans import near, packed_rows, scan_obs, vector_columns
 from obsvar.operators.variables import resolve_variables, variable_names
 
-SET_CHUNK = 64
-
 
 def mean_with_zeros(stored: Column, mean: Column, n: Column) -> Column:
     return F.coalesce(stored * mean, F.lit(0.0)) / n
@@ -111,15 +109,15 @@ def expression_by_group(
 ) -> DataFrame:
     """Mean and deviation of the named variables per group over all cells, zeros included.
 
-    Every group is listed with every name; the names are literals of the query.
+    Every group is listed with every name, however many: the names are a table that meets the cells
+    in one join, and the cells are read and aggregated once.
     """
-    picks = resolve_variables(ds.require_var(), name_column or ds.var_name_column, names, 2_000)
+    picks = resolve_variables(ds.require_var(), name_column or ds.var_name_column, names)
+    genes = ds.var.sparkSession.createDataFrame(picks, "var_idx bigint, gene string")
     sizes = ds.require_obs().groupBy(column(group).alias("grp")).agg(F.count("*").alias("n"))
-    listed = F.array(
-        *[F.struct(F.lit(i).cast("bigint").alias("var_idx"), F.lit(n).alias("gene")) for i, n in picks]
-    )
-    grid = sizes.select("grp", "n", F.inline(listed))
-    cells = ds.require_x().filter(F.col("var_idx").isin([i for i, _ in picks]))
+    listed = genes.agg(F.collect_list(F.struct("var_idx", "gene")).alias("listed")).withColumn("one", F.lit(1))
+    grid = sizes.withColumn("one", F.lit(1)).join(listed, "one").select("grp", "n", F.inline("listed"))
+    cells = near(ds.require_x(), [i for i, _ in picks]).join(genes.select("var_idx"), "var_idx")
     stored = (
         cells.join(_labels(ds, group), "obs_idx")
         .groupBy(column(group).alias("grp"), "var_idx")
@@ -160,7 +158,7 @@ def differential_expression(
     """Variables whose mean differs most between two groups, by log10 fold change.
 
     One conditional aggregation over the cells of both groups, no self join. A variable stored in
-    neither group has no change and cannot pass the threshold.
+    neither group has no change and cannot pass the threshold; nor can any if a group is empty.
     """
     obs = _labels(ds, group)
     in_left, in_right = column(group) == left, column(group) == right
@@ -172,7 +170,7 @@ def differential_expression(
         F.sum(F.when(in_right, F.col("value")).otherwise(0.0)).alias("r"),
     )
     means = sums.select(
-        "var_idx", (F.col("l") / n_left).alias("mean_left"), (F.col("r") / n_right).alias("mean_right")
+        "var_idx", (F.col("l") / F.nullif(n_left, F.lit(0))).alias("mean_left"), (F.col("r") / F.nullif(n_right, F.lit(0))).alias("mean_right")
     )
     change = F.log10(F.col("mean_left") + pseudo) - F.log10(F.col("mean_right") + pseudo)
     top = (
@@ -262,43 +260,21 @@ def gene_set_score(
 ) -> DataFrame:
     """Mean value per observation and variable set, unstored members counting as 0.
 
-    Sets are named in the query. Each becomes one conditional sum per observation; many sets are
-    taken ``SET_CHUNK`` at a time.
+    Any number of sets: their members are a table that meets the cells in one join. The cells are
+    read once; sums per observation and set are packed into one row per observation, then unfolded.
     """
     labels = sorted(sets)
     wanted = sorted({n for members in sets.values() for n in members})
-    picks = {n: i for i, n in resolve_variables(
-        ds.require_var(), name_column or ds.var_name_column, wanted, 2_000
-    )}
-    obs = ds.require_obs().select("obs_idx", F.lit(None).cast("bigint").alias("var_idx"),
-                                  F.lit(0.0).alias("value"), F.lit(True).alias("_axis"))
-    frames = []
-    for at in range(0, len(labels), SET_CHUNK):
-        chunk = labels[at : at + SET_CHUNK]
-        indices = sorted({picks[n] for s in chunk for n in sets[s]})
-        cells = ds.require_x().filter(F.col("var_idx").isin(indices)).select(
-            "obs_idx", "var_idx", F.col("value").cast("double").alias("value"),
-            F.lit(False).alias("_axis"),
-        )
-        sums = [
-            F.sum(
-                F.when(F.col("var_idx").isin([picks[n] for n in set(sets[s])]), F.col("value"))
-                .otherwise(0.0)
-            ).alias(f"s{i}")
-            for i, s in enumerate(chunk)
-        ]
-        wide = obs.unionByName(cells).groupBy("obs_idx").agg(F.bool_or("_axis").alias("_axis"), *sums)
-        scores = F.array(
-            *[
-                F.struct(F.lit(s).alias("set_name"), (F.col(f"s{i}") / len(set(sets[s]))).alias("set_score"))
-                for i, s in enumerate(chunk)
-            ]
-        )
-        frames.append(wide.filter("_axis").select("obs_idx", F.inline(scores)))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    picks = {n: i for i, n in resolve_variables(ds.require_var(), name_column or ds.var_name_column, wanted)}
+    spark = ds.var.sparkSession
+    members = [(picks[n], k, len(set(sets[s]))) for k, s in enumerate(labels) for n in sorted(set(sets[s]))]
+    table = spark.createDataFrame(members, "var_idx bigint, set_idx bigint, n bigint")
+    cells = near(ds.require_x(), sorted(picks.values())).join(table, "var_idx")
+    sums = cells.groupBy("obs_idx", "set_idx").agg((F.sum(F.col("value").cast("double")) / F.first("n")).alias("value"))
+    packed = packed_rows(ds.require_obs().select("obs_idx"), sums.withColumnRenamed("set_idx", "var_idx"), len(labels))
+    names = spark.createDataFrame(list(enumerate(labels)), "set_idx int, set_name string")
+    scores = packed.select("obs_idx", F.posexplode("vec").alias("set_idx", "set_score"))
+    return scores.join(names, "set_idx").select("obs_idx", "set_name", "set_score")
 
 
 def _per_variable(ds: Dataset, cells: DataFrame) -> DataFrame:
@@ -474,12 +450,18 @@ def cross_file_expression(col: Collection, name_column: str | None = None) -> Da
 def cross_file_by_kind(
     col: Collection, kind: str, names: Sequence[str] | None = None, name_column: str | None = None
 ) -> DataFrame:
-    """Mean per member and kind of the combined variables, one column each."""
-    wide = harmonize_x(col, "intersection", names, name_column=name_column)
-    genes = [c for c in wide.columns if c not in (FILE, "obs_idx")]
-    obs = harmonize_obs(col).select(FILE, "obs_idx", column(kind))
-    return (
-        obs.join(wide, [FILE, "obs_idx"])
-        .groupBy(FILE, column(kind))
-        .agg(*[F.expr(f"avg({quoted(g)}) as {quoted(f'mean_{g}')}") for g in genes])
-    )
+    """Mean per member and kind of the combined variables, one column each.
+
+    Sums of the stored cells over the numbers of observations; the zeros are never built.
+    """
+    genes = harmonize_x(col, "intersection", names, name_column=name_column).columns[2:]
+    obs = harmonize_obs(col).select(FILE, "obs_idx", column(kind).alias("_kind"))
+    sizes = obs.groupBy(FILE, "_kind").agg(F.count("*").alias("_n"))
+    cells = harmonize_long(col, "intersection", name_column=name_column)
+    cells = cells.filter(F.lower("var_name").isin([g.lower() for g in genes])) if names is not None else cells
+    sums = cells.join(obs, [FILE, "obs_idx"]).groupBy(FILE, "_kind", F.lower("var_name").alias("_gene")).agg(F.sum("value").alias("_sum"))
+    packed = sums.groupBy(FILE, "_kind").agg(F.map_from_entries(F.collect_list(F.struct("_gene", "_sum"))).alias("_sums"))
+    packed = packed.withColumnsRenamed({FILE: "_f", "_kind": "_k"})
+    joined = sizes.join(packed, (F.col(FILE) == F.col("_f")) & F.col("_kind").eqNullSafe(F.col("_k")), "left")
+    means = [(F.coalesce(F.col("_sums")[g.lower()], F.lit(0.0)) / F.col("_n")).alias(f"mean_{g}") for g in genes]
+    return joined.select(FILE, F.col("_kind").alias(kind), *means)

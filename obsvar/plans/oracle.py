@@ -142,7 +142,7 @@ SQL: dict[str, str] = {
       select count(*) as n_duplicate_names, cast(sum(n) as bigint) as n_variables from k""",
     "var_names": f"""with {VAR} select var_idx,
       coalesce(case when size % 7 <> 0 then label end, 'var_' || var_idx) as name from var""",
-    "detect_roles": f"""with {VAR}, s as (unpivot (select var_idx, label, kind, brand from var where var_idx < 20)
+    "detect_roles": f"""with {VAR}, s as (unpivot (select var_idx, label, kind, brand from var)
         on label, kind, brand into name "column" value v),
       e as (select "column", count(*) as n_valid, count(*) filter (v like 'ENS_%') as n_ids,
           count(*) filter (v not like 'ENS_%' and regexp_full_match(v, '[A-Z0-9-]{{2,12}}')

@@ -210,7 +210,7 @@ def csr_csc_equal(spark, folder):
 @registered
 def densify(spark, folder):
     ds = star.sized(spark, folder)
-    picks = variables.resolve_variables(ds.raw.var, "_index", None, scans.WIDE_CAP)
+    picks = variables.resolve_variables(ds.raw.var, "_index", None)
     return matrix.densify(ds.obs, ds.raw.x, picks)
 
 
@@ -228,7 +228,7 @@ def nonzero_long(spark, folder):
 @registered
 def project_genes(spark, folder):
     ds = star.panel(spark, folder)
-    picks = variables.resolve_variables(ds.var, "_index", ["Brand#3", "Brand#11", "Brand#25"], 100)
+    picks = variables.resolve_variables(ds.var, "_index", ["Brand#3", "Brand#11", "Brand#25"])
     return matrix.project_variables(ds.x, [i for i, _ in picks])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -26,7 +27,10 @@ def matching_files(spark: SparkSession, patterns: Sequence[str], extension: str
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             rows = []
-        found |= {r.path for r in rows if r.path.endswith(extension)}
+        found |= {r.path for r in rows}
+    other = sorted(p for p in found if not p.endswith(extension))
+    if other:
+        raise DatasetError(f"matched files that are not {extension}: {', '.join(other[:5])}")
     if not found:
         raise DatasetError(f"No files found that match {', '.join(patterns)}")
     return sorted(found)
@@ -40,6 +44,10 @@ def read_tables(
     ``renames`` gives, per file name, own column names to shared ones.
     """
     paths = matching_files(spark, [patterns] if isinstance(patterns, str) else patterns, ".parquet")
+    seen = Counter(p.rsplit("/", 1)[-1] for p in paths)
+    twice = sorted(n for n, k in seen.items() if k > 1)
+    if twice:  # the file name is part of the key of every row
+        raise DatasetError(f"several files are called {', '.join(twice[:5])}")
     grouped: dict[str, list[str]] = {}
     for path in paths:
         own = (renames or {}).get(path.rsplit("/", 1)[-1], {})
@@ -62,5 +70,8 @@ def export_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
 
 
 def read_annotation(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """An outside CSV table with a header; the schema is given, never inferred by a scan."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """An outside CSV table; the schema is given, never inferred by a scan.
+
+    The header must name the schema's columns in order, and a row that does not fit it raises.
+    """
+    return spark.read.schema(schema).options(header=True, enforceSchema=False, mode="FAILFAST").csv(path)

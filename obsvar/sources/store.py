@@ -20,7 +20,7 @@ from obsvar.model import INDEX_COLUMN, Dataset, DatasetError, Raw
 from obsvar.operators.collection import FILE, Collection, Part
 from obsvar.operators.inspect import dataset_info, table_names, validate
 from obsvar.operators.scans import (
-    WIDE_CAP, scan_layer, scan_obs, scan_obsm, scan_obsp, scan_raw_var, scan_raw_varm, scan_raw_x,
+    scan_layer, scan_obs, scan_obsm, scan_obsp, scan_raw_var, scan_raw_varm, scan_raw_x,
     scan_uns, scan_var, scan_varm, scan_varp, scan_x, scan_x_long, vector_width,
 )
 from obsvar.operators.variables import detect_roles
@@ -162,7 +162,7 @@ def open_collection(spark: SparkSession, pattern: str, var_name_column: str = IN
 def create_views(ds: Dataset, alias: str) -> list[str]:
     """Temp views ``<alias>_<table>`` over every usable component, for SQL users.
 
-    X and layers are wide up to ``WIDE_CAP`` variables; ``<alias>_X_long`` always exists with X.
+    X and layers are wide whatever their number of variables; ``<alias>_X_long`` exists with X.
     """
     makers = {
         "obs": lambda: scan_obs(ds), "var": lambda: scan_var(ds), "info": lambda: dataset_info(ds),
@@ -175,12 +175,9 @@ def create_views(ds: Dataset, alias: str) -> list[str]:
         "obsm_": scan_obsm, "varm_": scan_varm, "obsp_": scan_obsp, "varp_": scan_varp,
         "layers_": scan_layer, "raw_varm_": scan_raw_varm,
     }
-    narrow = ds.var is None or len(ds.var.select("var_idx").limit(WIDE_CAP + 1).take(WIDE_CAP + 1)) <= WIDE_CAP
     created = []
     for table in table_names(ds):
         prefix = next((p for p in by_prefix if table.startswith(p)), None)
-        if not narrow and (table == "X" or prefix == "layers_"):
-            continue
         frame = by_prefix[prefix](ds, table[len(prefix):]) if prefix else makers[table]()
         frame.createOrReplaceTempView(quoted(f"{alias}_{table}"))
         created.append(f"{alias}_{table}")

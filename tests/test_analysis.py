@@ -107,13 +107,11 @@ def test_scores_fractions_density(ds, dense):
     assert len(got) == N_OBS * 3
     for (o, s), score in got.items():
         assert score == pytest.approx(st.mean(dense[o][where[n]] for n in sets[s]))
-    chunked = analysis.SET_CHUNK
-    analysis.SET_CHUNK = 2
-    try:
-        again = {(r.obs_idx, r.set_name): r.set_score for r in analysis.gene_set_score(ds, sets).collect()}
-    finally:
-        analysis.SET_CHUNK = chunked
-    assert again == got
+    many = {f"m{k}": ["G2", "G7"] if k % 2 else ["G3"] for k in range(150)}
+    found = analysis.gene_set_score(ds, many).collect()
+    assert len(found) == N_OBS * 150
+    assert all(r.set_score == pytest.approx(st.mean(dense[r.obs_idx][where[n]] for n in many[r.set_name])) for r in found)
+    assert analysis.differential_expression(ds, "kind", "hot", "no such kind").count() == 0
     for r in analysis.marked_fraction(ds, "MT-%").collect():
         total = sum(dense[r.obs_idx])
         assert r.n_genes == sum(x > 0 for x in dense[r.obs_idx])

@@ -51,16 +51,12 @@ def test_csr_and_csc_hold_the_same_cells(spark):
 
 def test_sparse_format_needs_a_declaration_when_square(spark):
     indptr = spark.createDataFrame([(r, 0) for r in range(6)], "r bigint, start bigint")
-    assert matrix.sparse_format(indptr, 5, 9) == "csr"
-    assert matrix.sparse_format(indptr, 9, 5) == "csc"
-    assert matrix.sparse_format(indptr, 5, 5) == "unknown"
-    assert matrix.sparse_format(indptr, 3, 4) == "unknown"
+    for n_obs, n_var, kind in ((5, 9, "csr"), (9, 5, "csc"), (5, 5, "unknown"), (3, 4, "unknown")):
+        found = matrix.sparse_format(indptr, spark.range(n_obs), spark.range(n_var)).first()
+        assert tuple(found) == (6, n_obs, n_var, kind)
 
 
-@pytest.mark.parametrize("cap", [0, 64])
-def test_densify_fills_zeros_and_keeps_the_axis(spark, monkeypatch, cap):
-    monkeypatch.setattr(matrix, "CONDITIONAL_CAP", cap)
-    monkeypatch.setattr(scans, "CONDITIONAL_CAP", cap)
+def test_densify_fills_zeros_and_keeps_the_axis(spark):
     cells = spark.createDataFrame([(0, 1, 5.0), (2, 0, -3.0), (7, 0, 1.0)], CELLS)
     obs = spark.range(3).withColumnRenamed("id", "obs_idx")
     got = rows(matrix.densify(obs, cells, [(0, "a"), (1, "b")]), "obs_idx", "var_idx")
@@ -77,7 +73,7 @@ def test_vector_long_and_wide_agree(spark, monkeypatch):
     dense = {(o, v): x for o, v, x in stored}
     want = [(o, *[dense.get((o, v), 0.0) for v in range(6)]) for o in range(9)]
     assert rows(scans.scan_x(ds), "obs_idx") == want
-    monkeypatch.setattr(scans, "CONDITIONAL_CAP", 0)
+    monkeypatch.setattr(scans, "CONDITIONAL_COLUMNS", 0)
     assert rows(scans.scan_x(ds), "obs_idx") == want
     vectors = scans.scan_x_vector(ds)
     assert [(o, *v) for o, v in rows(vectors, "obs_idx")] == want
@@ -95,5 +91,27 @@ def test_projection_reaches_the_scan(spark, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/x")
     obs = spark.range(20).withColumnRenamed("id", "obs_idx")
     plan = scans.wide_cells(obs, stored, [(3, "a"), (5, "b")])._jdf.queryExecution().toString()
-    assert "PushedFilters: [In(var_idx, [3,5])" in plan
+    assert "In(var_idx, [3,5])" in plan
     assert plan.split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("columns", [0, 64])
+def test_repeated_orphan_and_outside_cells(spark, monkeypatch, columns):
+    monkeypatch.setattr(scans, "CONDITIONAL_COLUMNS", columns)
+    obs = spark.range(2).withColumnRenamed("id", "obs_idx")
+    var = spark.createDataFrame([(i, f"g{i}") for i in range(3)], "var_idx bigint, _index string")
+    stored = [(0, 1, 5.0), (0, 1, 4.0), (9, 0, 7.0), (1, 2, 1.0)]
+    ds = Dataset(obs=obs, var=var, x=spark.createDataFrame(stored, CELLS))
+    want = [(0, 0.0, 5.0, 0.0), (1, 0.0, 0.0, 1.0)]
+    assert rows(scans.scan_x(ds), "obs_idx") == want
+    assert [(o, *v) for o, v in rows(scans.scan_x_vector(ds), "obs_idx")] == want
+    outside = Dataset(obs=obs, var=var, x=spark.createDataFrame([(0, 3, 1.0)], CELLS))
+    with pytest.raises(Exception, match="outside the 3 variables"):
+        scans.scan_x_vector(outside).collect()
+
+
+def test_vector_width_is_the_longest(spark):
+    vectors = spark.createDataFrame([(0, None), (1, [1.0]), (2, [1.0, 2.0, 3.0])], "obs_idx bigint, vec array<double>")
+    ds = Dataset(obs=spark.range(3).withColumnRenamed("id", "obs_idx"), obsm={"m": vectors})
+    assert rows(scans.scan_obsm(ds, "m"), "obs_idx")[1:] == [(1, 1.0, None, None), (2, 1.0, 2.0, 3.0)]
+    assert scans.vector_width(vectors.filter("obs_idx = 0")) == 0

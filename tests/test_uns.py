@@ -97,3 +97,17 @@ def test_parallel_arrays(spark):
 def test_no_metadata_answers_with_a_message(spark):
     ds = Dataset(obs=spark.range(1).withColumnRenamed("id", "obs_idx"))
     assert rows(scans.scan_uns(ds)) == [("No uns data in file",)]
+
+
+def test_arrays_of_mixed_kinds_lose_nothing(spark):
+    text = '{"a": [1.5, "x"], "b": [[1], 2], "c": [1, 2.5], "d": [[1, 2], [3]], "e": [[1, 2], [3, 4]], "f": [true, null]}'
+    df = spark.createDataFrame([(text,)], "j string")
+    found = {r.key: (r.dtype, r.shape, r.value.arr) for r in uns.flatten_json(df, "j").collect()}
+    assert found == {
+        "a": ("string", "(2)", ["1.5", "x"]),
+        "b": ("string", "(2)", ["[1]", "2"]),
+        "c": ("float64", "(2)", ["1", "2.5"]),
+        "d": ("string", "(2)", ["[1,2]", "[3]"]),
+        "e": ("int64", "(2, 2)", ["1", "2", "3", "4"]),
+        "f": ("bool", "(2)", ["true", None]),
+    }

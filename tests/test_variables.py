@@ -81,12 +81,9 @@ def test_chosen_duplicates_resolve_to_their_own_cells(duplicated):
     assert tuple(wide.first())[1:] == (6.0, 4.0, 1.0)
 
 
-def test_unknown_names_and_too_many(duplicated, monkeypatch):
+def test_unknown_names(duplicated):
     with pytest.raises(DatasetError, match="GENEX"):
         scans.scan_x(duplicated, ["GENEX"])
-    monkeypatch.setattr(scans, "WIDE_CAP", 3)
-    with pytest.raises(DatasetError, match="more than 3"):
-        scans.scan_x(duplicated)
 
 
 def test_name_fallback(spark):
