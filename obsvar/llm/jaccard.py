@@ -21,6 +21,8 @@ from obsvar.session import scratch_path
 FILTER_BITS = 20
 #: Shared tokens among the first of both sets, under the first order, that make a candidate.
 AGREE = 3
+#: Shared prefix tokens of a set that go along with its postings.
+HEAD = 32
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -35,13 +37,15 @@ def _sizes_fit(a: str, b: str, percent: int) -> Column:
 
 
 def _agreed(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of (a, b, an, bn, ap, bp) rows, one for each shared prefix token, that may be similar.
+    """Pairs (a, b) that may be similar, of rows (a, b, an, bn, ap, bp, seen).
+
+    A row stands for ``seen`` shared prefix tokens, and for the places of one of them in both sets.
 
     Enough tokens must be shared; and as no token before the first shared one is, what is left of
     either set after its place there must suffice.
     """
     tally = pairs.groupBy("a", "b").agg(
-        F.count("*").alias("shared"), *(F.min(c).alias(c) for c in ("an", "bn", "ap", "bp"))
+        F.sum("seen").alias("shared"), *(F.min(c).alias(c) for c in ("an", "bn", "ap", "bp"))
     )
     least = F.least("an", "bn")
     enough, total = F.ceil(least * percent / 100), percent * (F.col("an") + F.col("bn"))
@@ -108,29 +112,51 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFra
     shared = _stored(postings.select("token", "node", "n", "pos").join(lists, "token"), "jaccard-lists")
     star = shared.filter(F.col("node") != F.col("hub")).filter(_sizes_fit("n", "hub_n", percent)).select(
         F.col("node").alias("a"), F.col("hub").alias("b"), F.col("n").alias("an"), F.col("hub_n").alias("bn"),
-        F.col("pos").alias("ap"), F.col("hub_pos").alias("bp"),
+        F.col("pos").alias("ap"), F.col("hub_pos").alias("bp"), F.lit(1).alias("seen"),
     )
     links = _compared(docs, classes, star, percent, reader)
     labels = components(links)
 
-    named = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # tokens of a prefix that are in no list are shared with nobody: at most `room` tokens can be
+    enough = F.ceil(F.col("n") * percent / 100)
+    alone = F.col("n") - enough + F.least(F.lit(AGREE), enough) - F.count("*")
+    nodes = shared.groupBy("node", "n").agg((F.col("n") - alone).alias("room"))
+    nodes = nodes.join(labels, "node", "left").select("node", "room", F.coalesce("label", "node").alias("label"))
+    named = shared.join(nodes, "node")
     hubs = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
     named = named.join(hubs, "hub", "left").withColumn("hub_label", F.coalesce("hub_label", "hub"))
-    mixed = named.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("token")
-    named = _stored(named.join(mixed, "token"), "jaccard-mixed")
+    # the sizes that a partner may have at most, for so many common tokens to suffice
+    most = F.col("room") * ((100 + percent) / percent) - F.col("n") + 1e-6
+    named = named.withColumn("most", most)
+    mixed = named.groupBy("token").agg(
+        F.min("label").alias("l"), F.max("label").alias("h"), F.min("n").alias("least_n"), F.max("most").alias("most_n")
+    )
+    named = named.join(mixed.filter("l <> h").drop("l", "h"), "token").filter("most >= least_n and n <= most_n")
+    named = _stored(named.drop("least_n", "most_n", "most"), "jaccard-mixed")
+    heads = shared.join(named.select("node").distinct(), "node", "left_semi").groupBy("node")
+    heads = heads.agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, HEAD).alias("h"))
+    heads = heads.select("node", F.col("h.token").alias("head"))
+    named = named.join(heads, "node")
     apart = named.filter("label <> hub_label").select(
-        "token", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xp"), F.col("label").alias("xl")
+        "token", *(F.col(c).alias(f"x{c}") for c in ("node", "n", "pos", "label", "room", "head"))
     )
+    # of the tokens a pair shares, the first one makes it, if the heads show which that is
+    both = F.array_intersect("head", "xhead")
+    full = (F.size("head") == HEAD) | (F.size("xhead") == HEAD)
+    least = F.least(F.lit(AGREE), F.ceil(F.least("n", "xn") * percent / 100))
     rest = (
         apart.join(named, "token")
-        .filter((F.col("label") != F.col("xl")) & _sizes_fit("n", "xn", percent))
-        .filter((F.col("label") == F.col("hub_label")) | (F.col("x") < F.col("node")))
+        .filter((F.col("label") != F.col("xlabel")) & _sizes_fit("n", "xn", percent))
+        .filter((F.col("label") == F.col("hub_label")) | (F.col("xnode") < F.col("node")))
+        .filter(F.least("room", "xroom") * (100 + percent) >= percent * (F.col("n") + F.col("xn")))
+        .filter((F.size(both) == 0) | ((F.get(both, F.lit(0)) == F.col("token")) & (full | (F.size(both) >= least))))
+        .withColumn("seen", F.when(F.size(both) == 0, 1).when(full, AGREE).otherwise(F.size(both)))
     )
-    one = F.struct(F.col("x").alias("v"), F.col("xn").alias("n"), F.col("xp").alias("p"))
+    one = F.struct(F.col("xnode").alias("v"), F.col("xn").alias("n"), F.col("xpos").alias("p"))
     two = F.struct(F.col("node").alias("v"), F.col("n").alias("n"), F.col("pos").alias("p"))
-    rest = rest.select(F.least(one, two).alias("s"), F.greatest(one, two).alias("t"))  # by node: they differ
+    rest = rest.select(F.least(one, two).alias("s"), F.greatest(one, two).alias("t"), "seen")  # by node: they differ
     columns = [F.col(f"{end}.{c}").alias(name) for end, side in (("s", "a"), ("t", "b")) for c, name in (("v", side), ("n", f"{side}n"), ("p", f"{side}p"))]
-    return links.union(_compared(docs, classes, rest.select(*columns), percent, reader))
+    return links.union(_compared(docs, classes, rest.select(*columns, "seen"), percent, reader))
 
 
 def similar_groups(
