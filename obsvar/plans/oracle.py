@@ -94,8 +94,8 @@ SQL: dict[str, str] = {
     "multi_file_scan": """select 'part.parquet' as _file_name, p_partkey as key, p_name as name from part
       union all select 'supplier.parquet', s_suppkey, s_name from supplier
       union all select 'customer.parquet', c_custkey, c_name from customer""",
-    "external_annotation": f"""with {VAR}, notes as (select brand, min(label) as pathway, count(*) as n_terms
-      from var where size > 10 group by brand)
+    "external_annotation": f"""with {VAR}, notes as (select 'Brand#' || (2 * s_nationkey + 1) as brand,
+        min(s_name) as pathway, count(*) as n_terms from supplier group by 1)
       select var.* exclude (price), {_r('price', 'price')}, pathway, n_terms
       from var left join notes using (brand)""",
     "coo_to_csr": f"""with {X}, rows as (select s_suppkey as r, count(x.value) as n
@@ -421,6 +421,29 @@ SQL |= {
       k as (select set_name, count(*) as k from sets group by 1)
       select o.obs_idx, k.set_name, round(coalesce(s.v, 0) / k.k, 6) as set_score
       from obs o cross join k left join s on s.obs_idx = o.obs_idx and s.set_name = k.set_name""",
+    "gene_set_score_many": f"""with {OBS}, {VAR}, {X},
+      k as (select kind, count(*) as k from var group by 1),
+      s as (select obs_idx, kind, sum(value) as v from x join var using (var_idx) group by all)
+      select o.obs_idx, k.kind as set_name, round(coalesce(s.v, 0) / k.k, 6) as set_score
+      from obs o cross join k left join s on s.obs_idx = o.obs_idx and s.kind = k.kind""",
+    "scan_x_wide_many": f"""with {OBS}, {X} select obs.obs_idx, (select count(*)::integer from part) as n_columns,
+        (count(*) filter (value > 0))::integer as n_stored, coalesce(sum(value), 0)::double as total
+      from obs left join x using (obs_idx) group by obs.obs_idx""",
+    "matrix_format": """with n as (select (select count(*) from supplier) as o, (select count(*) from part) as v)
+      select o + 1 as n_starts, o as n_obs, v as n_var, 'csr' as format, 'obs_idx' as axis from n
+      union all select v + 1, o, v, 'csc', 'var_idx' from n""",
+    "harmonize_x_union_case": f"with {PANEL_OBS}, {PANEL_X}, w as ("
+    + _wide("obs", "x", "value", [(i, f"c{i}") for i in range(25)], "double")
+    + ") select 'big' as _file_name, obs_idx, "
+    + ", ".join(f'c{i} as "BRAND#{i + 1}"' for i in range(25)) + ", "
+    + ", ".join(f'null::double as "brand#{i + 1}_1"' for i in range(25))
+    + " from w union all select 'small', obs_idx, " + ", ".join(["null"] * 25) + ", "
+    + ", ".join(f"c{i}" for i in range(25)) + " from w",
+    "uns_mixed": """with e as (select event_type, count(*) % 1000 as k from events group by 1)
+      select event_type, 'mixed' as key, 'array' as type, 'string' as dtype, '(3)' as shape,
+        [k::varchar, k || '.5', event_type] as arr from e
+      union all select event_type, 'real', 'array', 'float64', '(2)', [k::varchar, k || '.5'] from e
+      union all select event_type, 'ragged', 'array', 'string', '(2)', ['[' || k || ']', '[1,2]'] from e""",
     "matrix_density": f"""with {X}, n as (select (select count(*) from supplier) * (select count(*) from part) as n)
       select max(n.n) as total_entries, count(*) filter (value > 0) as nonzero_entries,
         round(count(*) filter (value > 0) * 100.0::double / max(n.n), 6) as density_pct from x, n""",

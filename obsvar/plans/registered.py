@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,8 +165,9 @@ def export_long(spark, folder):
 def external_annotation(spark, folder):
     ds = star.expression(spark, folder)
     path = scratch_path(spark, "annotation")
-    pathways = ds.var.filter("size > 10").groupBy("brand").agg(
-        F.min("label").alias("pathway"), F.count("*").alias("n_terms")
+    brand = F.concat(F.lit("Brand#"), (2 * F.col("s_nationkey") + 1).cast("string"))  # not all brands
+    pathways = star.tables(spark, folder).supplier.groupBy(brand.alias("brand")).agg(
+        F.min("s_name").alias("pathway"), F.count("*").alias("n_terms")
     )
     pathways.write.option("header", True).csv(path)
     outside = files.read_annotation(spark, path, "brand string, pathway string, n_terms bigint")
@@ -569,6 +571,53 @@ def gene_set_score(spark, folder):
     return rounded(analysis.gene_set_score(star.panel(spark, folder), GENE_SETS))
 
 
+@registered
+def gene_set_score_many(spark, folder):
+    ds = star.expression(spark, folder)
+    sets: dict[str, list[str]] = {}
+    for kind, name in ds.var.select("kind", "_index").collect():  # the sets are the query's argument
+        sets.setdefault(kind, []).append(name)
+    return rounded(analysis.gene_set_score(ds, sets, "_index"))
+
+
+@registered
+def scan_x_wide_many(spark, folder):
+    wide = scans.scan_x(star.expression(spark, folder), name_column="_index")
+    values = F.array(*wide.columns[1:])
+    return wide.select(
+        "obs_idx", F.size(values).alias("n_columns"), F.size(F.filter(values, lambda v: v > 0)).alias("n_stored"),
+        F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("total"),
+    )
+
+
+@registered
+def matrix_format(spark, folder):
+    ds = star.expression(spark, folder)
+    found = []
+    for axis, other in (("obs_idx", "var_idx"), ("var_idx", "obs_idx")):
+        indptr, _ = _compressed(spark, folder, axis, other)
+        found.append(matrix.sparse_format(indptr, ds.obs, ds.var).withColumn("axis", F.lit(axis)))
+    return found[0].unionByName(found[1])
+
+
+@registered
+def harmonize_x_union_case(spark, folder):
+    ds = star.panel(spark, folder)
+    members = {
+        name: replace(ds, var=ds.var.withColumn("_index", change("_index")))
+        for name, change in (("big", F.upper), ("small", F.lower))
+    }
+    return many.harmonize_x(many.Collection.of(members), "union", name_column="_index")
+
+
+@registered
+def uns_mixed(spark, folder):
+    k = F.pmod(F.count("*"), F.lit(1000))
+    text = F.format_string('{"mixed": [%d, %d.5, "%s"], "real": [%d, %d.5], "ragged": [[%d], [1, 2]]}', k, k, "event_type", k, k, k)
+    events = star.tables(spark, folder).events.groupBy("event_type").agg(text.alias("j"))
+    return uns.flatten_json(events, "j").select("event_type", "key", "type", "dtype", "shape", "value.arr")
+
+
 @registered
 def matrix_density(spark, folder):
     return rounded(analysis.matrix_density(star.expression(spark, folder)))
