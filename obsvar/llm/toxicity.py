@@ -252,7 +252,8 @@ def calibrated(terms, idf, matrix, toxic, weight, ids) -> Model:
     silent = float((weight[quiet] * toxic[quiet]).sum() / max(1e-9, weight[quiet].sum())) if len(quiet) else float(
         (weight * toxic).sum() / max(1e-9, weight.sum())
     )
-    spoken = spoken[np.argsort(matrix[spoken].argmax(axis=1), kind="stable")]  # like examples share blocks
+    if len(spoken):  # like examples share blocks
+        spoken = spoken[np.argsort(matrix[spoken].argmax(axis=1), kind="stable")]
     matrix, toxic, weight, ids = matrix[spoken], toxic[spoken], weight[spoken], ids[spoken]
     index = BlockMaxIndex(matrix)
     beta = np.zeros(3)

@@ -51,7 +51,13 @@ def reference(rows, train):
 
 
 def test_base_scores_and_model(spark):
-    rows = [(k, prose(80, k, 300) + " of the and" * (k % 4)) for k in range(240)]
+    def chain(k):  # a word is mostly followed by one of two
+        words = [k % 97]
+        for step in range(80):
+            words.append((words[-1] * 5 + (k * 31 + step * 17) % 2 + 1) % 97)
+        return " ".join(f"W{w}" for w in words) + f" only{k}"
+
+    rows = [(k, chain(k)) for k in range(240)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = lm.scored(docs, F.col("doc_id") % 5 != 1).collect()
     want = reference(rows, {k for k, _ in rows if k % 5 != 1})
