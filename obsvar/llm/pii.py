@@ -84,19 +84,24 @@ def _cut(docs: DataFrame, text: str) -> DataFrame:
     return docs
 
 
-def _located(kind: str) -> Column:
-    """Spans of the matches of one kind that are valid, in order of their starts."""
-    hits, pieces = F.col(f"_h_{kind}"), F.col(f"_p_{kind}")
-    # piece, match, piece, match, ...: the running length after 2k + 1 parts is where match k begins
-    lengths = F.flatten(F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.array(F.length(p), F.length(h))))
-    ends = _last_sums(lengths)
+def _ends(hits: Column, pieces: Column) -> Column:
+    """Where each part ends: piece, match, piece, match, ...; match k begins at place 2k, ends at 2k + 1.
+
+    To be stored as a column before it is used in a lambda: there it would be made anew each time.
+    """
+    lengths = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.array(F.length(p), F.length(h)))
+    return F.when(F.size(pieces) > 1, _last_sums(F.flatten(lengths)))
+
+
+def _located(hits: Column, ends: Column, kind: int) -> Column:
+    """Spans of the matches of one kind, in order of their starts."""
     spans = F.transform(
         hits,
         lambda h, k: F.struct(
-            F.get(ends, 2 * k).alias("start"), F.lit(KINDS.index(kind)).alias("kind"), F.get(ends, 2 * k + 1).alias("end"), h.alias("value")
+            F.get(ends, 2 * k).alias("start"), F.lit(kind).alias("kind"), F.get(ends, 2 * k + 1).alias("end"), h.alias("value")
         ),
     )
-    return F.when(F.size(pieces) > 1, F.filter(spans, lambda s: _valid(kind, s.value))).otherwise(F.array().cast(SPANS))
+    return F.when(ends.isNotNull(), spans).otherwise(F.array()).cast(SPANS)
 
 
 def base_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
@@ -108,9 +113,15 @@ def base_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataF
     """
     found = _cut(docs, text)
     for kind in KINDS:
-        found = found.withColumn(f"_s_{kind}", _located(kind).cast(SPANS))
+        found = found.withColumn(f"_e_{kind}", _ends(F.col(f"_h_{kind}"), F.col(f"_p_{kind}")))
+
+    def valid(k: int, kind: str) -> Column:
+        return F.filter(_located(F.col(f"_h_{kind}"), F.col(f"_e_{kind}"), k), lambda s: _valid(kind, s.value))
+
+    for k, kind in enumerate(KINDS):
+        found = found.withColumn(f"_s_{kind}", valid(k, kind))
     everything = F.array_sort(F.concat(*(F.col(f"_s_{kind}") for kind in KINDS)))
-    extra = [f"_{x}_{kind}" for x in "hps" for kind in KINDS]
+    extra = [f"_{x}_{kind}" for x in "hpes" for kind in KINDS]
     return found.withColumn(out, everything).drop(*extra)
 
 
@@ -182,20 +193,14 @@ def term_spans(docs: DataFrame, terms: DataFrame, id: str = "doc_id", text: str
     kept = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"), F.xxhash64(F.col(text)).alias("_print"))
     words = kept.select("_id", "_print", F.explode(F.array_distinct(F.split(F.lower("_text"), WORD_BREAK))).alias("term"))
     holders = words.join(small(terms.select("term")), "term").groupBy("_id", "_print").agg(F.collect_set("term").alias("_terms"))
-    holders = materialise(holders.withColumnRenamed("_id", "_i").withColumnRenamed("_print", "_p"))
+    holders = materialise(holders.withColumnRenamed("_id", "_i").withColumnRenamed("_print", "_hash"))
     few = F.broadcast if holders.count() <= BROADCAST_DOCS else (lambda df: df)
-    rows = kept.join(few(holders), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_print") == F.col("_p")))
+    rows = kept.join(few(holders), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_print") == F.col("_hash")))
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join("_terms", "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    rows = rows.withColumn("_h_ip", F.regexp_extract_all("_text", pattern, F.lit(0)))
-    rows = rows.withColumn("_p_ip", F.split(F.col("_text"), pattern, -1))
-    hits, pieces = F.col("_h_ip"), F.col("_p_ip")
-    lengths = F.flatten(F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.array(F.length(p), F.length(h))))
-    ends = _last_sums(lengths)
-    spans = F.transform(
-        hits,
-        lambda h, k: F.struct(F.get(ends, 2 * k).alias("start"), F.lit(len(KINDS)).alias("kind"), F.get(ends, 2 * k + 1).alias("end"), h.alias("value")),
-    )
-    found = rows.filter(F.size(hits) > 0).select("_id", "_print", spans.cast(SPANS).alias("_term_spans"))
+    rows = rows.withColumn("_h", F.regexp_extract_all("_text", pattern, F.lit(0)))
+    rows = rows.withColumn("_p", F.split(F.col("_text"), pattern, -1))
+    rows = rows.select("_id", "_print", "_h", _ends(F.col("_h"), F.col("_p")).alias("_e")).filter("_e is not null")
+    found = rows.select("_id", "_print", _located(F.col("_h"), F.col("_e"), len(KINDS)).alias("_term_spans"))
     return found.dropDuplicates(["_id", "_print"])
 
 
