@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsvar.llm.ranges import fresh
+from obsvar.session import materialise
 
 #: Offsets of the tokens that count.
 MASKS = ((0, 1, 2, 4), (0, 1, 3, 5), (0, 2, 3, 6))
@@ -20,6 +21,8 @@ SPAN = 1 + max(map(max, MASKS))
 WINDOW, PERCENT = 13, 80
 #: Seeds are broadcast up to this number (28 bytes each, 60 MB); more are joined by a shuffle.
 BROADCAST_SEEDS = 2_000_000
+#: Texts with hits are named to the second read by broadcast up to this number (16 bytes each).
+BROADCAST_TEXTS = 1_000_000
 SEPARATOR = r"[^\p{L}\p{N}]+"
 
 
@@ -29,11 +32,15 @@ def tokens(text: str) -> Column:
 
 
 def seeds(df: DataFrame, words: str, position: str) -> DataFrame:
-    """One row for each window and mask: ``_mask``, ``_seed`` and the window's 0-based ``position``."""
+    """One row for each window and mask: ``_mask``, ``_seed`` and the window's 0-based ``position``.
+
+    The other columns go along, but not the words: they would be copied for every window.
+    """
+    others = [c for c in df.columns if c != words]
     shifted = [F.col(words), *(F.slice(F.col(words), k + 1, F.size(words)) for k in range(1, SPAN))]
     names = [f"w{k}" for k in range(SPAN)]
     zipped = F.arrays_zip(*(c.alias(n) for c, n in zip(shifted, names, strict=True)))
-    rows = df.select("*", F.posexplode(zipped).alias(position, "_w"))
+    rows = df.select(*others, F.posexplode(zipped).alias(position, "_w"))
     hashed = F.array(
         *(
             F.when(
@@ -43,7 +50,7 @@ def seeds(df: DataFrame, words: str, position: str) -> DataFrame:
             for m, mask in enumerate(MASKS)
         )
     )
-    return rows.select(*df.columns, position, F.posexplode(hashed).alias("_mask", "_seed")).filter(
+    return rows.select(*others, position, F.posexplode(hashed).alias("_mask", "_seed")).filter(
         F.col("_seed").isNotNull()
     )
 
@@ -70,29 +77,37 @@ def overlaps(
         .agg(F.min("_item").alias("_item"))
         .withColumn("_key", F.xxhash64("_iw"))
     )
-    index = seeds(bench.select("_key", F.col("_iw")), "_iw", "_ip").select(
-        F.col("_mask").alias("_m"), F.col("_seed").alias("_s"), "_key", "_ip"
-    ).distinct()
-    n_seeds = index.count()
-    small = F.broadcast if n_seeds <= BROADCAST_SEEDS else (lambda df: df)
-    words = docs.select(F.col(id).alias("_id"), tokens(text).alias("_dw"))
+    places = seeds(bench.select("_key", "_iw"), "_iw", "_ip")
+    index = places.groupBy(F.col("_mask").alias("_m"), F.col("_seed").alias("_s")).agg(
+        F.collect_list(F.struct("_key", "_ip")).alias("_at")
+    )
+    small = F.broadcast if places.count() <= BROADCAST_SEEDS else (lambda df: df)
+    rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"), F.xxhash64(F.col(text)).alias("_print"))
+    words = rows.select("_id", "_print", tokens("_text").alias("_dw"))
     found = seeds(words, "_dw", "_dp").join(
         small(index), (F.col("_mask") == F.col("_m")) & (F.col("_seed") == F.col("_s"))
     )
-    found = found.join(small(bench), "_key")  # fewer items than seeds
-    shift = F.col("_dp") - F.col("_ip")
-    low = F.greatest(F.lit(0), -shift)
-    span = F.least(F.size("_iw"), F.size("_dw") - shift) - low
-    beside = found.select(
-        "_id",
-        "_item",
-        shift.alias("_shift"),
-        F.size("_iw").alias("_len"),
-        F.zip_with(
-            F.slice("_iw", low + 1, span), F.slice("_dw", low + shift + 1, span), lambda a, b: (a == b).cast("int")
-        ).alias("_same"),
-    )
-    once = beside.groupBy("_id", "_item", "_shift").agg(F.first("_len").alias("_len"), F.first("_same").alias("_same"))
+    found = found.select("_id", "_print", "_dp", F.explode("_at").alias("_hit"))
+    once = found.groupBy("_id", "_print", F.col("_hit._key").alias("_key"), (F.col("_dp") - F.col("_hit._ip")).alias("_shift")).count()
+    lines = once.join(small(bench), "_key").groupBy("_id", "_print")
+    lines = materialise(lines.agg(F.collect_list(F.struct("_item", "_shift", "_iw")).alias("_lines")))
+    few = F.broadcast if lines.count() <= BROADCAST_TEXTS else (lambda df: df)
+
+    def alike(left: str, right: str) -> Column:
+        return F.col(f"{left}._id").eqNullSafe(F.col(f"{right}._id")) & (F.col(f"{left}._print") == F.col(f"{right}._print"))
+
+    hit = rows.alias("r").join(few(lines.select("_id", "_print")).alias("h"), alike("r", "h"), "left_semi")
+    hit = hit.select("_id", "_print", tokens("_text").alias("_dw")).alias("t").join(lines.alias("l"), alike("t", "l"))
+
+    def beside(line: Column) -> Column:
+        low = F.greatest(F.lit(0), -line["_shift"])
+        span = F.least(F.size(line["_iw"]), F.size("_dw") - line["_shift"]) - low
+        same = F.zip_with(
+            F.slice(line["_iw"], low + 1, span), F.slice("_dw", low + line["_shift"] + 1, span), lambda a, b: (a == b).cast("int")
+        )
+        return F.struct(line["_item"].alias("_item"), line["_shift"].alias("_shift"), F.size(line["_iw"]).alias("_len"), same.alias("_same"))
+
+    once = hit.select(F.col("t._id").alias("_id"), F.inline(F.transform("_lines", beside)))
     width = F.least(F.col("_len"), F.lit(WINDOW))
     best = F.array_max(
         F.transform(
@@ -102,10 +117,9 @@ def overlaps(
     )
     verified = once.filter(best * 100 >= width * PERCENT)
     total = F.aggregate("_same", F.lit(0), lambda a, b: a + b)
-    return verified.select(
-        F.col("_id").alias(id), F.col("_item").alias("item"), F.col("_shift").alias("shift"),
-        total.alias("n_same"), F.size("_same").alias("n_aligned"),
-    )
+    found = verified.select("_id", "_item", "_shift", total.alias("n_same"), F.size("_same").alias("n_aligned"))
+    best = found.groupBy("_id", "_item", "_shift").agg(F.max(F.struct("n_same", "n_aligned")).alias("b"))
+    return best.select(F.col("_id").alias(id), F.col("_item").alias("item"), F.col("_shift").alias("shift"), "b.n_same", "b.n_aligned")
 
 
 def contamination(docs: DataFrame, items: DataFrame, id: str = "doc_id", **columns) -> DataFrame:
