@@ -29,7 +29,7 @@ def test_rules_hosts_paths_and_the_walk(spark):
     assert len(found) == len(PAGES) and found[0].asDict().keys() == {"page_id", "url", "host", "path", "rule", "verdict"}
     by = {r.page_id: r for r in found}
     assert [(by[k].host, by[k].path) for k in (2, 3, 4, 10, 11, 12, 13)] == [
-        ("www.good.org", "/ads/1"), ("friend.io", ""), ("pal.io", ""), ("", ""), ("", ""), ("", ""), ("far.example.com", "/path"),
+        ("www.good.org", "/ads/1"), ("friend.io", "/"), ("pal.io", ""), ("", ""), ("", ""), ("", ""), ("far.example.com", "/path"),
     ]
     assert [by[k].rule for k in (1, 2, 7, 8, 9, 13)] == ["good.org/", "good.org/ads/", "bad.net/", "ok.bad.net/en/", "bad.net/", None]
     verdicts = {k: r.verdict for k, r in by.items()}
