@@ -7,6 +7,7 @@ cells, the mean is ``k*m/n`` and the squared deviations are those of the stored
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -115,8 +116,9 @@ def expression_by_group(
     picks = resolve_variables(ds.require_var(), name_column or ds.var_name_column, names)
     genes = ds.var.sparkSession.createDataFrame(picks, "var_idx bigint, gene string")
     sizes = ds.require_obs().groupBy(column(group).alias("grp")).agg(F.count("*").alias("n"))
-    listed = genes.agg(F.collect_list(F.struct("var_idx", "gene")).alias("listed")).withColumn("one", F.lit(1))
-    grid = sizes.withColumn("one", F.lit(1)).join(listed, "one").select("grp", "n", F.inline("listed"))
+    named = json.dumps([{"var_idx": i, "gene": n} for i, n in picks])
+    listed = F.from_json(F.lit(named), "array<struct<var_idx: bigint, gene: string>>")
+    grid = sizes.select("grp", "n", F.inline(listed))
     cells = near(ds.require_x(), [i for i, _ in picks]).join(genes.select("var_idx"), "var_idx")
     stored = (
         cells.join(_labels(ds, group), "obs_idx")
