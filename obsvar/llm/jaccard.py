@@ -117,39 +117,33 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFra
     links = _compared(docs, classes, star, percent, reader)
     labels = components(links)
 
-    # tokens of a prefix that are in no list are shared with nobody: at most `room` tokens can be
-    enough = F.ceil(F.col("n") * percent / 100)
-    alone = F.col("n") - enough + F.least(F.lit(AGREE), enough) - F.count("*")
-    nodes = shared.groupBy("node", "n").agg((F.col("n") - alone).alias("room"))
-    nodes = nodes.join(labels, "node", "left").select("node", "room", F.coalesce("label", "node").alias("label"))
-    named = shared.join(nodes, "node")
+    nodes = shared.select("node").distinct().join(labels, "node", "left")
+    named = shared.join(nodes.select("node", F.coalesce("label", "node").alias("label")), "node")
     hubs = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
     named = named.join(hubs, "hub", "left").withColumn("hub_label", F.coalesce("hub_label", "hub"))
-    # the sizes that a partner may have at most, for so many common tokens to suffice
-    most = F.col("room") * ((100 + percent) / percent) - F.col("n") + 1e-6
-    named = named.withColumn("most", most)
-    mixed = named.groupBy("token").agg(
-        F.min("label").alias("l"), F.max("label").alias("h"), F.min("n").alias("least_n"), F.max("most").alias("most_n")
-    )
-    named = named.join(mixed.filter("l <> h").drop("l", "h"), "token").filter("most >= least_n and n <= most_n")
-    named = _stored(named.drop("least_n", "most_n", "most"), "jaccard-mixed")
+    mixed = named.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("token")
+    named = _stored(named.join(mixed, "token"), "jaccard-mixed")
     heads = shared.join(named.select("node").distinct(), "node", "left_semi").groupBy("node")
     heads = heads.agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, HEAD).alias("h"))
-    heads = heads.select("node", F.col("h.token").alias("head"))
+    heads = heads.select("node", F.col("h.token").alias("head"), F.col("h.pos").alias("places"))
     named = named.join(heads, "node")
     apart = named.filter("label <> hub_label").select(
-        "token", *(F.col(c).alias(f"x{c}") for c in ("node", "n", "pos", "label", "room", "head"))
+        "token", *(F.col(c).alias(f"x{c}") for c in ("node", "n", "pos", "label", "head", "places"))
     )
     # of the tokens a pair shares, the first one makes it, if the heads show which that is
     both = F.array_intersect("head", "xhead")
     full = (F.size("head") == HEAD) | (F.size("xhead") == HEAD)
     least = F.least(F.lit(AGREE), F.ceil(F.least("n", "xn") * percent / 100))
+    # at most so many are common: those of the heads, and what either set has after the last of them
+    last = F.element_at(both, -1)
+    after = F.least(*(F.col(f"{x}n") - F.get(f"{x}places", F.array_position(f"{x}head", last).cast("int") - 1) - 1 for x in ("", "x")))
+    common = F.when(F.size(both) == 0, F.least("n", "xn")).otherwise(F.size(both) + after)
     rest = (
         apart.join(named, "token")
         .filter((F.col("label") != F.col("xlabel")) & _sizes_fit("n", "xn", percent))
         .filter((F.col("label") == F.col("hub_label")) | (F.col("xnode") < F.col("node")))
-        .filter(F.least("room", "xroom") * (100 + percent) >= percent * (F.col("n") + F.col("xn")))
         .filter((F.size(both) == 0) | ((F.get(both, F.lit(0)) == F.col("token")) & (full | (F.size(both) >= least))))
+        .filter(common * (100 + percent) >= percent * (F.col("n") + F.col("xn")))
         .withColumn("seen", F.when(F.size(both) == 0, 1).when(full, AGREE).otherwise(F.size(both)))
     )
     one = F.struct(F.col("xnode").alias("v"), F.col("xn").alias("n"), F.col("xpos").alias("p"))

@@ -63,6 +63,26 @@ def test_components_equal_brute_force(spark, n, percent, seed):
     assert 10 < len({c for _, _, c in want}) < len(rows) - 50
 
 
+def hub_families(count, n, percent):
+    """Families x, y, z: only x and y are similar; z has a frequent notice, and so is the hub of what they share."""
+    notice, rows = " ".join(f"notice{k}" for k in range(13)), []
+    rows += [f"{prose(50, 9_000 + k, 100_000)} {notice}" for k in range(40)]
+    for f in range(count):
+        body = " ".join(f"f{f}b{k}" for k in range(85 + n))
+        more = {side: " ".join(f"f{f}{side}{k}" for k in range(size)) for side, size in (("y", 14 if percent == 85 else 21), ("z", 10))}
+        rows += [body, f"{body} {more['y']}", f"{body} {more['z']} {notice}"]
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80)])
+def test_pairs_whose_hub_is_dissimilar_equal_brute_force(spark, n, percent):
+    rows = hub_families(12, n, percent)
+    found = jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), n, percent).collect()
+    want = expected(rows, n, percent)
+    assert len({c for _, _, c in want}) <= len(rows) - 12
+    assert sorted(map(tuple, found)) == want
+
+
 def test_edges(spark):
     found = jaccard.similar_groups(edge_docs(spark, "id"), 4, 85).collect()
     assert len(found) == len(edge_docs(spark).collect())
