@@ -154,13 +154,13 @@ def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
     """(term, disclosure, action): what gives a protected entity of the corpus away.
 
     The co-occurrence count n(e, t) is that of distinct contexts, so that copies of a text, exact or near, are one
-    witness; n(t) is that of all documents with the term. Single documents prove nothing: a term
+    witness; n(t) and N are those of distinct texts. Single documents prove nothing: a term
     needs ``SUPPORT`` contexts beside an entity. An entity or term that fills most of the corpus
     is reduced within partitions before it is shuffled.
     """
     places = materialise(_contexts(docs, text))
     contexts = places.groupBy("entity", "context").agg(F.first("terms").alias("terms"))
-    total = max(2, docs.count())
+    total = max(2, docs.select(F.xxhash64(text)).distinct().count())
     entities = contexts.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= SUPPORT)
     pairs = contexts.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_et"))
     pairs = pairs.filter(F.col("n_et") >= SUPPORT).join(entities, "entity")
@@ -171,8 +171,9 @@ def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
     asked = pairs.select("term").distinct()
     small = F.broadcast if (n := asked.count()) <= BROADCAST_TERMS else (lambda df: df)
     if n:
-        words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_BREAK))).alias("term"))
-        holds = words.join(small(asked), "term").groupBy("term").agg(F.count("*").alias("n_t"))
+        split = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_BREAK))
+        words = docs.select(F.xxhash64(text).alias("print"), F.explode(split).alias("term"))
+        holds = words.join(small(asked), "term").select("print", "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
     else:
         holds = asked.withColumn("n_t", F.lit(0).cast("bigint"))
     told = F.log2(F.lit(float(total)) / F.col("n_e"))

@@ -73,6 +73,14 @@ def test_copies_are_one_witness(spark):
     assert pii.disclosing_terms(docs).count() == 0
 
 
+def test_copies_of_a_holder_leave_its_term_flagged(spark):
+    rows = [(k, f"{prose(30, k, 3_000)} boss@corp.example Zorblatt {prose(20, k + 50)}") for k in range(12)]
+    rows += [(100 + k, prose(60, k + 900, 3_000)) for k in range(300)]
+    rows += [(1_000 + k, rows[0][1]) for k in range(400)]
+    terms = {r.term: r for r in pii.disclosing_terms(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert terms["zorblatt"].disclosure == 1.0 and terms["zorblatt"].action == "remove"
+
+
 def test_edges(spark):
     docs = edge_docs(spark, "base")
     found = pii.protected(docs)
