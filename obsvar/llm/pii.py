@@ -23,8 +23,7 @@ PATTERNS = {
 }
 #: A text without this has no match; checked before the patterns run.
 NEEDS = {"email": "@", "ip": None, "card": None, "phone": "+"}
-AROUND = 5  # words on each side of an entity that are its context
-SUPPORT = 3  # distinct contexts in which a term must stand beside an entity
+SUPPORT = 3  # distinct texts that must hold a term and an entity
 GENERALISE, REMOVE = 0.85, 0.95
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 #: Terms up to this number are broadcast (some 40 bytes each); more meet the words in a shuffle.
@@ -125,49 +124,50 @@ def base_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataF
     return found.withColumn(out, everything).drop(*extra)
 
 
-def _contexts(docs: DataFrame, text: str) -> DataFrame:
-    """(print, entity, context, terms): each valid match with the words beside it, and its text's hash."""
+def _held(docs: DataFrame, text: str) -> DataFrame:
+    """(print, kind, entities, terms) of each text and kind: valid matches, and the words outside them."""
     found = _cut(docs, text)
 
-    def sided(kind: str) -> Column:
-        pieces = F.col(f"_p_{kind}")
-        both = F.transform(
-            F.col(f"_h_{kind}"),
-            lambda h, k: F.struct(h.alias("value"), F.get(pieces, k).alias("before"), F.get(pieces, k + 1).alias("after")),
-        )
-        return F.filter(both, lambda s: _valid(kind, s.value))
-
-    every = F.flatten(F.array_compact(F.array(*map(sided, KINDS))))
-    rows = found.select(F.xxhash64(F.col(text)).alias("print"), F.explode(every).alias("m"))
+    def outside(kind: str) -> Column:
+        hits, pieces = F.col(f"_h_{kind}"), F.col(f"_p_{kind}")
+        # a valid match ends a word; one that fails its check is text like any other
+        filled = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.concat(p, F.when(_valid(kind, h), " ").otherwise(h)))
+        whole = F.array_join(F.concat(filled, F.array(F.element_at(pieces, -1))), "")
+        return F.array_distinct(F.array_remove(F.split(F.lower(whole), WORD_BREAK), ""))
 
-    def words(piece: Column, at_end: bool) -> Column:
-        split = F.array_remove(F.split(F.lower(piece), WORD_BREAK), "")
-        start = F.when(F.size(split) > AROUND, F.size(split) - AROUND + 1).otherwise(1) if at_end else F.lit(1)
-        return F.slice(split, start, AROUND)
+    def held(k: int, kind: str) -> Column:
+        valid = F.filter(F.col(f"_h_{kind}"), lambda h: _valid(kind, h))
+        entities = F.array_distinct(F.transform(valid, lambda h: F.lower(h)))
+        return F.when(F.size(valid) > 0, F.struct(F.lit(k).alias("kind"), entities.alias("entities"), outside(kind).alias("terms")))
 
-    beside = F.concat(words(F.col("m.before"), True), words(F.col("m.after"), False))
-    rows = rows.select("print", F.lower("m.value").alias("entity"), beside.alias("words"))
-    return rows.select("print", "entity", F.xxhash64("words").alias("context"), F.array_distinct("words").alias("terms"))
+    every = F.array_compact(F.array(*(held(k, kind) for k, kind in enumerate(KINDS))))
+    return found.select(F.xxhash64(F.col(text)).alias("print"), F.explode(every).alias("m")).select("print", "m.*")
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """(term, disclosure, action): what gives a protected entity of the corpus away.
 
-    The co-occurrence count n(e, t) is that of distinct contexts, so that copies of a text, exact or near, are one
-    witness; n(t) and N are those of distinct texts. Single documents prove nothing: a term
-    needs ``SUPPORT`` contexts beside an entity. An entity or term that fills most of the corpus
-    is reduced within partitions before it is shuffled.
+    All four counts are those of distinct texts, so that copies of a text are one witness; a term and
+    an entity meet wherever in a text they stand. Single documents prove nothing: a term needs
+    ``SUPPORT`` texts with an entity. An entity or term that fills most of the corpus is reduced
+    within partitions before it is shuffled.
     """
-    places = materialise(_contexts(docs, text))
-    contexts = places.groupBy("entity", "context").agg(F.first("terms").alias("terms"))
+    places = materialise(_held(docs, text).dropDuplicates(["print", "kind"]))
     total = max(2, docs.select(F.xxhash64(text)).distinct().count())
-    entities = contexts.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= SUPPORT)
-    pairs = contexts.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    pairs = pairs.filter(F.col("n_et") >= SUPPORT).join(entities, "entity")
-    # texts with the term beside any entity: no more than all that have it, and often too many already
-    near = places.select("print", F.explode("terms").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    most = F.col("n_et") * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - GENERALISE)) * (1 + 1e-9)
-    pairs = materialise(pairs.join(near, "term").filter(F.col("n_near") <= most).drop("n_near"))
+    found = places.select("print", "kind", F.explode("entities").alias("entity"))
+    entities = found.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= SUPPORT)
+    found = found.join(entities, "entity")
+    # texts with the term and any entity: no more than all that have it, and often too many already
+    terms = places.join(found.select("print", "kind").distinct(), ["print", "kind"], "left_semi")
+    terms = terms.select("print", "kind", F.explode("terms").alias("term"))
+    near = terms.select("print", "term").distinct().groupBy("term").agg(F.count("*").alias("n_near")).filter(F.col("n_near") >= SUPPORT)
+
+    def most(n_et: str) -> Column:
+        return F.col(n_et) * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - GENERALISE)) * (1 + 1e-9)
+
+    pairs = terms.join(near, "term").join(found, ["print", "kind"]).filter(F.col("n_near") <= most("n_e"))
+    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_near").alias("n_near"))
+    pairs = materialise(pairs.filter((F.col("n_et") >= SUPPORT) & (F.col("n_near") <= most("n_et"))).drop("n_near"))
     asked = pairs.select("term").distinct()
     small = F.broadcast if (n := asked.count()) <= BROADCAST_TERMS else (lambda df: df)
     if n:

@@ -81,6 +81,14 @@ def test_copies_of_a_holder_leave_its_term_flagged(spark):
     assert terms["zorblatt"].disclosure == 1.0 and terms["zorblatt"].action == "remove"
 
 
+def test_terms_far_from_the_entity_count(spark):
+    rows = [(k, f"Zorblatt {prose(30, k, 3_000)} boss@corp.example {prose(20, k + 50)} " + "Quuxham" * (k % 2)) for k in range(12)]
+    rows += [(100 + k, prose(60, k + 900, 3_000)) for k in range(300)]
+    terms = {r.term: r for r in pii.disclosing_terms(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert terms["zorblatt"].disclosure == 1.0 and not {"boss", "corp", "example"} & set(terms)
+    assert terms["quuxham"].disclosure == 1.0  # at the foot of half of the texts, and nowhere else
+
+
 def test_edges(spark):
     docs = edge_docs(spark, "base")
     found = pii.protected(docs)
