@@ -49,6 +49,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/obsvar-{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder, read again, and its path for ``discard``."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Removes scratch tables that nothing reads any more; other paths are refused."""
+    for path in paths:
+        if not path.rsplit("/", 1)[-1].startswith("obsvar-"):
+            raise ValueError(f"not a scratch table: {path}")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of any executor."""
     shared_folder(df.sparkSession)
