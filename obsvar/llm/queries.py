@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsvar.llm import decontaminate, jaccard, langid, lm, mixing, pii, quality, shards, toxicity, urlgraph
+from obsvar.llm import decontaminate, jaccard, langid, lm, mixing, pii, quality, resampling, shards, tokencounts, toxicity, urlgraph
 from obsvar.llm.textblocks import crc_slot
+from obsvar.session import scratch_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -102,6 +104,21 @@ def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = resampling.ranked(docs, table(spark, folder, "benchmark").select("text"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every call starts with an empty cache of its own, so that its work follows its input."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    found = tokencounts.counted(docs, tokenizer, scratch_path(spark, "token-cache"))
+    n = F.col("tokens.n_tokens")
+    return found.select("doc_id", "tokens.n_bytes", n.alias("n_tokens"), (n > 1024).alias("over_limit"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -115,5 +132,7 @@ QUERIES = {
         op8_mixing,
         op9_url_graph,
         op10_langid,
+        op11_resampling,
+        op13_token_counts,
     )
 }

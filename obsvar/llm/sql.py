@@ -101,6 +101,43 @@ select doc_id, size, text_crc32, 'bytes' as law, shard, (place - min(place) over
 """
 
 
+_CRC_TABLE = """steps as (select n as start, n as c, 0 as k from range(256) r(n)
+      union all select start, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from steps where k < 8),
+crc_lookup as (select list(c order by start) as crc_table from steps where k = 8)"""
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of a column's UTF-8 bytes, beside ``crc_lookup``."""
+    digits = f"hex(encode({text}))"
+    byte = f"(instr('0123456789ABCDEF', {digits}[2 * i + 1]) - 1) * 16 + instr('0123456789ABCDEF', {digits}[2 * i + 2]) - 1"
+    data = f"list_transform(range(strlen({text})), lambda i: {byte})"
+    state = f"list_reduce(list_prepend(4294967295::bigint, {data}), lambda s, x: xor(s >> 8, crc_table[xor(s & 255, x) + 1]))"
+    return f"xor({state}, 4294967295)::bigint"
+
+
+def _op11() -> str:
+    words = rf"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    return f"""
+with recursive {_CRC_TABLE},
+d as (select row_number() over () as r, doc_id, {words} as ws from documents),
+w as (select r, unnest(ws) as word from d),
+t as (select unnest(ws) as word from (select {words} as ws from benchmark)),
+b as (select word, {_crc("word")} % 10000 as bucket from (select word from w union select word from t), crc_lookup),
+s as (select bucket, count(*)::double as s from w join b using (word) group by bucket),
+g as (select bucket, count(*)::double as t from t join b using (word) group by bucket),
+n as (select (select count(*) from w)::double as all_s, (select count(*) from t)::double as all_t),
+gain as (select bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (all_s + 10000) / ((coalesce(s, 0) + 1) * (all_t + 10000))))::bigint as gain
+         from (select distinct bucket from b) left join s using (bucket) left join g using (bucket), n),
+m as (select r, count(*) as n, sum(gain) as total from w join b using (word) join gain using (bucket) group by r),
+x as (select r, doc_id, coalesce(n, 0)::bigint as n_features, coalesce(floor(total::double / n), 0)::bigint as weight,
+             ('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint as h from d left join m using (r)),
+y as (select r, doc_id, n_features, weight, (weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))))::bigint as score from x),
+z as (select r, row_number() over (order by score desc, doc_id nulls last, r) as place, count(*) over () as n from y where n_features >= 20)
+select doc_id, n_features, weight, score, case when place <= 10 * n // 100 then place end::bigint as rank
+from y left join z using (r)
+"""
+
+
 def _op5(words: int = 4, percent: int = 85) -> str:
     return f"""
 with recursive d as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_BLANK}'), lambda x: x <> '') as ws from documents),
@@ -167,4 +204,5 @@ SQL = {
     "op3_shards": _op3(),
     "op5_jaccard_join": _op5(),
     "op9_url_graph": _op9(),
+    "op11_resampling": _op11(),
 }
