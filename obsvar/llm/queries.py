@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsvar.llm import decontaminate, jaccard, langid, lm, mixing, pii, quality, resampling, shards, tokencounts, toxicity, urlgraph
+from obsvar.llm import conversations, decontaminate, jaccard, langid, lm, mixing, pii, quality, resampling, shards, tokencounts, toxicity, urlgraph
 from obsvar.llm.textblocks import crc_slot
 from obsvar.session import scratch_path
 
@@ -110,6 +110,10 @@ def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.trie(conversations.forked(table(spark, folder, "conversations")))
+
+
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Every call starts with an empty cache of its own, so that its work follows its input."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -133,6 +137,7 @@ QUERIES = {
         op9_url_graph,
         op10_langid,
         op11_resampling,
+        op12_prefix_trie,
         op13_token_counts,
     )
 }

@@ -138,6 +138,35 @@ from y left join z using (r)
 """
 
 
+def _op12() -> str:
+    return rf"""
+with recursive {_CRC_TABLE},
+t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+             row_number() over (partition by conv_id order by turn nulls first) - 1 as i from conversations where conv_id is not null),
+c as (select conv_id, conv_id - conv_id % 20 as base, {_crc("said")} % 4 as h
+      from (select distinct conv_id, conv_id::varchar as said from t), crc_lookup),
+b as (select c.conv_id, t.role, t.text, t.i from c join t on t.conv_id = base where t.i < h),
+r as (select conv_id, role, text, 0 as own, i from b
+      union all select conv_id, role, text, 1, i from t join c using (conv_id) where i >= h),
+s as (select conv_id, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words,
+             sha256(strlen(role)::varchar || ':' || role || text) as digest,
+             row_number() over (partition by conv_id order by own, i) as depth from r),
+p as (select conv_id, depth, words, string_agg(digest, '') over (partition by conv_id order by depth) as path from s
+      union all select conv_id, 0, 0, '' from c),
+l as (select conv_id, max(depth) as depth from p group by conv_id),
+n as (select path, depth, min(conv_id) as conv_id, count(*) as n_convs, max(words) as words from p group by path, depth),
+m as (select n.*, case when n.depth > 0 then q.conv_id end as parent_conv_id
+      from n left join n q on q.depth = n.depth - 1 and q.path = substr(n.path, 1, 64 * (n.depth - 1))),
+k as (select depth - 1 as depth, parent_conv_id as conv_id, count(*) as n_children from m where depth > 0 group by all),
+v as (select m.*, coalesce(n_children, 0) as n_children from m left join k using (conv_id, depth)),
+e as (select path, depth, string_agg(conv_id::varchar, ',' order by conv_id) as ids from p join l using (conv_id, depth) group by path, depth),
+u as (select a.path, a.depth, (count(*) filter (v.n_children = 0))::bigint as n_leaves, sum((v.n_convs - 1) * v.words)::bigint as saved_tokens
+      from v join p a on a.conv_id = v.conv_id and a.depth <= v.depth group by a.path, a.depth)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+from v join u using (path, depth) left join e using (path, depth)
+"""
+
+
 def _op5(words: int = 4, percent: int = 85) -> str:
     return f"""
 with recursive d as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_BLANK}'), lambda x: x <> '') as ws from documents),
@@ -205,4 +234,5 @@ SQL = {
     "op5_jaccard_join": _op5(),
     "op9_url_graph": _op9(),
     "op11_resampling": _op11(),
+    "op12_prefix_trie": _op12(),
 }
