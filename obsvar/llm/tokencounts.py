@@ -29,8 +29,10 @@ BROADCAST_DIGESTS = 500_000
 AT_ONCE = 1 << 18
 _CACHE = "digest binary, n_tokens bigint, tokenizer string"
 _OPTIONS = "no special tokens added, no truncation, no padding"
-#: A place that no byte-level pre-token spans: a letter or digit before ASCII white space.
-_CUT = re.compile(r"[A-Za-z0-9](?=[ \n])")
+#: Pieces whose counts a task remembers, and the characters of the longest of them.
+PIECES, PIECE = 1 << 20, 48
+#: A place that no byte-level pre-token spans: white space after something else.
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
 
 def tokenizer_digest(path: str) -> str:
@@ -72,12 +74,10 @@ def _counter(path: str, version: str) -> Callable[[list[str]], list[int]]:
     pre = said.get("pre_tokenizer") or {}
     additive = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not said.get("normalizer")
 
-    def count(texts: list[str]) -> list[int]:
-        if additive and len(texts) == 1 and len(texts[0]) > AT_ONCE:  # a very long text, in parts
-            return [sum(len(tokenizer.encode(p, add_special_tokens=False)) for p in parts(texts[0], AT_ONCE))]
-        return [len(e) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def encoded(texts: list[str]) -> list[int]:
+        return [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return count
+    return _by_piece(encoded) if additive else encoded
 
 
 def parts(text: str, size: int) -> Iterator[str]:
@@ -93,6 +93,31 @@ def parts(text: str, size: int) -> Iterator[str]:
     yield text[start:]
 
 
+def _by_piece(encoded: Callable[[list[str]], list[int]]) -> Callable[[list[str]], list[int]]:
+    """Counts that add up those of the smallest parts, of which each is encoded once as long as it is remembered."""
+    known: dict[str, int] = {}
+
+    def count(texts: list[str]) -> list[int]:
+        cut = [_CUT.split(t) for t in texts]
+        if len(known) > PIECES:
+            known.clear()
+        new = {p for pieces in cut for p in pieces if p not in known}
+        if new:
+            known.update(zip(new, encoded(list(new)), strict=True))
+        found = [sum(map(known.__getitem__, pieces)) for pieces in cut]
+        for p in new:
+            if len(p) > PIECE:
+                del known[p]
+        return found
+
+    def counts(texts: list[str]) -> list[int]:
+        if len(texts) > 1 or len(texts[0]) <= AT_ONCE:
+            return count(texts)
+        return [sum(count([p])[0] for p in parts(texts[0], AT_ONCE))]
+
+    return counts
+
+
 def _encode(path: str, version: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = None
