@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from obsvar.llm.components import components
 from obsvar.llm.shingles import frequency_levels, signatures, token_sets
 from obsvar.llm.textblocks import small_batches
-from obsvar.session import scratch_path
+from obsvar.session import discard, written
 
 #: Bits of the filter of ids whose sets are read again: a fixed size; full, it only saves less.
 FILTER_BITS = 20
@@ -25,13 +25,6 @@ AGREE = 3
 HEAD = 32
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    """Written to the shared folder and read again."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
@@ -73,8 +66,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).select("a", "b")
 
 
-def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, reader) -> DataFrame:
-    """Tokens and prefixes of the given nodes, read again from one text of each."""
+def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, reader) -> tuple[DataFrame, str]:
+    """Tokens and prefixes of the given nodes, read again from one text of each; the table's path."""
     involved = classes.join(nodes, "node").select("f1", "f2", F.col("n").alias("_n"), "node", "rep")
     bits = np.zeros(1 << FILTER_BITS, bool)
     bits[[r[0] for r in involved.select(_slot(F.col("rep"))).distinct().collect()]] = True
@@ -84,14 +77,17 @@ def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, reader) -> Data
         (F.col("n") == F.col("_n")) & F.col("id").eqNullSafe(F.col("rep"))
     )
     once = again.dropDuplicates(["f1", "f2"])  # rows that repeat an id and its text
-    return _stored(once.select("node", "n", "tokens", "second", "third"), "jaccard-sets")
+    return written(once.select("node", "n", "tokens", "second", "third"), "jaccard-sets")
 
 
 def _compared(docs: DataFrame, classes: DataFrame, shared: DataFrame, percent: int, reader) -> DataFrame:
     """The similar pairs among those that share prefix tokens; only their sets are read."""
-    pairs = _stored(_agreed(shared, percent), "jaccard-pairs")
+    pairs, pairs_at = written(_agreed(shared, percent), "jaccard-pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    return _stored(_verified(pairs, _sets(docs, classes, nodes, reader), percent), "jaccard-links")
+    sets, sets_at = _sets(docs, classes, nodes, reader)
+    links, _ = written(_verified(pairs, sets, percent), "jaccard-links")
+    discard(docs.sparkSession, pairs_at, sets_at)
+    return links
 
 
 def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFrame:
@@ -102,14 +98,22 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFra
     labels, the members apart from the typical one's component meet all members of other labels.
     Pairs with one label are connected already and need no comparison.
     """
-    postings = classes.select("node", "n", "mid", F.posexplode("prefix").alias("pos", "token"))
+    spark = docs.sparkSession
+    held = classes.select("node", "mid", "n", F.posexplode("prefix").alias("pos", "token"))
+    # most tokens stand in one prefix alone: a count by token is all that is shuffled of those
+    common = held.groupBy("token").agg(F.count("*").alias("of")).filter("of > 1").select("token")
+    packed = held.select("token", "node", "mid", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("pos")).alias("at"))
+    postings, postings_at = written(packed.join(common, "token", "left_semi"), "jaccard-postings")
+    n, pos = F.shiftright("at", 32).cast("int").alias("n"), F.col("at").bitwiseAND((1 << 32) - 1).cast("int").alias("pos")
+    postings = postings.select("token", "node", "mid", n, pos)
     lists = (
         postings.groupBy("token")
         .agg(F.max(F.struct("mid", "node", "n", "pos")).alias("hub"), F.min("node").alias("low"), F.max("node").alias("high"))
         .filter("low <> high")
         .select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos"))
     )
-    shared = _stored(postings.select("token", "node", "n", "pos").join(lists, "token"), "jaccard-lists")
+    shared, shared_at = written(postings.drop("mid").join(lists, "token"), "jaccard-lists")
+    discard(spark, postings_at)
     star = shared.filter(F.col("node") != F.col("hub")).filter(_sizes_fit("n", "hub_n", percent)).select(
         F.col("node").alias("a"), F.col("hub").alias("b"), F.col("n").alias("an"), F.col("hub_n").alias("bn"),
         F.col("pos").alias("ap"), F.col("hub_pos").alias("bp"), F.lit(1).alias("seen"),
@@ -122,7 +126,7 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFra
     hubs = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
     named = named.join(hubs, "hub", "left").withColumn("hub_label", F.coalesce("hub_label", "hub"))
     mixed = named.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("token")
-    named = _stored(named.join(mixed, "token"), "jaccard-mixed")
+    named, named_at = written(named.join(mixed, "token"), "jaccard-mixed")
     heads = shared.join(named.select("node").distinct(), "node", "left_semi").groupBy("node")
     heads = heads.agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, HEAD).alias("h"))
     heads = heads.select("node", F.col("h.token").alias("head"), F.col("h.pos").alias("places"))
@@ -150,7 +154,9 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFra
     two = F.struct(F.col("node").alias("v"), F.col("n").alias("n"), F.col("pos").alias("p"))
     rest = rest.select(F.least(one, two).alias("s"), F.greatest(one, two).alias("t"), "seen")  # by node: they differ
     columns = [F.col(f"{end}.{c}").alias(name) for end, side in (("s", "a"), ("t", "b")) for c, name in (("v", side), ("n", f"{side}n"), ("p", f"{side}p"))]
-    return links.union(_compared(docs, classes, rest.select(*columns, "seen"), percent, reader))
+    others = _compared(docs, classes, rest.select(*columns, "seen"), percent, reader)
+    discard(spark, shared_at, named_at)
+    return links.union(others)
 
 
 def similar_groups(
@@ -169,14 +175,14 @@ def similar_groups(
     rows = small_batches(docs).select(F.col(id).alias("id"), F.col(text).alias("text"))
     levels = frequency_levels(rows, "text", words)
     signed = rows.select("id", signatures(words, percent, levels, AGREE)(F.col("text")).alias("s")).select("id", "s.*")
-    signed = _stored(signed, "jaccard-signatures")
+    signed, _ = written(signed, "jaccard-signatures")
     classes = (
         signed.filter("n > 0")
         .groupBy("f1", "f2", "n")
         .agg(F.min("id").alias("rep"), F.first("mid").alias("mid"), F.first("prefix").alias("prefix"))
         .withColumn("node", F.coalesce("rep", "f1"))
     )
-    classes = _stored(classes, "jaccard-classes")
+    classes, _ = written(classes, "jaccard-classes")
     links = _links(rows, classes, percent, lambda wanted: token_sets(words, percent, levels, wanted))
     names = classes.select("f1", "f2", "n", "node", "rep")
     labels = components(links)
