@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsvar.session import materialise
+from obsvar.session import discard, materialise, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Possessive and guarded forms: no backtracking, no recursion, the same leftmost matches.
@@ -27,7 +27,7 @@ SUPPORT = 3  # distinct texts that must hold a term and an entity
 GENERALISE, REMOVE = 0.85, 0.95
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 #: Terms up to this number are broadcast (some 40 bytes each); more meet the words in a shuffle.
-BROADCAST_TERMS = 200_000
+BROADCAST_TERMS = 400_000
 BROADCAST_DOCS = 200_000
 PREFIX_BLOCK = 128
 SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
@@ -125,7 +125,7 @@ def base_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataF
 
 
 def _held(docs: DataFrame, text: str) -> DataFrame:
-    """(print, kind, entities, terms) of each text and kind: valid matches, and the words outside them."""
+    """(print, held) of each text: for a kind with valid matches these, and the words outside them."""
     found = _cut(docs, text)
 
     def outside(kind: str) -> Column:
@@ -141,7 +141,7 @@ def _held(docs: DataFrame, text: str) -> DataFrame:
         return F.when(F.size(valid) > 0, F.struct(F.lit(k).alias("kind"), entities.alias("entities"), outside(kind).alias("terms")))
 
     every = F.array_compact(F.array(*(held(k, kind) for k, kind in enumerate(KINDS))))
-    return found.select(F.xxhash64(F.col(text)).alias("print"), F.explode(every).alias("m")).select("print", "m.*")
+    return found.select(F.xxhash64(F.col(text)).alias("print"), every.alias("held")).filter(F.size("held") > 0)
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -152,22 +152,36 @@ def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
     ``SUPPORT`` texts with an entity. An entity or term that fills most of the corpus is reduced
     within partitions before it is shuffled.
     """
-    places = materialise(_held(docs, text).dropDuplicates(["print", "kind"]))
+    spark = docs.sparkSession
+    places, path = written(_held(docs, text).dropDuplicates(["print"]), "held")
     total = max(2, docs.select(F.xxhash64(text)).distinct().count())
-    found = places.select("print", "kind", F.explode("entities").alias("entity"))
+    by_kind = places.select("print", F.explode("held").alias("m")).select("print", "m.*")
+    found = by_kind.select("print", "kind", F.explode("entities").alias("entity"))
     entities = found.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= SUPPORT)
-    found = found.join(entities, "entity")
-    # texts with the term and any entity: no more than all that have it, and often too many already
-    terms = places.join(found.select("print", "kind").distinct(), ["print", "kind"], "left_semi")
-    terms = terms.select("print", "kind", F.explode("terms").alias("term"))
-    near = terms.select("print", "term").distinct().groupBy("term").agg(F.count("*").alias("n_near")).filter(F.col("n_near") >= SUPPORT)
-
-    def most(n_et: str) -> Column:
-        return F.col(n_et) * F.pow(F.lit(float(total)) / F.col("n_e"), F.lit(1 - GENERALISE)) * (1 + 1e-9)
-
-    pairs = terms.join(near, "term").join(found, ["print", "kind"]).filter(F.col("n_near") <= most("n_e"))
-    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_near").alias("n_near"))
-    pairs = materialise(pairs.filter((F.col("n_et") >= SUPPORT) & (F.col("n_near") <= most("n_et"))).drop("n_near"))
+    entities, entities_at = written(entities, "entities")
+
+    def most(n_et: Column, n_e: Column) -> Column:
+        return n_et * F.pow(F.lit(float(total)) / n_e, F.lit(1 - GENERALISE)) * (1 + 1e-9)
+
+    # texts with the term and any entity: no more than all that have it, and often too many already,
+    # be it for the most frequent entity; counted within partitions first
+    top = float(entities.agg(F.max("n_e")).first()[0] or 1)
+    words = places.select(F.explode(F.array_distinct(F.flatten("held.terms"))).alias("term"))
+    near = words.groupBy("term").agg(F.count("*").alias("n_near"))
+    near = near.filter((F.col("n_near") >= SUPPORT) & (F.col("n_near") <= most(F.lit(top), F.lit(top))))
+    near, near_at = written(near, "near")
+    known = found.join(entities, "entity").groupBy("print", "kind")
+    known = known.agg(F.collect_list(F.struct("entity", "n_e")).alias("known"))  # those of one text
+    if near.count() <= BROADCAST_TERMS:
+        terms = by_kind.join(known, ["print", "kind"]).select("known", F.explode("terms").alias("term")).join(F.broadcast(near), "term")
+    else:
+        terms = by_kind.select("print", "kind", F.explode("terms").alias("term")).join(near, "term").join(known, ["print", "kind"])
+    fitting = F.filter("known", lambda e: F.col("n_near") <= most(e.n_e, e.n_e))
+    pairs = terms.select("term", "n_near", F.explode(fitting).alias("e")).groupBy("e.entity", "term")
+    pairs = pairs.agg(F.count("*").alias("n_et"), F.max("e.n_e").alias("n_e"), F.max("n_near").alias("n_near"))
+    pairs = pairs.filter((F.col("n_et") >= SUPPORT) & (F.col("n_near") <= most(F.col("n_et"), F.col("n_e"))))
+    pairs = materialise(pairs.drop("n_near"))
+    discard(spark, path, entities_at, near_at)
     asked = pairs.select("term").distinct()
     small = F.broadcast if (n := asked.count()) <= BROADCAST_TERMS else (lambda df: df)
     if n:

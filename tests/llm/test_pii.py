@@ -1,3 +1,4 @@
+import math
 import re
 
 from pyspark.sql import functions as F
@@ -57,7 +58,10 @@ def test_disclosing_terms(spark):
     rows += [(900, "a note on Zorblatt, alone"), (901, rows[0][1]), (902, rows[0][1])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     terms = {r.term: r for r in pii.disclosing_terms(docs).collect()}
-    assert list(terms) == ["zorblatt"] and terms["zorblatt"].action == "generalise"
+    # of 313 distinct texts 12 have the entity, all of them with the term, which one more text has
+    degree = 1 + math.log(12 / 13) / math.log(313 / 12)
+    assert list(terms) == ["zorblatt"] and abs(terms["zorblatt"].disclosure - degree) < 1e-12
+    assert pii.GENERALISE < pii.REMOVE <= degree and terms["zorblatt"].action == "remove"
     found = {r.doc_id: r for r in pii.protected(docs, carry_text=True).withColumn("clean", pii.sanitised(F.col("text"), F.col("all"))).collect()}
     assert len(found) == len(rows)
     alone = found[900]
