@@ -8,48 +8,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsvar.functions.naming import column
-from obsvar.operators.numbering import BUCKET, bucket_of, running_start
+from obsvar.operators import blocks
+from obsvar.operators.numbering import BUCKET, bucket_of
 from obsvar.operators.scans import near, packed_rows
+from obsvar.session import discard, written
 
 
 def to_compressed(
-    cells: DataFrame, axis: DataFrame, major: str, minor: str, bucket: int = BUCKET
+    cells: DataFrame, axis: DataFrame, major: str, minor: str, rows: int = blocks.ROWS, span: int = blocks.SPAN
 ) -> tuple[DataFrame, DataFrame]:
     """Coordinates to a compressed form: ``indptr(r, start)`` and ``entries(pos, idx, val)``.
 
-    ``major='obs_idx'`` gives CSR, ``major='var_idx'`` CSC. ``axis`` holds every major index, so
-    empty rows get their start too; one closing row carries the number of entries. Positions are
-    the row's start plus the rank inside the row, both built from ranged partial counts.
+    ``major='obs_idx'`` gives CSR, ``major='var_idx'`` CSC; ``axis`` holds every major index. For
+    use inside Spark the blocked form is better: ``blocks.to_blocks``.
     """
-    rows = cells.withColumn("_bucket", bucket_of(minor, bucket))
-    # counting values keeps the upstream plan equal to that of the entries, so Spark runs it once
-    counts = rows.groupBy(major, "_bucket").agg(F.count("value").alias("n"))
-    sizes = (
-        axis.select(major, F.lit(0).cast("bigint").alias("n"))
-        .unionByName(counts.select(major, "n"))
-        .groupBy(major)
-        .agg(F.sum("n").alias("n"))
-    )
-    starts = running_start(sizes, major, "n", "start", bucket)
-    closing = sizes.agg((F.max(major) + 1).alias("r"), F.sum("n").alias("start"))
-    indptr = starts.select(F.col(major).alias("r"), "start").unionByName(closing)
-    before = F.sum("n").over(Window.partitionBy(major).orderBy("_bucket")) - F.col("n")
-    bases = (
-        counts.withColumn("before", before)
-        .join(starts.select(major, "start"), major)
-        .select(major, "_bucket", (F.col("start") + F.col("before")).alias("base"))
-    )
-    inside = Window.partitionBy(major, "_bucket").orderBy(minor)
-    entries = (
-        rows.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(bases, [major, "_bucket"])
-        .select(
-            (F.col("base") + F.col("_rank")).alias("pos"),
-            F.col(minor).alias("idx"),
-            F.col("value").alias("val"),
-        )
-    )
-    return indptr, entries
+    return blocks.positions(cells, axis, major, minor, rows, span)
 
 
 def from_compressed(
@@ -123,6 +96,48 @@ def compare_cells(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+#: Rows of a range whose cells share one fingerprint.
+PRINT_ROWS = 4_096
+
+
+def compare_matrices(left: DataFrame, right: DataFrame, rows: int = PRINT_ROWS) -> DataFrame:
+    """``compare_cells`` for matrices that are mostly equal; cells are distinct on either side.
+
+    Ranges of observations are compared by an order-free fingerprint of their cells (sums of two
+    64-bit hashes in halves, which cannot overflow, and the count); only these sums are shuffled,
+    in a job of their own. Cells meet one by one in the ranges that differ, or hold a null, alone.
+    """
+    sums = []
+    for k in range(2):
+        h = F.xxhash64(F.lit(k), "obs_idx", "var_idx", "value")
+        sums += [h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32)]
+    tagged = left.select("obs_idx", "var_idx", "value", F.lit(1).alias("_s")).unionByName(
+        right.select("obs_idx", "var_idx", "value", F.lit(-1).alias("_s"))
+    )
+    prints = tagged.groupBy(bucket_of("obs_idx", rows).alias("_range")).agg(
+        F.count_if(F.col("_s") == 1).alias("n"),
+        F.sum("_s").alias("_n"),
+        F.count_if(F.col("value").isNull()).alias("_null"),
+        *(F.sum(F.col("_s") * x).alias(f"_h{k}") for k, x in enumerate(sums)),
+    )
+    equal = F.lit(True)
+    for c in ("_n", "_null", *(f"_h{k}" for k in range(len(sums)))):
+        equal = equal & (F.col(c) == 0)
+    prints, path = written(prints.select("_range", "n", equal.alias("equal")), "fingerprints")
+    same, other = prints.agg(F.coalesce(F.sum(F.when(F.col("equal"), F.col("n"))), F.lit(0)), F.count_if(~F.col("equal"))).first()
+    if not other:
+        discard(left.sparkSession, path)
+        counts = [F.lit(n).cast("bigint") for n in (same, same, 0, 0)]
+        names = ("n_cells", "n_equal", "n_one_sided", "n_different")
+        return left.sparkSession.range(1).select(*(c.alias(n) for c, n in zip(counts, names, strict=True)))
+    apart = prints.filter("not equal").select("_range")
+    left, right = (
+        cells.withColumn("_range", bucket_of("obs_idx", rows)).join(apart, "_range", "left_semi") for cells in (left, right)
+    )
+    found = compare_cells(left, right)
+    return found.withColumns({c: F.col(c) + F.lit(same).cast("bigint") for c in ("n_cells", "n_equal")})
+
+
 def sparse_format(indptr: DataFrame, obs: DataFrame, var: DataFrame) -> DataFrame:
     """One row: starts, observations, variables, and csr, csc or unknown by their numbers.
 

@@ -106,6 +106,9 @@ SQL: dict[str, str] = {
       union all select 'entries', row_number() over (order by obs_idx, var_idx) - 1, var_idx, value from x""",
     "csr_to_coo": f"with {X} select obs_idx, var_idx, value from x",
     "csc_to_coo": f"with {X} select obs_idx, var_idx, value from x",
+    "positions_to_coo": f"with {X} select obs_idx, var_idx, value from x",
+    "csr_slice": f"""with {X} select obs_idx, var_idx, value from x, (select count(*) as k from supplier)
+      where obs_idx >= k // 4 and obs_idx < k // 4 + k // 2""",
     "csr_csc_equal": f"""with {X} select count(*) as n_cells, count(*) as n_equal,
       cast(0 as bigint) as n_one_sided, cast(0 as bigint) as n_different from x""",
     "densify": """with x as (select l_suppkey as obs_idx, p_size - 1 as var_idx, sum(l_quantity) as value

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from obsvar.functions.naming import quoted, with_unique_columns
 from obsvar.operators import collection as many
-from obsvar.operators import decode, inspect, matrix, numbering, scans, uns, variables
+from obsvar.operators import blocks, decode, inspect, matrix, numbering, scans, uns, variables
 from obsvar.plans import analysis
 from obsvar.session import scratch_path
 from obsvar.sources import files, star
@@ -177,36 +177,48 @@ def external_annotation(spark, folder):
 # --- matrix forms -----------------------------------------------------------------------------
 
 
-def _compressed(spark, folder, major, minor):
-    ds = star.expression(spark, folder)
-    axis = ds.obs if major == "obs_idx" else ds.var
-    return matrix.to_compressed(ds.x, axis, major, minor)
-
-
 @registered
 def coo_to_csr(spark, folder):
-    indptr, entries = _compressed(spark, folder, "obs_idx", "var_idx")
+    ds = star.expression(spark, folder)
+    indptr, entries = matrix.to_compressed(ds.x, ds.obs, "obs_idx", "var_idx")
     return indptr.select(
         F.lit("indptr").alias("section"), F.col("r").alias("pos"), F.col("start").alias("idx"),
         F.lit(None).cast("double").alias("val"),
     ).unionByName(entries.select(F.lit("entries").alias("section"), "pos", "idx", "val"))
 
 
+def _through_blocks(spark, folder, major, minor):
+    return blocks.from_blocks(blocks.to_blocks(star.expression(spark, folder).x, major, minor), major, minor)
+
+
 @registered
 def csr_to_coo(spark, folder):
-    indptr, entries = _compressed(spark, folder, "obs_idx", "var_idx")
-    return matrix.from_compressed(indptr, entries, "obs_idx", "var_idx")
+    return _through_blocks(spark, folder, "obs_idx", "var_idx")
 
 
 @registered
 def csc_to_coo(spark, folder):
-    indptr, entries = _compressed(spark, folder, "var_idx", "obs_idx")
-    return matrix.from_compressed(indptr, entries, "var_idx", "obs_idx")
+    return _through_blocks(spark, folder, "var_idx", "obs_idx")
+
+
+@registered
+def positions_to_coo(spark, folder):
+    """The flat compressed form, as other programs write it, made and read."""
+    ds = star.expression(spark, folder)
+    return matrix.from_compressed(*matrix.to_compressed(ds.x, ds.var, "var_idx", "obs_idx"), "var_idx", "obs_idx")
 
 
 @registered
 def csr_csc_equal(spark, folder):
-    return matrix.compare_cells(csr_to_coo(spark, folder), csc_to_coo(spark, folder))
+    return matrix.compare_matrices(csr_to_coo(spark, folder), csc_to_coo(spark, folder))
+
+
+@registered
+def csr_slice(spark, folder):
+    """A window of observations from the blocks that hold it."""
+    ds = star.expression(spark, folder)
+    n = ds.obs.count()
+    return blocks.slice_blocks(blocks.to_blocks(ds.x, "obs_idx", "var_idx"), "obs_idx", "var_idx", n // 4, n // 2)
 
 
 @registered

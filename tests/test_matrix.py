@@ -2,7 +2,7 @@ import random
 
 import pytest
 from obsvar.model import Dataset
-from obsvar.operators import matrix, scans
+from obsvar.operators import blocks, matrix, scans
 
 from .conftest import rows
 
@@ -25,7 +25,7 @@ def test_compressed_round_trip(spark, bucket, major, minor):
     stored = random_cells(12, 9, 0.2, seed=bucket, hot=4)  # leaves some rows and columns empty
     cells = spark.createDataFrame(stored, CELLS)
     axis = spark.range(12 if major == "obs_idx" else 9).withColumnRenamed("id", major)
-    indptr, entries = matrix.to_compressed(cells, axis, major, minor, bucket)
+    indptr, entries = matrix.to_compressed(cells, axis, major, minor, bucket, bucket + 1)
 
     at = 0 if major == "obs_idx" else 1
     ordered = sorted(stored, key=lambda c: (c[at], c[1 - at]))
@@ -37,6 +37,49 @@ def test_compressed_round_trip(spark, bucket, major, minor):
     assert rows(back.select("obs_idx", "var_idx", "value")) == sorted(stored, key=repr)
 
 
+@pytest.mark.parametrize("rows_,span", [(2, 3), (5, 100), (64, 16_384)])
+@pytest.mark.parametrize("major,minor", [("obs_idx", "var_idx"), ("var_idx", "obs_idx")])
+def test_blocks_round_trip_and_slices(spark, rows_, span, major, minor):
+    stored = random_cells(23, 17, 0.15, seed=rows_, hot=4)
+    cells = spark.createDataFrame(stored, CELLS).repartition(3)
+    made = blocks.to_blocks(cells, major, minor, rows_, span)
+    back = blocks.from_blocks(made, major, minor).select("obs_idx", "var_idx", "value")
+    assert rows(back) == sorted(stored, key=repr)
+    for b in made.collect():
+        assert len(b.rows) + 1 == len(b.starts) <= rows_ + 1 and b.starts[-1] == len(b.indices) == len(b["values"])
+        assert all(i // span == b.part for i in b.indices) and all(r // rows_ == b.block for r in b.rows)
+        parts = [b.indices[a:z] for a, z in zip(b.starts, b.starts[1:])]
+        assert all(p and p == sorted(p) for p in parts)
+    at = 0 if major == "obs_idx" else 1
+    part = blocks.slice_blocks(made, major, minor, 3, 6, rows_).select("obs_idx", "var_idx", "value")
+    assert rows(part) == sorted((c for c in stored if 3 <= c[at] < 9), key=repr)
+
+
+def test_an_empty_matrix_has_no_block_and_only_starts_of_rows(spark):
+    cells = spark.createDataFrame([], CELLS)
+    assert blocks.to_blocks(cells, "obs_idx", "var_idx").count() == 0
+    axis = spark.range(3).withColumnRenamed("id", "obs_idx")
+    indptr, entries = matrix.to_compressed(cells, axis, "obs_idx", "var_idx")
+    assert rows(indptr, "r") == [(0, 0), (1, 0), (2, 0), (3, 0)] and entries.count() == 0
+
+
+def test_a_block_is_read_without_a_shuffle(spark):
+    cells = spark.createDataFrame(random_cells(10, 10, 0.5, seed=3), CELLS)
+    once = blocks.from_blocks(blocks.to_blocks(cells, "obs_idx", "var_idx"), "obs_idx", "var_idx")
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("rows_", [2, 4_096])
+def test_fingerprints_agree_with_single_cells(spark, rows_):
+    stored = random_cells(20, 15, 0.3, seed=9)
+    changed = list(stored)
+    changed[7] = (*changed[7][:2], changed[7][2] + 1)
+    for other in (stored, changed, stored[1:], [*stored, (19, 99, 1.0)], [(*stored[0][:2], None), *stored[1:]], []):
+        left, right = (spark.createDataFrame(c, CELLS).repartition(3) for c in (stored, other))
+        assert rows(matrix.compare_matrices(left, right, rows_)) == rows(matrix.compare_cells(left, right))
+
+
 def test_csr_and_csc_hold_the_same_cells(spark):
     cells = spark.createDataFrame(random_cells(10, 20, 0.1, seed=1), CELLS)
     forms = []
