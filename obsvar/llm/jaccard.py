@@ -100,10 +100,11 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFra
     """
     spark = docs.sparkSession
     held = classes.select("node", "mid", "n", F.posexplode("prefix").alias("pos", "token"))
-    # most tokens stand in one prefix alone: a count by token is all that is shuffled of those
+    # most tokens stand in one prefix alone: a count by token is all that is shuffled of those;
+    # merged whatever their number, as a broadcast of common tokens would not do for a large corpus
     common = held.groupBy("token").agg(F.count("*").alias("of")).filter("of > 1").select("token")
     packed = held.select("token", "node", "mid", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("pos")).alias("at"))
-    postings, postings_at = written(packed.join(common, "token", "left_semi"), "jaccard-postings")
+    postings, postings_at = written(packed.join(common.hint("merge"), "token", "left_semi"), "jaccard-postings")
     n, pos = F.shiftright("at", 32).cast("int").alias("n"), F.col("at").bitwiseAND((1 << 32) - 1).cast("int").alias("pos")
     postings = postings.select("token", "node", "mid", n, pos)
     lists = (
