@@ -163,25 +163,27 @@ def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
     def most(n_et: Column, n_e: Column) -> Column:
         return n_et * F.pow(F.lit(float(total)) / n_e, F.lit(1 - GENERALISE)) * (1 + 1e-9)
 
-    # texts with the term and any entity: no more than all that have it, and often too many already,
-    # be it for the most frequent entity; counted within partitions first
-    top = float(entities.agg(F.max("n_e")).first()[0] or 1)
-    words = places.select(F.explode(F.array_distinct(F.flatten("held.terms"))).alias("term"))
-    near = words.groupBy("term").agg(F.count("*").alias("n_near"))
-    near = near.filter((F.col("n_near") >= SUPPORT) & (F.col("n_near") <= most(F.lit(top), F.lit(top))))
-    near, near_at = written(near, "near")
-    known = found.join(entities, "entity").groupBy("print", "kind")
-    known = known.agg(F.collect_list(F.struct("entity", "n_e")).alias("known"))  # those of one text
-    if near.count() <= BROADCAST_TERMS:
-        terms = by_kind.join(known, ["print", "kind"]).select("known", F.explode("terms").alias("term")).join(F.broadcast(near), "term")
-    else:
-        terms = by_kind.select("print", "kind", F.explode("terms").alias("term")).join(near, "term").join(known, ["print", "kind"])
+    # the supported entities of a text go to its row, and all that follows stays inside rows
+    known = found.join(entities, "entity").groupBy("print")
+    known = known.agg(F.collect_list(F.struct("kind", "entity", "n_e")).alias("known"), F.max("n_e").alias("top"))
+    texts, texts_at = written(places.join(known, "print", "left"), "texts")
+    discard(spark, path)
+    # texts with the term and any entity: no more than all that have it, and often too many already
+    # for the most frequent entity that it meets; counted within partitions first
+    words = texts.select(F.explode(F.array_distinct(F.flatten("held.terms"))).alias("term"), "top")
+    near = words.groupBy("term").agg(F.count("*").alias("n_near"), F.count("top").alias("n_met"), F.max("top").alias("top"))
+    near = near.filter((F.col("n_met") >= SUPPORT) & (F.col("n_near") <= most(F.col("top"), F.col("top"))))
+    near, near_at = written(near.select("term", "n_near"), "near")
+    small = F.broadcast if near.count() <= BROADCAST_TERMS else (lambda df: df)
+    met = texts.filter("known is not null").select("known", F.explode("held").alias("m"))
+    mine = F.filter("known", lambda e: e.kind == F.col("m.kind"))
+    terms = met.select(mine.alias("known"), F.explode("m.terms").alias("term")).filter(F.size("known") > 0).join(small(near), "term")
     fitting = F.filter("known", lambda e: F.col("n_near") <= most(e.n_e, e.n_e))
     pairs = terms.select("term", "n_near", F.explode(fitting).alias("e")).groupBy("e.entity", "term")
     pairs = pairs.agg(F.count("*").alias("n_et"), F.max("e.n_e").alias("n_e"), F.max("n_near").alias("n_near"))
     pairs = pairs.filter((F.col("n_et") >= SUPPORT) & (F.col("n_near") <= most(F.col("n_et"), F.col("n_e"))))
     pairs = materialise(pairs.drop("n_near"))
-    discard(spark, path, entities_at, near_at)
+    discard(spark, texts_at, entities_at, near_at)
     asked = pairs.select("term").distinct()
     small = F.broadcast if (n := asked.count()) <= BROADCAST_TERMS else (lambda df: df)
     if n:
