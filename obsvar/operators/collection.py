@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsvar.functions.naming import column, quoted, with_unique_columns
-from obsvar.functions.typing import common_type_of
+from obsvar.functions.typing import as_type, common_type_of, merged_type, shared_type
 from obsvar.model import INDEX_COLUMN, Components, Dataset, DatasetError
-from obsvar.operators.scans import vector_columns, wide_cells
+from obsvar.operators.scans import NO_UNS, vector_columns, wide_cells
+from obsvar.operators.uns import flatten_struct
 from obsvar.operators.variables import _suffixed, has_repeated_names, name_stems, unique_variable_names
 
 FILE = "_file_name"
@@ -48,14 +49,18 @@ class Collection:
         parts: dict[tuple[str, str | None], list[Callable[[], Part]]] = {}
 
         def tagged(member: str, kind: str, name: str | None) -> Part:
-            held = getattr(datasets[member], kind)
+            ds = datasets[member]
+            held = getattr(ds.raw, kind.removeprefix("raw_")) if kind.startswith("raw_") else getattr(ds, kind)
             df = held[name] if name else held
             return Part(df.select(F.lit(member).alias(FILE), *map(column, df.columns)), (member,))
 
         for member in sorted(datasets):
             ds = datasets[member]
-            found = [(k, None) for k in ("obs", "var", "x") if getattr(ds, k) is not None]
+            found = [(k, None) for k in ("obs", "var", "x", "uns") if getattr(ds, k) is not None]
             found += [(k, n) for k in ("layers", "obsm", "varm", "obsp", "varp") for n in getattr(ds, k)]
+            if ds.raw is not None:
+                found += [(f"raw_{k}", None) for k in ("var", "x") if getattr(ds.raw, k) is not None]
+                found += [("raw_varm", n) for n in ds.raw.varm]
             for key in found:
                 parts.setdefault(key, []).append(partial(tagged, member, *key))
         made = {key: partial(lambda makers: [m() for m in makers], makers) for key, makers in parts.items()}
@@ -143,17 +148,17 @@ def harmonize_var(col: Collection, mode: str = "intersection") -> DataFrame:
 # --- variables and matrices -------------------------------------------------------------------
 
 
-def member_variables(col: Collection, name_column: str | None = None) -> DataFrame:
+def member_variables(col: Collection, name_column: str | None = None, raw: bool = False) -> DataFrame:
     """``(_file_name, var_idx, var_name)`` with repeats renamed inside each member first."""
-    named = _named(col, name_column)
+    named = _named(col, name_column, raw)
     if has_repeated_names(named, [FILE]):
         return _renamed(named)
     return named.withColumnRenamed("name", "var_name")
 
 
-def _named(col: Collection, name_column: str | None) -> DataFrame:
-    chosen = name_column or col.var_name_column
-    return _stack([variable_names_of(p, chosen) for p in col.component("var")])
+def _named(col: Collection, name_column: str | None, raw: bool = False) -> DataFrame:
+    chosen = name_column or (INDEX_COLUMN if raw else col.var_name_column)
+    return _stack([variable_names_of(p, chosen) for p in col.component("raw_var" if raw else "var")])
 
 
 def _renamed(named: DataFrame) -> DataFrame:
@@ -162,7 +167,7 @@ def _renamed(named: DataFrame) -> DataFrame:
 
 
 def _variables_and_picks(
-    col: Collection, mode: str, names: Sequence[str] | None, name_column: str | None
+    col: Collection, mode: str, names: Sequence[str] | None, name_column: str | None, raw: bool = False
 ) -> tuple[DataFrame, list[str], list[int]]:
     """Variables of all members, the columns of a wide view, and the range of their indices.
 
@@ -170,7 +175,7 @@ def _variables_and_picks(
     regard to case, its names are made unique first and picked afterwards.
     """
     _check_mode(mode)
-    named = _named(col, name_column)
+    named = _named(col, name_column, raw)
     key = F.lower("name").alias("key")
     per_member = named.groupBy(FILE, key).agg(
         F.count("*").alias("n"), F.min("name").alias("name"), F.min("var_idx").alias("var_idx")
@@ -238,8 +243,8 @@ def pick_variables(
     return picked
 
 
-def _cells(col: Collection, layer: str | None) -> DataFrame:
-    parts = col.component("layers", layer) if layer else col.component("x")
+def _cells(col: Collection, layer: str | None, raw: bool = False) -> DataFrame:
+    parts = col.component("layers", layer) if layer else col.component("raw_x" if raw else "x")
     common = (
         common_type_of(p.rows.schema["value"].dataType for p in parts) if layer else T.DoubleType()
     )
@@ -265,9 +270,59 @@ def harmonize_long(
     )
 
 
+@dataclass(frozen=True)
+class Slots:
+    """The columns of a combined matrix: labels, ``(_file_name, var_idx, slot)``, and the cells by slot."""
+
+    labels: list[str]
+    places: DataFrame
+    cells: DataFrame
+
+
+def slotted(
+    col: Collection, mode: str, names: Sequence[str] | None = None, layer: str | None = None,
+    name_column: str | None = None, raw: bool = False,
+) -> Slots:
+    """Stored cells ``(_file_name, obs_idx, slot, value)`` of the variables of a combined matrix.
+
+    Every member's variables are mapped to the slots 0, 1, ... of the columns in one join, in any
+    case if names are asked for.
+    """
+    variables, picked, span = _variables_and_picks(col, mode, names, name_column, raw)
+    labels = _suffixed(picked, {"obs_idx", FILE})
+    by = (lambda c: F.lower(c)) if names is not None else F.col
+    slots = variables.sparkSession.createDataFrame(
+        [(n.lower() if names is not None else n, k) for k, n in enumerate(picked)], "_name string, slot bigint"
+    )
+    places = variables.withColumn("_name", by("var_name")).join(slots, "_name").select(FILE, "var_idx", "slot")
+    cells = _cells(col, layer, raw)
+    if span:  # lets the scan of stored cells skip row groups
+        cells = cells.filter(F.col("var_idx").between(*span))
+    return Slots(labels, places, cells.join(places, [FILE, "var_idx"]).select(FILE, "obs_idx", "slot", "value"))
+
+
+#: Slots in one word of a presence bitmap.
+WORD = 63
+
+
+def presence_bitmaps(places: DataFrame, n_slots: int) -> DataFrame:
+    """``(_file_name, _has)``: a bit per slot that the member has, packed in words of ``WORD`` bits.
+
+    Bits are joined by ``or`` within each word, map-side, and a member's words are laid in order
+    beside the empty ones: linear in variables and words.
+    """
+    words = -(-n_slots // WORD)
+    bit = F.expr(f"shiftleft(1L, cast(slot % {WORD} as int))")
+    held = places.groupBy(FILE, F.expr(f"slot div {WORD}").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    every = places.select(FILE).distinct().select(FILE, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(words - 1).cast("bigint"))).alias("word"))
+    filled = every.join(held, [FILE, "word"], "left").select(FILE, F.struct("word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")).alias("w"))
+    ordered = F.array_sort(F.collect_list("w"))
+    return filled.groupBy(FILE).agg(F.transform(ordered, lambda w: w["bits"]).alias("_has"))
+
+
 def harmonize_x(
     col: Collection, mode: str = "intersection", names: Sequence[str] | None = None,
-    layer: str | None = None, name_column: str | None = None,
+    layer: str | None = None, name_column: str | None = None, raw: bool = False,
 ) -> DataFrame:
     """Wide matrix of all members: ``_file_name, obs_idx`` and one column per variable.
 
@@ -275,31 +330,20 @@ def harmonize_x(
     that differ by case between members are different variables, unless names are asked for: these
     match in any case. Columns whose names differ by case alone get suffixes like repeated names.
     """
-    variables, picked, span = _variables_and_picks(col, mode, names, name_column)
-    labels = _suffixed(picked, {"obs_idx", FILE})
-    spark = variables.sparkSession
-    by = (lambda c: F.lower(c)) if names is not None else F.col
-    slots = spark.createDataFrame(
-        [(n.lower() if names is not None else n, k) for k, n in enumerate(picked)], "_name string, _slot bigint"
-    )
-    mine = variables.withColumn("_name", by("var_name")).join(slots, "_name").select(FILE, "var_idx", "_slot")
-    cells = _cells(col, layer)
-    if span:  # lets the scan of stored cells skip row groups
-        cells = cells.filter(F.col("var_idx").between(*span))
-    cells = cells.join(mine, [FILE, "var_idx"]).select(FILE, "obs_idx", F.col("_slot").alias("var_idx"), "value")
+    found = slotted(col, mode, names, layer, name_column, raw)
+    cells = found.cells.withColumnRenamed("slot", "var_idx")
     axis = _stack([p.rows.select(FILE, "obs_idx") for p in col.component("obs")])
     keys = [FILE, "obs_idx"]
-    columns = list(enumerate(labels))
+    columns = list(enumerate(found.labels))
     if mode == "intersection":
         return wide_cells(axis, cells, columns, keys)
     wide = wide_cells(axis, cells, columns, keys, fill_zero=False)
-    places = F.sequence(F.lit(0).cast("bigint"), F.lit(len(picked) - 1).cast("bigint"))
-    flags = F.transform(places, lambda i: F.array_contains(F.col("_slots"), i))
-    presence = mine.groupBy(FILE).agg(F.collect_set("_slot").alias("_slots")).select(FILE, flags.alias("_has"))
+    presence = presence_bitmaps(found.places, len(columns))
     zero = f"cast(0 as {cells.schema['value'].dataType.simpleString()})"
+    has = "(shiftright(get(_has, {}), {}) & 1) = 1"
     return wide.join(presence, FILE, "left").selectExpr(
         *keys,
-        *[f"if(get(_has, {i}), coalesce({quoted(n)}, {zero}), null) as {quoted(n)}" for i, n in columns],
+        *[f"if({has.format(i // WORD, i % WORD)}, coalesce({quoted(n)}, {zero}), null) as {quoted(n)}" for i, n in columns],
     )
 
 
@@ -311,6 +355,69 @@ def harmonize_layer(
     return harmonize_x(col, mode, names, layer, name_column)
 
 
+# --- raw sections and metadata ---------------------------------------------------------------
+
+
+def harmonize_raw_var(col: Collection, mode: str = "intersection") -> DataFrame:
+    """Variables of the raw sections of all members; each must have one."""
+    return harmonize_table(col, "raw_var", "var_idx", mode)
+
+
+def harmonize_raw_x(
+    col: Collection, mode: str = "intersection", names: Sequence[str] | None = None, name_column: str | None = None
+) -> DataFrame:
+    """``harmonize_x`` on the raw sections."""
+    return harmonize_x(col, mode, names, None, name_column, raw=True)
+
+
+def harmonize_raw_varm(col: Collection, name: str, mode: str = "intersection") -> DataFrame:
+    return _harmonize_vectors(col, "raw_varm", "var_idx", name, mode)
+
+
+def merged_trees(col: Collection, mode: str = "union") -> DataFrame | None:
+    """``(_file_name, tree)``: the nested metadata of all members that hold it as a struct, as one type.
+
+    Unlike trees are merged branch by branch: a leaf takes the common type of its members' leaves,
+    a branch a member lacks is NULL. In intersection mode the branches all members have stay. None
+    if no member holds a tree, or none of its branches is common.
+    """
+    _check_mode(mode)
+    parts = [p for p in col.parts.get(("uns", None), []) if "tree" in p.rows.columns]
+    if not parts:
+        return None
+    kinds = [p.rows.schema["tree"].dataType for p in sorted(parts, key=lambda p: p.members[0])]
+    whole = reduce(merged_type if mode == "union" else lambda a, b: a and shared_type(a, b), kinds)
+    if whole is None:
+        return None
+    return _stack(
+        [p.rows.select(FILE, as_type(F.col("tree"), p.rows.schema["tree"].dataType, whole).alias("tree")) for p in parts]
+    )
+
+
+def harmonize_uns(col: Collection, mode: str = "union") -> DataFrame:
+    """Metadata leaves of all members: ``_file_name, key, type, dtype, shape, value``.
+
+    Members may hold a nested struct column ``tree`` or a table of leaves. Trees are merged first,
+    so a key has one dtype in all of them; leaves in tables stay as they are. In intersection mode
+    only keys that every member of the collection has are listed. A member without metadata has no
+    rows; if none has any, the answer is one ``message`` row.
+    """
+    _check_mode(mode)
+    parts = col.parts.get(("uns", None), [])
+    if not parts:
+        obs = next(iter(col.parts.values()))[0].rows
+        return obs.sparkSession.createDataFrame([(NO_UNS,)], "message string")
+    listed = [FILE, "key", "type", "dtype", "shape", "value"]
+    trees = merged_trees(col)
+    frames = [] if trees is None else [flatten_struct(trees, "tree").select(listed)]
+    frames += [p.rows.select(listed) for p in parts if "tree" not in p.rows.columns]
+    leaves = _stack(frames)
+    if mode == "union":
+        return leaves
+    held = leaves.groupBy("key").agg(F.count_distinct(FILE).alias("n")).filter(F.col("n") == len(col.members))
+    return leaves.join(held.select("key"), "key", "left_semi").select(listed)
+
+
 # --- dense matrices and pairs -----------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsvar.model import Dataset, DatasetError
@@ -202,20 +202,27 @@ def validate(ds: Dataset) -> None:
 
 
 def validation_report(ds: Dataset) -> DataFrame:
-    """``component, n_rows, valid, message`` for the axis tables that decide validity."""
+    """``component, n_rows, valid, message`` for the axis tables that decide validity.
+
+    An invalid dataset is reported and does not raise: both tables are listed, without a count.
+    """
     valid, message = validity(ds)
+    shown = [F.lit(valid).alias("valid"), F.lit(message).alias("message")]
     present = [(n, df) for n, df in (("obs", ds.obs), ("var", ds.var)) if df is not None]
     if not present:
-        raise DatasetError(message)
-    return _union(
-        [
-            df.agg(F.count("*").alias("n_rows")).select(
-                F.lit(n).alias("component"), "n_rows", F.lit(valid).alias("valid"),
-                F.lit(message).alias("message"),
-            )
-            for n, df in present
-        ]
-    )
+        absent = F.struct(F.lit(None).cast("bigint").alias("n_rows"), *shown)
+        rows = F.array(*(F.struct(F.lit(n).alias("component"), *(absent[c].alias(c) for c in ("n_rows", "valid", "message"))) for n in ("obs", "var")))
+        return _session(ds).range(1).select(F.inline(rows))
+    return _union([df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("component"), "n_rows", *shown) for n, df in present])
+
+
+def _session(ds: Dataset) -> SparkSession:
+    """The session of whatever the dataset holds, or the running one."""
+    held = [ds.x, ds.uns, *(df for kind in (ds.layers, ds.obsm, ds.varm, ds.obsp, ds.varp) for df in kind.values())]
+    found = next((df.sparkSession for df in held if df is not None), None) or SparkSession.getActiveSession()
+    if found is None:
+        raise DatasetError("no Spark session is running")
+    return found
 
 
 def alignment_check(ds: Dataset) -> DataFrame:

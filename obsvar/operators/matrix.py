@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from obsvar.functions.naming import column
 from obsvar.operators import blocks
 from obsvar.operators.numbering import BUCKET, bucket_of
-from obsvar.operators.scans import near, packed_rows
+from obsvar.operators.scans import in_slots, near, packed_rows
 from obsvar.session import discard, written
 
 
@@ -161,10 +161,10 @@ def densify(obs: DataFrame, cells: DataFrame, picks: Sequence[tuple[int, str]])
     One packed row per observation, then unfolded: the zeros are never shuffled.
     """
     indices = [i for i, _ in picks]
-    packed = packed_rows(obs, near(cells, indices), max(indices, default=-1) + 1)
+    packed = packed_rows(obs, in_slots(near(cells, indices), indices), len(indices))
     listed = F.array(*[F.lit(i).cast("bigint") for i in indices]).cast("array<bigint>")
     unfolded = F.transform(
-        listed, lambda i: F.struct(i.alias("var_idx"), F.get(F.col("vec"), i.cast("int")).alias("value"))
+        listed, lambda i, k: F.struct(i.alias("var_idx"), F.get(F.col("vec"), k).alias("value"))
     )
     zero = F.lit(0).cast(cells.schema["value"].dataType)
     return packed.select("obs_idx", F.inline(unfolded)).withColumn("value", F.coalesce("value", zero))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from obsvar.functions.naming import column, quoted, with_unique_columns
 from obsvar.functions.text import bool_text
 from obsvar.model import Dataset, DatasetError, pick_member
+from obsvar.operators.uns import flatten_struct
 from obsvar.operators.variables import resolve_variables, variable_names
 
 CONDITIONAL_COLUMNS = 64  # so many columns are an aggregate each; more are read from packed rows
@@ -62,6 +63,19 @@ def near(cells: DataFrame, indices: Sequence[int]) -> DataFrame:
     return kept.filter(F.col("var_idx").isin(list(indices))) if len(indices) <= CONDITIONAL_COLUMNS else kept
 
 
+def in_slots(cells: DataFrame, indices: Sequence[int]) -> DataFrame:
+    """Cells of the given variables, numbered by their place among these.
+
+    A row packed from them is as wide as the choice, not as the largest index. The table of places
+    is as long as the list the caller holds.
+    """
+    if list(indices) == list(range(len(indices))):
+        return cells.filter(F.col("var_idx").between(0, len(indices) - 1))
+    places = cells.sparkSession.createDataFrame([(i, k) for k, i in enumerate(indices)], "var_idx bigint, _slot bigint")
+    rest = [column(c) for c in cells.columns if c != "var_idx"]
+    return cells.join(F.broadcast(places), "var_idx").select(F.col("_slot").alias("var_idx"), *rest)
+
+
 def packed_rows(
     axis: DataFrame, cells: DataFrame, width: int, keys: Sequence[str] = ("obs_idx",), fill_zero: bool = True
 ) -> DataFrame:
@@ -122,9 +136,9 @@ def wide_cells(
     zero = f"cast(0 as {value_type})"
     chosen = near(cells, [i for i, _ in picks])
     if len(picks) > CONDITIONAL_COLUMNS:
-        packed = packed_rows(axis, chosen, max(i for i, _ in picks) + 1, keys, fill_zero)
+        packed = packed_rows(axis, in_slots(chosen, [i for i, _ in picks]), len(picks), keys, fill_zero)
         shown = f"coalesce(get(vec, {{}}), {zero}) as {{}}" if fill_zero else "get(vec, {}) as {}"
-        return packed.selectExpr(*keys, *[shown.format(i, quoted(n)) for i, n in picks])
+        return packed.selectExpr(*keys, *[shown.format(k, quoted(n)) for k, (_, n) in enumerate(picks)])
     wanted = chosen.selectExpr(*keys, "var_idx", "value", "false as _axis")
     rows = axis.selectExpr(
         *keys, "cast(null as bigint) as var_idx", f"cast(null as {value_type}) as value", "true as _axis"
@@ -253,4 +267,4 @@ def scan_uns(ds: Dataset) -> DataFrame:
         return (ds.obs if ds.obs is not None else ds.var).sparkSession.createDataFrame(
             [(NO_UNS,)], "message string"
         )
-    return ds.uns
+    return flatten_struct(ds.uns.select("tree"), "tree") if "tree" in ds.uns.columns else ds.uns

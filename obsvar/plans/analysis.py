@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from obsvar.functions.naming import column, quoted
 from obsvar.model import Dataset
 from obsvar.operators.collection import (
-    FILE, Collection, common_variables, harmonize_long, harmonize_obs, harmonize_x, member_variables,
+    FILE, Collection, common_variables, harmonize_long, harmonize_obs, member_variables, slotted,
 )
 from obsvar.operators.scans import near, packed_rows, scan_obs, vector_columns
 from obsvar.operators.variables import resolve_variables, variable_names
@@ -456,14 +456,15 @@ def cross_file_by_kind(
 
     Sums of the stored cells over the numbers of observations; the zeros are never built.
     """
-    genes = harmonize_x(col, "intersection", names, name_column=name_column).columns[2:]
+    found = slotted(col, "intersection", names, name_column=name_column)
     obs = harmonize_obs(col).select(FILE, "obs_idx", column(kind).alias("_kind"))
     sizes = obs.groupBy(FILE, "_kind").agg(F.count("*").alias("_n"))
-    cells = harmonize_long(col, "intersection", name_column=name_column)
-    cells = cells.filter(F.lower("var_name").isin([g.lower() for g in genes])) if names is not None else cells
-    sums = cells.join(obs, [FILE, "obs_idx"]).groupBy(FILE, "_kind", F.lower("var_name").alias("_gene")).agg(F.sum("value").alias("_sum"))
-    packed = sums.groupBy(FILE, "_kind").agg(F.map_from_entries(F.collect_list(F.struct("_gene", "_sum"))).alias("_sums"))
+    sums = found.cells.join(obs, [FILE, "obs_idx"]).groupBy(FILE, "_kind", "slot").agg(F.sum("value").alias("_sum"))
+    packed = sums.groupBy(FILE, "_kind").agg(F.map_from_entries(F.collect_list(F.struct("slot", "_sum"))).alias("_sums"))
     packed = packed.withColumnsRenamed({FILE: "_f", "_kind": "_k"})
     joined = sizes.join(packed, (F.col(FILE) == F.col("_f")) & F.col("_kind").eqNullSafe(F.col("_k")), "left")
-    means = [(F.coalesce(F.col("_sums")[g.lower()], F.lit(0.0)) / F.col("_n")).alias(f"mean_{g}") for g in genes]
+    means = [
+        (F.coalesce(F.col("_sums")[F.lit(k).cast("bigint")], F.lit(0.0)) / F.col("_n")).alias(f"mean_{g}")
+        for k, g in enumerate(found.labels)
+    ]
     return joined.select(FILE, F.col("_kind").alias(kind), *means)

@@ -488,3 +488,44 @@ SQL |= {
       union all select 'obsp_lead', 'pairs', op, true from n
       union all select 'varp_lead', 'pairs', vp, true from n""",
 }
+
+# --- collections: names by case, unlike metadata ----------------------------------------------
+
+_NAMED = (("Brand#3", 2), ("brand#11", 10), ("BRAND#25", 24))
+
+
+def _uns_multi() -> str:
+    def leaf(kinds, key, dtype, text, type_="scalar", shape="()", arr="null"):
+        listed = ", ".join(f"'{k}'" for k in kinds)
+        return (
+            f"select dataset || '.data' as _file_name, '{key}' as key, '{type_}' as type, '{dtype}' as dtype, '{shape}' as shape, "
+            f"{text}::varchar as scalar, {arr}::varchar as arr from whole where dataset in ({listed})"
+        )
+
+    rows = [
+        leaf(("click", "error", "purchase", "signup"), "stats/n", "float64", "printf('%.6g', n::double)"),
+        leaf(("error",), "stats/max", "float64", "printf('%.6g', max)"),
+        leaf(("click",), "title", "string", "upper(dataset)"),
+        leaf(("error",), "params/limits/n_users", "int64", "n_users"),
+        leaf(("error",), "params/limits/k_max", "int32", "k_max"),
+        leaf(("error", "view"), "params/rate", "string", "'0.1'"),
+        leaf(("view",), "hist/hours", "int32", "null", "array", "(24)", "hours"),
+        leaf(("view",), "hist/counts", "int64", "null", "array", "(24)", "counts"),
+        leaf(("purchase", "signup"), "grid", "int64", "null", "array", "(4, 3)", "grid"),
+    ]
+    return f"with {EVENTS}, whole as (select * from t join hist using (dataset) join grid using (dataset)) " + " union all ".join(rows)
+
+
+SQL |= {
+    "cross_file_join_named": f"""with {PANEL_X},
+      o as (select o_orderkey as obs_idx, o_orderpriority as priority from orders),
+      n as (select priority, count(*) as n from o group by 1),
+      s as (select priority, {', '.join(f"coalesce(sum(value) filter (var_idx = {i}), 0) as s{i}" for _, i in _NAMED)}
+        from o left join x using (obs_idx) group by 1)
+      select f as _file_name, priority, {', '.join(_r(f's{i} / n', f'"mean_{g}"') for g, i in _NAMED)}
+      from n join s using (priority), unnest(['big', 'small']) as u(f)""",
+    "scan_uns_multi": _uns_multi(),
+    "validate_invalid": """select unnest(['obs', 'var']) as component, null::bigint as n_rows, false as valid,
+      'dataset ''cells'' is not valid: it has neither obs nor var' as message""",
+    "detect_roles_named": "select p_partkey as var_idx, p_brand as name, p_name as id from part",
+}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsvar.functions.naming import quoted, with_unique_columns
+from obsvar.model import Dataset
 from obsvar.operators import collection as many
 from obsvar.operators import blocks, decode, inspect, matrix, numbering, scans, uns, variables
 from obsvar.plans import analysis
@@ -347,6 +348,22 @@ def validate_dataset(spark, folder):
     return inspect.validation_report(star.expression(spark, folder))
 
 
+@registered
+def validate_invalid(spark, folder):
+    """A dataset of cells alone, without either axis table."""
+    return inspect.validation_report(Dataset(x=star.expression(spark, folder).x, path="cells"))
+
+
+@registered
+def detect_roles_named(spark, folder):
+    """Columns known by name, in whatever case, before any other column's content."""
+    var = star.expression(spark, folder).var.drop("_index").withColumnsRenamed({"brand": "Gene_Name", "label": "Feature_ID"})
+    roles = variables.detect_roles(var)
+    return variables.variable_names(var, roles["var_name_column"]).join(
+        variables.variable_names(var, roles["var_id_column"]).withColumnRenamed("name", "id"), "var_idx"
+    )
+
+
 @registered
 def alignment_check(spark, folder):
     return inspect.alignment_check(star.expression(spark, folder))
@@ -359,9 +376,9 @@ def _leaves(spark, folder):
     return uns.flatten_struct(star.metadata(spark, folder), "tree")
 
 
-def _flat_value(leaves: DataFrame) -> DataFrame:
+def _flat_value(leaves: DataFrame, id: str = "dataset") -> DataFrame:
     return leaves.select(
-        "dataset", "key", "type", "dtype", "shape",
+        id, "key", "type", "dtype", "shape",
         F.col("value.scalar").alias("scalar"),
         F.when(F.col("value.arr").isNotNull(), F.array_join("value.arr", ",")).alias("arr"),
     )
@@ -508,6 +525,28 @@ def cross_file_join(spark, folder):
     return rounded(analysis.cross_file_by_kind(star.by_flag(spark, folder), "cell_type"))
 
 
+def _by_case(spark, folder):
+    """The panel twice, its variables named in capitals and in small letters."""
+    ds = star.panel(spark, folder)
+    members = {
+        name: replace(ds, var=ds.var.withColumn("_index", change("_index")))
+        for name, change in (("big", F.upper), ("small", F.lower))
+    }
+    return many.Collection.of(members)
+
+
+@registered
+def cross_file_join_named(spark, folder):
+    names = ["Brand#3", "brand#11", "BRAND#25"]
+    return rounded(analysis.cross_file_by_kind(_by_case(spark, folder), "priority", names, "_index"))
+
+
+@registered
+def scan_uns_multi(spark, folder):
+    """Metadata of members whose trees differ in branches and leaf types."""
+    return _flat_value(many.harmonize_uns(star.unlike_metadata(spark, folder)), many.FILE)
+
+
 # --- analytics --------------------------------------------------------------------------------
 
 
@@ -607,19 +646,14 @@ def matrix_format(spark, folder):
     ds = star.expression(spark, folder)
     found = []
     for axis, other in (("obs_idx", "var_idx"), ("var_idx", "obs_idx")):
-        indptr, _ = _compressed(spark, folder, axis, other)
+        indptr, _ = matrix.to_compressed(ds.x, ds.obs if axis == "obs_idx" else ds.var, axis, other)
         found.append(matrix.sparse_format(indptr, ds.obs, ds.var).withColumn("axis", F.lit(axis)))
     return found[0].unionByName(found[1])
 
 
 @registered
 def harmonize_x_union_case(spark, folder):
-    ds = star.panel(spark, folder)
-    members = {
-        name: replace(ds, var=ds.var.withColumn("_index", change("_index")))
-        for name, change in (("big", F.upper), ("small", F.lower))
-    }
-    return many.harmonize_x(many.Collection.of(members), "union", name_column="_index")
+    return many.harmonize_x(_by_case(spark, folder), "union", name_column="_index")
 
 
 @registered

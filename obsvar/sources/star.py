@@ -26,6 +26,8 @@ FLAG_MEMBERS = {
     "R": (21, 50, "metric_gamma"),
 }
 RAW_SIZES, MAIN_SIZES = 50, 25
+# The types in the events table.
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 SLICE_WIDTHS = {"slice_1": 11, "slice_2": 12, "slice_3": 13}
 
 
@@ -304,3 +306,21 @@ def metadata(spark: SparkSession, folder: str) -> DataFrame:
         F.col("grid"),
     )
     return counted.select("dataset", tree.alias("tree"))
+
+
+@per_session
+def unlike_metadata(spark: SparkSession, folder: str) -> Collection:
+    """A member per event type; their trees differ in branches, and in the type of one leaf."""
+    t, trees = tables(spark, folder), metadata(spark, folder)
+    n = F.col("tree.stats.n")
+
+    def member(kind: str) -> Dataset:
+        stats = {"click": [n.cast("int").alias("n")], "error": [n.cast("double").alias("n"), F.col("tree.stats.max").alias("max")]}
+        held = {
+            "click": [F.struct(*stats["click"]).alias("stats"), F.col("tree.title").alias("title")],
+            "error": [F.struct(*stats["error"]).alias("stats"), F.col("tree.params").alias("params")],
+            "view": [F.col("tree.hist").alias("hist"), F.struct(F.col("tree.params.rate").cast("string").alias("rate")).alias("params")],
+        }.get(kind, [F.struct(n.alias("n")).alias("stats"), F.col("tree.grid").alias("grid")])
+        return Dataset(obs=t.supplier.select(F.col("s_suppkey").alias("obs_idx")), uns=trees.filter(F.col("dataset") == kind).select(F.struct(*held).alias("tree")))
+
+    return Collection.of({f"{kind}.data": member(kind) for kind in EVENT_TYPES})

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from obsvar.functions.naming import column, quoted
 from obsvar.model import INDEX_COLUMN, Dataset, DatasetError, Raw
+from obsvar.operators import collection as many
 from obsvar.operators.collection import FILE, Collection, Part
 from obsvar.operators.inspect import dataset_info, table_names, validate
 from obsvar.operators.scans import (
@@ -159,11 +160,52 @@ def open_collection(spark: SparkSession, pattern: str, var_name_column: str = IN
     return Collection(tuple(sorted(names.values())), parts, var_name_column)
 
 
-def create_views(ds: Dataset, alias: str) -> list[str]:
+def collection_views(col: Collection, alias: str, mode: str = "intersection") -> list[str]:
+    """Temp views ``<alias>_<table>`` over a collection, each with ``_file_name``.
+
+    A component is shown if every member has it; metadata if any has. X and layers are wide over
+    the combined variables, which must not be none in intersection mode; ``<alias>_X_long`` holds
+    the stored cells by name.
+    """
+    makers = {
+        ("obs", None): lambda: many.harmonize_obs(col, mode),
+        ("var", None): lambda: many.harmonize_var(col, mode),
+        ("x", None): lambda: many.harmonize_x(col, mode),
+        ("raw_var", None): lambda: many.harmonize_raw_var(col, mode),
+        ("raw_x", None): lambda: many.harmonize_raw_x(col, mode),
+        ("uns", None): lambda: many.harmonize_uns(col, mode),
+    }
+    named = {
+        "layers": lambda n: many.harmonize_layer(col, n, mode), "obsm": lambda n: many.harmonize_obsm(col, n, mode),
+        "varm": lambda n: many.harmonize_varm(col, n, mode), "raw_varm": lambda n: many.harmonize_raw_varm(col, n, mode),
+        "obsp": lambda n: many.concat_obsp(col, n), "varp": lambda n: many.concat_varp(col, n),
+    }
+    needs = {"x": ("obs", "var"), "layers": ("obs", "var"), "obsm": ("obs",), "obsp": ("obs",), "varm": ("var",), "varp": ("var",), "raw_x": ("obs", "raw_var")}
+
+    def everywhere(kind: str, name: str | None = None) -> bool:
+        held = {m for p in col.parts.get((kind, name), []) for m in p.members}
+        return bool(held) if kind == "uns" else held == set(col.members)
+
+    frames = {}
+    for kind, name in sorted(col.parts, key=lambda k: (k[0], k[1] or "")):
+        if everywhere(kind, name) and all(everywhere(n) for n in needs.get(kind, ())):
+            label = {"x": "X", "raw_x": "raw_X"}.get(kind, kind) + (f"_{name}" if name else "")
+            frames[label] = named[kind](name) if name else makers[kind, name]()
+    if "X" in frames:
+        frames["X_long"] = many.harmonize_long(col, mode)
+    for label, frame in frames.items():
+        frame.createOrReplaceTempView(quoted(f"{alias}_{label}"))
+    return [f"{alias}_{label}" for label in frames]
+
+
+def create_views(ds: Dataset | Collection, alias: str, mode: str = "intersection") -> list[str]:
     """Temp views ``<alias>_<table>`` over every usable component, for SQL users.
 
-    X and layers are wide whatever their number of variables; ``<alias>_X_long`` exists with X.
+    X and layers are wide whatever their number of variables; ``<alias>_X_long`` exists with X. Of a
+    collection every view has ``_file_name``, and ``mode`` says how schemas are combined.
     """
+    if isinstance(ds, Collection):
+        return collection_views(ds, alias, mode)
     makers = {
         "obs": lambda: scan_obs(ds), "var": lambda: scan_var(ds), "info": lambda: dataset_info(ds),
         "uns": lambda: scan_uns(ds), "X": lambda: scan_x(ds), "raw_X": lambda: scan_raw_x(

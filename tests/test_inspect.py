@@ -33,8 +33,10 @@ def test_validity(spark):
     assert inspect.validity(Dataset(path="p")) == (
         False, "dataset 'p' is not valid: it has neither obs nor var",
     )
+    message = "dataset 'p' is not valid: it has neither obs nor var"
+    assert rows(inspect.validation_report(Dataset(path="p"))) == [("obs", None, False, message), ("var", None, False, message)]
     with pytest.raises(DatasetError, match="not valid"):
-        inspect.validation_report(Dataset(path="p"))
+        inspect.validate(Dataset(path="p"))
     only_var = Dataset(var=axis(spark, 3, "var_idx"))
     assert rows(inspect.validation_report(only_var)) == [("var", 3, True, "ok")]
 
