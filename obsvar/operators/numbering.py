@@ -82,3 +82,24 @@ def rank_in_key(
         .join(offsets, [*keys, "_bucket"])
         .select(*df.columns, (F.col("_offset") + F.col("_rank")).cast("bigint").alias(out))
     )
+
+
+def count_before(
+    df: DataFrame, keys: Sequence[str], order: str, marked: Column, out: str, bucket: int = BUCKET
+) -> DataFrame:
+    """Rows of the same key that are ``marked`` and stand before each row by the integer ``order``.
+
+    Of rows equal in ``order`` marked ones stand first. As in ``rank_in_key`` the order axis is cut
+    into ranges, and a key's ranges are put together by their totals.
+    """
+    rows = df.withColumns({"_bucket": bucket_of(order, bucket), "_counted": F.coalesce(marked.cast("bigint"), F.lit(0))})
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(order, F.desc("_counted"))
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*keys, "_bucket").agg(F.sum("_counted").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket")) - F.col("_n")
+    offsets = totals.select(*keys, "_bucket", before.alias("_offset"))
+    return (
+        rows.withColumn("_inside", F.coalesce(F.sum("_counted").over(inside), F.lit(0)))
+        .join(offsets, [*keys, "_bucket"])
+        .select(*df.columns, (F.col("_offset") + F.col("_inside")).cast("bigint").alias(out))
+    )

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obsvar.functions.naming import column, find_column
 from obsvar.model import INDEX_COLUMN, DatasetError
-from obsvar.operators.numbering import rank_in_key
+from obsvar.operators.numbering import count_before, rank_in_key
+from obsvar.session import materialise
 
 # Candidate column names by role, in order of preference.
 NAME_COLUMNS = (
@@ -48,6 +49,10 @@ def _ancestors(name: Column) -> Column:
     )
 
 
+# a name that a repeat can turn into: a stem and a suffix as it is written
+_SUFFIXED = "(?s)^(.*)_([1-9][0-9]{0,17})$"
+
+
 def unique_variable_names(
     named: DataFrame, scope: Sequence[str] = (), reserved: Sequence[str] = ("obs_idx",)
 ) -> DataFrame:
@@ -55,9 +60,9 @@ def unique_variable_names(
 
     A suffix that is already taken is skipped. Names are compared without regard to case, because
     Spark resolves columns that way, and inside each ``scope`` (a dataset of a collection).
-    Repeats of names that no other name can collide with are numbered by a ranged count; only where
-    a literal name such as ``A_1`` meets repeats of ``A`` does the order of both decide, and that
-    family of names is walked in one group.
+    Repeats of names that no other name can collide with are numbered by a ranged count. Where a
+    literal name such as ``A_1`` meets repeats of ``A``, whichever comes first has it: such families
+    are numbered by the gaps that their literal names leave, see ``_numbered``.
     """
     scope = list(scope)
     blocked = [r.lower() for r in reserved]
@@ -79,34 +84,91 @@ def unique_variable_names(
         .groupBy(*scope, "_key")
         .agg(F.min_by("_family", F.length("_family")).alias("_family"))
     )
-    contested = kin.select(*scope, "_family").distinct().withColumn("_contested", F.lit(True))
+    out = [*scope, "var_idx", "name"]
+    ranked = (F.col("_rank") + F.col("_key").isin(blocked).cast("bigint")).alias("_suffix")
+
+    def plain(free: DataFrame) -> DataFrame:
+        return _shown(rank_in_key(free, [*scope, "_key"], "var_idx", "_rank").select(*out, ranked), out)
+
+    # names that are reserved and look like a repeat of another stand in that one's way everywhere
+    stems = {m.group(1) for m in (re.match(_SUFFIXED, r) for r in blocked) if m}
+    crossed = repeated.filter(F.col("_family").isin(list(stems))) if stems else repeated.filter("false")
+    contested = kin.select(*scope, "_family").union(crossed).distinct()
+    if contested.isEmpty():
+        return plain(rows)
+    contested = contested.withColumn("_contested", F.lit(True))
     tagged = (
         rows.join(kin, [*scope, "_key"], "left")
         .withColumn("_family", F.coalesce("_family", "_key"))
         .join(contested, [*scope, "_family"], "left")
+        .withColumn("_contested", F.coalesce("_contested", F.lit(False)))
     )
-    needs_walk = F.coalesce("_contested", F.lit(False)) | F.col("_family").isin(blocked)
-    out = [*scope, "var_idx", "name"]
-    suffixed = F.concat_ws("_", "name", F.col("_rank").cast("string"))
-    plain = rank_in_key(tagged.filter(~needs_walk), [*scope, "_key"], "var_idx", "_rank").select(
-        *out, F.when(F.col("_rank") == 0, F.col("name")).otherwise(suffixed).alias("unique_name")
-    )
+    families = tagged.filter("_contested").select(*out, "_key")
+    return plain(tagged.filter("not _contested").select(*out, "_key")).unionByName(_shown(_numbered(families, scope, blocked), out))
 
-    def walk(family: pd.DataFrame) -> pd.DataFrame:
-        family = family.sort_values("var_idx")
-        unique_names = _suffixed(list(family["name"]), set(blocked))
-        return family[out].assign(unique_name=unique_names)
 
-    walked_schema = T.StructType(
-        [*[rows.schema[c] for c in out], T.StructField("unique_name", T.StringType())]
-    )
-    walked = (
-        tagged.filter(needs_walk)
-        .select("_family", *out)
-        .groupBy(*scope, "_family")
-        .applyInPandas(walk, walked_schema)
-    )
-    return plain.unionByName(walked)
+def _shown(rows: DataFrame, out: Sequence[str]) -> DataFrame:
+    suffixed = F.concat_ws("_", "name", F.col("_suffix").cast("string"))
+    return rows.select(*out, F.when(F.col("_suffix") == 0, F.col("name")).otherwise(suffixed).alias("unique_name"))
+
+
+def _numbered(rows: DataFrame, scope: Sequence[str], blocked: Sequence[str]) -> DataFrame:
+    """``rows`` with the suffix each name gets (0: none), by intervals between literal names.
+
+    The j-th repeat of a stem gets j plus the number of literals it has to pass. Literal k, first
+    seen at place q, is passed if the repeat whose turn it is when k comes up stands after q; that
+    repeat is number k - s, s being the literals passed before. Which ones are is found by running
+    counts from k = J on, J being the first repeat after q, until they agree with themselves; the
+    first r literals are right after r rounds, and mostly all after the second. A literal that is
+    not passed but reached has lost its name to a repeat, and is a repeat itself: stems are handled
+    from the shortest on. Each step is stored, so that it is made once.
+    """
+    at = [*scope, "_key"]
+    tail = F.regexp_extract("_key", "((?:_[1-9][0-9]{0,17})*)$", 1)
+    rows = materialise(rows.withColumn("_depth", F.size(F.split(tail, "_")) - 1))
+    keys = rows.groupBy(*at, "_depth").agg(F.min("var_idx").alias("_first"))
+    scopes = rows.select(*scope).distinct() if scope else rows.sparkSession.range(1).select()
+    lost = scopes.crossJoin(F.broadcast(rows.sparkSession.createDataFrame([(b,) for b in blocked], "_key string"))) if blocked else keys.select(*at).filter("false")
+    held = lost.withColumn("_first", F.lit(-1).cast("bigint"))
+    done, deepest = [], rows.agg(F.max("_depth")).first()[0]
+    for depth in range(deepest + 1):
+        mine = rows.filter(F.col("_depth") == depth).join(lost.withColumn("_lost", F.lit(1)), at, "left")
+        repeat = F.col("_rank") + F.coalesce("_lost", F.lit(0))
+        mine = materialise(rank_in_key(mine, at, "var_idx", "_rank").withColumn("_suffix", repeat).drop("_rank", "_lost", "_depth"))
+        stems = mine.groupBy(*at).agg(F.count_if(F.col("_suffix") > 0).alias("_repeats")).filter("_repeats > 0")
+        literals = keys.filter(F.col("_depth") == depth + 1).select(*at, "_first").unionByName(held.select(*at, "_first"))
+        literals = literals.filter(F.col("_key").rlike(_SUFFIXED)).groupBy(*at).agg(F.min("_first").alias("_first")).select(
+            *scope, F.col("_key").alias("_literal"), F.regexp_extract("_key", _SUFFIXED, 1).alias("_key"),
+            F.regexp_extract("_key", _SUFFIXED, 2).cast("bigint").alias("_k"), "_first",
+        ).join(stems, at)
+        literals = materialise(literals)
+        if literals.isEmpty():
+            done.append(mine)
+            continue
+        events = mine.filter("_suffix > 0").select(*at, F.col("var_idx").alias("_at"), F.lit(True).alias("_mark"), F.lit(None).cast("string").alias("_literal"))
+        events = events.unionByName(literals.select(*at, F.col("_first").alias("_at"), F.lit(False).alias("_mark"), "_literal"))
+        earlier = count_before(events, at, "_at", F.col("_mark"), "_earlier").filter("not _mark").select(*at, "_literal", "_earlier")
+        literals = literals.join(earlier, [*at, "_literal"]).withColumn("_turn", F.col("_earlier") + 1)
+        passed = F.col("_turn") <= F.col("_k")
+        literals = materialise(literals.withColumn("_passed", passed))
+        while True:
+            counted = count_before(literals, at, "_k", F.col("_passed"), "_before")
+            again = materialise(counted.withColumn("_now", F.col("_turn") <= F.col("_k") - F.col("_before")))
+            settled = again.filter("_now <> _passed").isEmpty()
+            if settled:
+                break
+            literals = again.withColumn("_passed", F.col("_now")).drop("_now", "_before")
+        reached = F.col("_k") - F.col("_before")
+        gaps = again.filter("_passed").select(*at, reached.alias("_suffix"), F.lit(True).alias("_mark"))
+        line = gaps.withColumns({"var_idx": F.lit(None).cast("bigint"), "name": F.lit(None).cast("string")}).unionByName(
+            mine.filter("_suffix > 0").withColumn("_mark", F.lit(False))
+        )
+        moved = count_before(line, at, "_suffix", F.col("_mark"), "_gaps").filter("not _mark")
+        moved = moved.withColumn("_suffix", F.col("_suffix") + F.col("_gaps")).drop("_mark", "_gaps")
+        done.append(mine.filter("_suffix = 0").unionByName(moved))
+        taken = again.filter(~F.col("_passed") & (reached <= F.col("_repeats"))).select(*scope, F.col("_literal").alias("_key"))
+        lost = materialise(lost.unionByName(taken).distinct())
+    return reduce(DataFrame.unionByName, done)
 
 
 def has_repeated_names(

@@ -528,4 +528,14 @@ SQL |= {
     "validate_invalid": """select unnest(['obs', 'var']) as component, null::bigint as n_rows, false as valid,
       'dataset ''cells'' is not valid: it has neither obs nor var' as message""",
     "detect_roles_named": "select p_partkey as var_idx, p_brand as name, p_name as id from part",
+    "dup_var_names_literal": """with recursive p as (select p_partkey as var_idx, p_brand as brand,
+        case when p_partkey % 3 = 0 then p_brand || '_' || (p_partkey % 23 + 1) else p_brand end as name,
+        row_number() over (partition by p_brand order by p_partkey) as i from part),
+      w as (select brand, 0::bigint as i, []::varchar[] as used, null::bigint as var_idx, null::varchar as unique_name
+          from (select distinct brand from p)
+        union all select brand, i, list_append(used, u), var_idx, u from
+          (select p.brand, p.i, p.var_idx, w.used, case when not list_contains(w.used, p.name) then p.name else p.name || '_' ||
+             list_filter(range(1, p.i + 1), lambda k: not list_contains(w.used, p.name || '_' || k))[1] end as u
+           from w join p on p.brand = w.brand and p.i = w.i + 1))
+      select var_idx, unique_name from w where i > 0""",
 }

@@ -314,6 +314,14 @@ def dup_var_names(spark, folder):
     return variables.unique_variable_names(named).select("var_idx", "unique_name")
 
 
+@registered
+def dup_var_names_literal(spark, folder):
+    """Repeats of every brand among literal names that look like them, some repeated as well."""
+    literal = F.concat_ws("_", "brand", (F.col("var_idx") % 23 + 1).cast("string"))
+    named = star.expression(spark, folder).var.select("var_idx", F.when(F.col("var_idx") % 3 == 0, literal).otherwise(F.col("brand")).alias("name"))
+    return variables.unique_variable_names(named).select("var_idx", "unique_name")
+
+
 @registered
 def dup_name_audit(spark, folder):
     return variables.duplicate_name_audit(star.expression(spark, folder).var, "label")
