@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsvar.functions.naming import column, quoted
-from obsvar.model import Dataset
+from obsvar.model import Dataset, DatasetError
 from obsvar.operators.collection import (
     FILE, Collection, common_variables, harmonize_long, harmonize_obs, member_variables, slotted,
 )
 from obsvar.operators.scans import near, packed_rows, scan_obs, vector_columns
-from obsvar.operators.variables import resolve_variables, variable_names
+from obsvar.operators.numbering import assign_index
+from obsvar.operators.variables import has_repeated_names, resolve_variables, unique_variable_names, variable_names
+from obsvar.session import materialise, written
 
 
 def mean_with_zeros(stored: Column, mean: Column, n: Column) -> Column:
@@ -258,25 +260,40 @@ def batch_effect(ds: Dataset, batch: str, limit: int = 20) -> DataFrame:
 
 
 def gene_set_score(
-    ds: Dataset, sets: Mapping[str, Sequence[str]], name_column: str | None = None
+    ds: Dataset, sets: Mapping[str, Sequence[str]] | DataFrame, name_column: str | None = None
 ) -> DataFrame:
     """Mean value per observation and variable set, unstored members counting as 0.
 
-    Any number of sets: their members are a table that meets the cells in one join. The cells are
-    read once; sums per observation and set are packed into one row per observation, then unfolded.
+    ``sets`` maps names to variables, or is a table ``(set_name, variable)`` of any length, which
+    meets the variables in a join, repeats by their suffixed names, in any case; a null variable
+    declares a set without adding to it. A variable that is not there raises; an empty set has no
+    mean (NULL). The cells are read once and meet the members in one join; sums per observation
+    and set are packed into one row per observation, then unfolded.
     """
-    labels = sorted(sets)
-    wanted = sorted({n for members in sets.values() for n in members})
-    picks = {n: i for i, n in resolve_variables(ds.require_var(), name_column or ds.var_name_column, wanted)}
-    spark = ds.var.sparkSession
-    members = [(picks[n], k, len(set(sets[s]))) for k, s in enumerate(labels) for n in sorted(set(sets[s]))]
-    table = spark.createDataFrame(members, "var_idx bigint, set_idx bigint, n bigint")
-    cells = near(ds.require_x(), sorted(picks.values())).join(table, "var_idx")
-    sums = cells.groupBy("obs_idx", "set_idx").agg((F.sum(F.col("value").cast("double")) / F.first("n")).alias("value"))
-    packed = packed_rows(ds.require_obs().select("obs_idx"), sums.withColumnRenamed("set_idx", "var_idx"), len(labels))
-    names = spark.createDataFrame(list(enumerate(labels)), "set_idx int, set_name string")
-    scores = packed.select("obs_idx", F.posexplode("vec").alias("set_idx", "set_score"))
-    return scores.join(names, "set_idx").select("obs_idx", "set_name", "set_score")
+    var, named = ds.require_var(), name_column or ds.var_name_column
+    if not isinstance(sets, DataFrame):
+        rows = [(s, n) for s, members in sets.items() for n in (members or [None])]
+        sets = var.sparkSession.createDataFrame(rows, "set_name string, variable string")
+    names = variable_names(var, named)
+    if has_repeated_names(names):
+        names = unique_variable_names(names).select("var_idx", F.col("unique_name").alias("name"))
+    wanted = sets.select("set_name", "variable").distinct()
+    found = wanted.join(names.select("var_idx", F.lower("name").alias("_name")), F.lower("variable") == F.col("_name"), "left")
+    found, _ = written(found.select("set_name", "variable", "var_idx"), "sets")
+    absent = F.col("variable").isNotNull() & F.col("var_idx").isNull()
+    n_absent, first, low, high = found.agg(F.count_if(absent), F.min(F.when(absent, F.col("variable"))), F.min("var_idx"), F.max("var_idx")).first()
+    if n_absent:
+        raise DatasetError(f"variables not found: {n_absent} of those named, first '{first}'")
+    sizes = found.groupBy("set_name").agg(F.count_distinct("var_idx").alias("n"))
+    labels = materialise(assign_index(sizes, ["set_name"], "set_idx"))
+    n_sets = labels.count()
+    members = found.filter("var_idx is not null").join(labels, "set_name").select("var_idx", "set_idx").distinct()
+    cells = ds.require_x().filter(F.col("var_idx").between(low, high)) if low is not None else ds.require_x().filter("false")
+    sums = cells.join(members, "var_idx").groupBy("obs_idx", F.col("set_idx").alias("var_idx")).agg(F.sum(F.col("value").cast("double")).alias("value"))
+    packed = packed_rows(ds.require_obs().select("obs_idx"), sums, n_sets)
+    totals = packed.select("obs_idx", F.posexplode("vec").alias("set_idx", "total"))
+    score = F.when(F.col("n") > 0, F.col("total") / F.col("n")).alias("set_score")
+    return totals.join(labels, "set_idx").select("obs_idx", "set_name", score)
 
 
 def _per_variable(ds: Dataset, cells: DataFrame) -> DataFrame:

@@ -538,4 +538,5 @@ SQL |= {
              list_filter(range(1, p.i + 1), lambda k: not list_contains(w.used, p.name || '_' || k))[1] end as u
            from w join p on p.brand = w.brand and p.i = w.i + 1))
       select var_idx, unique_name from w where i > 0""",
+    "stored_genes": f"with {OBS}, {X} " + _wide("obs", "x", "value", [(7, "G000007"), (100, "G000100"), (150, "G000150")], "double"),
 }

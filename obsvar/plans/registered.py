@@ -15,7 +15,7 @@ from obsvar.operators import collection as many
 from obsvar.operators import blocks, decode, inspect, matrix, numbering, scans, uns, variables
 from obsvar.plans import analysis
 from obsvar.session import scratch_path
-from obsvar.sources import files, star
+from obsvar.sources import files, star, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -633,12 +633,18 @@ def gene_set_score(spark, folder):
 @registered
 def gene_set_score_many(spark, folder):
     ds = star.expression(spark, folder)
-    sets: dict[str, list[str]] = {}
-    for kind, name in ds.var.select("kind", "_index").collect():  # the sets are the query's argument
-        sets.setdefault(kind, []).append(name)
+    sets = ds.var.select(F.col("kind").alias("set_name"), F.col("_index").alias("variable"))
     return rounded(analysis.gene_set_score(ds, sets, "_index"))
 
 
+@registered
+def stored_genes(spark, folder):
+    """The dataset saved, opened again and read for three variables."""
+    path = scratch_path(spark, "stored")
+    store.save_dataset(star.expression(spark, folder), path, group_rows=5_000)
+    return scans.scan_x(store.open_dataset(spark, path, "_index", "_index"), ["G000007", "G000100", "G000150"])
+
+
 @registered
 def scan_x_wide_many(spark, folder):
     wide = scans.scan_x(star.expression(spark, folder), name_column="_index")

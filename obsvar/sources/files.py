@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +39,37 @@ def matching_files(spark: SparkSession, patterns: Sequence[str], extension: str
     return sorted(found)
 
 
+#: Footers that one task reads.
+FOOTERS = 64
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The schema of each file as text, from its footer alone; null where only Spark can open it."""
+    for batch in batches:
+        found = []
+        for uri in batch.column(0).to_pylist():
+            try:
+                system, path = pafs.FileSystem.from_uri(uri)
+                schema = pq.read_schema(path, filesystem=system)
+            except (OSError, pa.ArrowException, ImportError):
+                found.append(None)
+                continue
+            kept = (schema.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"").decode()
+            found.append(f"{schema.remove_metadata().to_string(show_field_metadata=False)}\n{kept}")
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["path", "schema"])
+
+
+def schema_texts(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """A text for each Parquet file that tells its schema; equal texts mean equal schemas.
+
+    One job reads the footers, a group of files per task. Only files on a system that the Python
+    workers cannot open are asked for one by one.
+    """
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths) // FOOTERS))
+    found = {r.path: r.schema for r in listed.mapInArrow(_footers, "path string, schema string").collect()}
+    return {p: text or spark.read.parquet(p).schema.json() for p, text in found.items()}
+
+
 def read_tables(
     spark: SparkSession, patterns: Sequence[str] | str, renames: dict[str, dict[str, str]] | None = None
 ) -> Collection:
@@ -49,10 +83,10 @@ def read_tables(
     if twice:  # the file name is part of the key of every row
         raise DatasetError(f"several files are called {', '.join(twice[:5])}")
     grouped: dict[str, list[str]] = {}
+    schemas = schema_texts(spark, paths)
     for path in paths:
         own = (renames or {}).get(path.rsplit("/", 1)[-1], {})
-        key = spark.read.parquet(path).schema.json() + repr(sorted(own.items()))
-        grouped.setdefault(key, []).append(path)
+        grouped.setdefault(schemas[path] + repr(sorted(own.items())), []).append(path)
     parts = []
     for same in grouped.values():
         names = tuple(p.rsplit("/", 1)[-1] for p in same)
