@@ -144,6 +144,15 @@ def _held(docs: DataFrame, text: str) -> DataFrame:
     return found.select(F.xxhash64(F.col(text)).alias("print"), every.alias("held")).filter(F.size("held") > 0)
 
 
+def _holders(docs: DataFrame, text: str, pairs: DataFrame) -> DataFrame:
+    """(term, n): how many distinct texts hold each term of ``pairs``."""
+    asked = pairs.select("term").distinct()
+    small = F.broadcast if asked.count() <= BROADCAST_TERMS else (lambda df: df)
+    split = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_BREAK))
+    words = docs.select(F.xxhash64(text).alias("print"), F.explode(split).alias("term")).join(small(asked), "term")
+    return words.select("print", "term").distinct().groupBy("term").agg(F.count("*").alias("n"))
+
+
 def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """(term, disclosure, action): what gives a protected entity of the corpus away.
 
@@ -169,10 +178,12 @@ def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
     texts, texts_at = written(places.join(known, "print", "left"), "texts")
     discard(spark, path)
     # texts with the term and any entity: no more than all that have it, and often too many already
-    # for the most frequent entity that it meets; counted within partitions first
+    # for any entity that it meets: of these none stands with it in more texts than it meets one in,
+    # nor in more than the most frequent has itself; counted within partitions first
     words = texts.select(F.explode(F.array_distinct(F.flatten("held.terms"))).alias("term"), "top")
     near = words.groupBy("term").agg(F.count("*").alias("n_near"), F.count("top").alias("n_met"), F.max("top").alias("top"))
-    near = near.filter((F.col("n_met") >= SUPPORT) & (F.col("n_near") <= most(F.col("top"), F.col("top"))))
+    together = F.least("n_met", "top")
+    near = near.filter((F.col("n_met") >= SUPPORT) & (F.col("n_near") <= most(together, together)))
     near, near_at = written(near.select("term", "n_near"), "near")
     small = F.broadcast if near.count() <= BROADCAST_TERMS else (lambda df: df)
     met = texts.filter("known is not null").select("known", F.explode("held").alias("m"))
@@ -184,18 +195,17 @@ def disclosing_terms(docs: DataFrame, text: str = "text", id: str = "doc_id") ->
     pairs = pairs.filter((F.col("n_et") >= SUPPORT) & (F.col("n_near") <= most(F.col("n_et"), F.col("n_e"))))
     pairs = materialise(pairs.drop("n_near"))
     discard(spark, texts_at, entities_at, near_at)
-    asked = pairs.select("term").distinct()
-    small = F.broadcast if (n := asked.count()) <= BROADCAST_TERMS else (lambda df: df)
-    if n:
-        split = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_BREAK))
-        words = docs.select(F.xxhash64(text).alias("print"), F.explode(split).alias("term"))
-        holds = words.join(small(asked), "term").select("print", "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    else:
-        holds = asked.withColumn("n_t", F.lit(0).cast("bigint"))
+    # all texts that have the terms: first in a quarter of them, by hash, as most terms are in too
+    # many of these already and need no more counting
+    one, other = (F.xxhash64(text).bitwiseAND(3) == 0), (F.xxhash64(text).bitwiseAND(3) != 0)
+    pairs = pairs.join(_holders(docs.filter(one), text, pairs).withColumnRenamed("n", "n_one"), "term", "left")
+    pairs = materialise(pairs.fillna(0, ["n_one"]).filter(F.col("n_one") <= most(F.col("n_et"), F.col("n_e"))))
+    pairs = pairs.join(_holders(docs.filter(other), text, pairs).withColumnRenamed("n", "n_other"), "term", "left")
+    pairs = pairs.fillna(0, ["n_other"]).withColumn("n_t", F.col("n_one") + F.col("n_other")).filter("n_t > 0")
     told = F.log2(F.lit(float(total)) / F.col("n_e"))
     share = F.least(F.lit(1.0), F.col("n_et") / F.col("n_t"))
     degree = F.when(told > 0, 1 + F.log2(share) / told)
-    found = pairs.join(holds, "term").withColumn("disclosure", degree).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    found = pairs.withColumn("disclosure", degree).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
     action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
     return materialise(found.filter(F.col("disclosure") >= GENERALISE).withColumn("action", action))
 
