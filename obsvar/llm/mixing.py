@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from obsvar.llm import textblocks as tb
-from obsvar.llm.ranges import ordered_sums
+from obsvar.llm.ranges import fresh, ordered_sums
 
 LEAST_WEIGHT = 0.05
 #: Sources up to this number are broadcast (some 100 bytes each); more are joined by a shuffle.
@@ -43,15 +43,16 @@ def words_and_weight(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         )
 
 
-def _drawn(docs: DataFrame, id: str, text: str, seed: int) -> DataFrame:
-    """Adds ``_mix``: size, key and a tie breaker; all follow from id, text and seed alone."""
+def _drawn(docs: DataFrame, id: str, text: str, seed: int, out: str) -> DataFrame:
+    """Adds ``out``: size, key and a tie breaker; all follow from id, text and seed alone."""
     seen = F.xxhash64(F.col(id), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")), F.lit(seed))
     even = (F.shiftrightunsigned(seen, 11).cast("double") + 0.5) / float(1 << 53)
-    measured = tb.small_batches(docs).withColumn("_m", words_and_weight(F.col(text)))
+    m = fresh("_m", docs)
+    measured = tb.small_batches(docs).withColumn(m, words_and_weight(F.col(text)))
     drawn = F.struct(
-        F.col("_m.words").alias("size"), (-F.log(even) / F.col("_m.weight")).alias("key"), seen.alias("tie")
+        F.col(f"{m}.words").alias("size"), (-F.log(even) / F.col(f"{m}.weight")).alias("key"), seen.alias("tie")
     )
-    return measured.withColumn("_mix", drawn).drop("_m")
+    return measured.withColumn(out, drawn).drop(m)
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], cap: int) -> tuple[DataFrame, int]:
@@ -97,10 +98,12 @@ def mix(
     repeat id and text share one key: at the end of a source they are taken in equal parts. The
     result follows from rows and seed alone, so reruns and lost executors do not change it. A null
     source is a source, and a null id is an id. An empty table gives an empty table. A column
-    already called ``mix`` is replaced.
+    already called ``mix`` is replaced; any other stays, whatever its name.
     """
-    drawn = _drawn(docs.drop("mix"), id, text, seed)
-    narrow = drawn.select(F.col(source).alias("source"), "_mix.*")
+    docs = docs.drop("mix")
+    own, at, found = (fresh(name, docs) for name in ("_mix", "_at_source", "_found"))
+    drawn = _drawn(docs, id, text, seed, own)
+    narrow = drawn.select(F.col(source).alias("source"), f"{own}.*")
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets, n = source_targets(sizes, weights, cap)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -116,8 +119,8 @@ def mix(
     inside = F.col("before") - F.col("start")
     reached = placed.filter((inside < F.col("rest")) & (F.col("size") > 0))
     last = reached.groupBy("_source").agg(F.max(F.struct("key", "tie")).alias("last"))
-    at = last.withColumnRenamed("_source", "_at")
-    ends = placed.join(small(at), F.col("_source").eqNullSafe(F.col("_at")))
+    lasts = last.withColumnRenamed("_source", "_at")
+    ends = placed.join(small(lasts), F.col("_source").eqNullSafe(F.col("_at")))
     at_end = F.struct("key", "tie") == F.col("last")
     shares = (
         ends.filter(at_end)
@@ -127,20 +130,23 @@ def mix(
     )
     lookup = lookup.join(shares, F.col("_source").eqNullSafe(F.col("_cut")), "left").drop("_cut", "start")
 
-    joined = drawn.join(small(lookup), F.col(source).eqNullSafe(F.col("_source")), "left")
-    size, mine = F.col("_mix.size"), F.struct("_mix.key", "_mix.tie")
-    share = F.least(F.lit(1.0), F.col("share"))
+    # what is known of a source goes to its rows as one column, whatever their own are called
+    known = F.struct("source_size", "target", "epochs", "last", "share").alias(found)
+    joined = drawn.join(small(lookup.select(F.col("_source").alias(at), known)), F.col(source).eqNullSafe(F.col(at)), "left")
+    size, mine, last = F.col(f"{own}.size"), F.struct(f"{own}.key", f"{own}.tie"), F.col(f"{found}.last")
+    share = F.least(F.lit(1.0), F.col(f"{found}.share"))
     if not split_last:
         share = F.when(share >= 0.5, 1.0).otherwise(0.0)
-    more = F.when(mine < F.col("last"), size).when(mine == F.col("last"), F.round(size * share)).otherwise(0)
+    more = F.when(mine < last, size).when(mine == last, F.round(size * share)).otherwise(0)
+    epochs = F.col(f"{found}.epochs")
     picked = F.struct(
         size.alias("size"),
-        F.col("source_size"),
-        F.col("target"),
-        F.col("epochs"),
-        (F.col("epochs") * size + more.cast("bigint")).alias("taken"),
+        F.col(f"{found}.source_size").alias("source_size"),
+        F.col(f"{found}.target").alias("target"),
+        epochs.alias("epochs"),
+        (epochs * size + more.cast("bigint")).alias("taken"),
     )
-    return joined.withColumn("mix", picked).select(*docs.drop("mix").columns, "mix")
+    return joined.withColumn("mix", picked).select(*docs.columns, "mix")
 
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
@@ -148,5 +154,6 @@ def repeated(docs: DataFrame, **options) -> DataFrame:
     mixed = mix(docs, split_last=False, **options)
     m = F.col("mix")
     times = F.when(m.size > 0, F.floor(m.taken / m.size)).otherwise(0).cast("int")
-    copies = F.explode(F.array_repeat(F.lit(1), times))
-    return mixed.select(*docs.columns, copies.alias("_copy")).drop("_copy")
+    copy = fresh("_copy", docs)
+    kept = [c for c in docs.columns if c.lower() != "mix"]
+    return mixed.select(*kept, F.explode(F.array_repeat(F.lit(1), times)).alias(copy)).drop(copy)

@@ -70,6 +70,14 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _free(docs: DataFrame) -> DataFrame:
+    """``docs``; raises if a column is called like one of the helper columns, which would vanish."""
+    taken = sorted({c for c in docs.columns if c.lower() in {f"_{x}_{k}" for x in "hpes" for k in KINDS}})
+    if taken:
+        raise ValueError(f"columns {', '.join(taken)} have names that are needed here: rename them")
+    return docs
+
+
 def _cut(docs: DataFrame, text: str) -> DataFrame:
     """Adds for each kind the matches (``_h``) and the text between them (``_p``)."""
     body = F.coalesce(F.col(text), F.lit(""))
@@ -108,9 +116,9 @@ def base_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataF
 
     Offsets are code points, ends exclusive; kinds are places in ``KINDS``. A null text is empty.
     Matches are leftmost and do not overlap within a kind; one that fails its check is dropped and
-    nothing inside it is tried.
+    nothing inside it is tried. Columns called like helper columns (``_h_email`` and alike) raise.
     """
-    found = _cut(docs, text)
+    found = _cut(_free(docs), text)
     for kind in KINDS:
         found = found.withColumn(f"_e_{kind}", _ends(F.col(f"_h_{kind}"), F.col(f"_p_{kind}")))
 

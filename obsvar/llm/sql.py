@@ -215,12 +215,12 @@ chain as (select h as a, substr(h, instr(h, '.') + 1) as b from hosts where len(
         union select b, substr(b, instr(b, '.') + 1) from chain where len(string_split(b, '.')) > 2),
 edges as (select a, b, sum(w) as w from (select * from links union all select a, b, 1.0::double from chain
         union all select b, a, 1.0::double from chain) group by a, b),
-steps as (select a, b, sum(t) as t, sum(d) as d from (
+steps as materialized (select a, b, sum(t) as t, sum(d) as d from (
         select a, b, w / sum(w) over (partition by a) as t, 0.0::double as d from edges union all
         select b, a, 0.0::double, w / sum(w) over (partition by b) from edges) group by a, b),
 seen as (select host, count(*) filter (verdict = 'allow') as good, count(*) filter (verdict = 'block') as bad
         from ruled where host <> '' and verdict is not null group by host),
-r0 as (select host, good / greatest(1, sum(good) over ())::double as trust, bad / greatest(1, sum(bad) over ())::double as distrust from seen),
+r0 as materialized (select host, good / greatest(1, sum(good) over ())::double as trust, bad / greatest(1, sum(bad) over ())::double as distrust from seen),
 {", ".join(lines)}
 select page_id, ruled.host, path, rule, coalesce(verdict, case when round(distrust - trust, 12) > 0 then 'block' else 'allow' end) as verdict
 from ruled left join r{urlgraph.ROUNDS} r on ruled.host = r.host

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from obsvar.llm import decontaminate, jaccard, shards
 from obsvar.llm import mixing as mixes
 from obsvar.llm import toxicity as toxic
+from obsvar.llm.ranges import fresh
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,10 +17,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies (five words, 0.8) the document with the smallest id stays."""
+    """Of every group of near copies (five words, 0.8) the document with the smallest id stays.
+
+    Rows that share an id stay or go together; rows without an id stay.
+    """
     groups = jaccard.similar_groups(docs, words=5, percent=80)
-    gone = groups.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = fresh("_gone", docs)
+    gone = groups.filter("component_id < doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,15 +8,20 @@ distrust exceeds its trust; pages without a rule get their host's verdict.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsvar.llm.ranges import fresh
 from obsvar.session import materialise
 
-DAMPING, ROUNDS, CUT_EVERY = 0.85, 12, 4
+DAMPING, CUT_EVERY = 0.85, 4
+#: What ranks may lack, summed over all hosts: each round leaves at most ``DAMPING`` of what was lacking.
+TOLERANCE = 1e-4
+ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
 #: Hosts up to this number are broadcast to the pages (some 60 bytes each); more meet in a shuffle.
 BROADCAST_HOSTS = 100_000
 #: Absolute and protocol-relative targets of links.
@@ -83,7 +88,7 @@ def host_edges(pages: DataFrame, html: str = "html", host: str = "host") -> Data
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) after so many rounds; ``seeds`` has the two starting shares by host.
+    """(host, trust, distrust) after so many rounds, enough for ``TOLERANCE``; ``seeds`` has the two starting shares by host.
 
     A host passes on its trust by the weights of its links, and its distrust by the weights of the
     links that lead to it. What hosts without such links hold ends there. Ranks are rounded to 15
@@ -113,14 +118,16 @@ def judged(pages: DataFrame, rules: Sequence[Rule], url: str = "url", html: str
     """``pages`` without ``html``, with host, path, rule and verdict (allow or block).
 
     A null url, or one without ``://``, has no host: no rule fits and nothing speaks against it, so
-    it is allowed, like a host that no walk reaches. Repeated pages count as often as they are
-    there. A null html has no links. Columns with the names of the new ones are replaced. Without
-    allowed or without blocked pages that side has no seeds and stays zero.
+    it is allowed, like a host that no walk reaches, and one whose trust and distrust are equal.
+    Repeated pages count as often as they are there. A null html has no links. Columns with the
+    names of the new ones are replaced, all others stay. Without allowed or without blocked pages
+    that side has no seeds and stays zero.
     """
     new = ("host", "path", "rule", "verdict")
     parts = pages.drop(*new).withColumn("host", host_of(url)).withColumn("path", path_of(url))
-    ruled = parts.withColumn("_rule", first_rule(rules))
-    narrow = ruled.select("host", F.col("_rule.verdict").alias("verdict"))
+    found, gone = fresh("_rule", parts), fresh("_blocked", parts)
+    ruled = parts.withColumn(found, first_rule(rules))
+    narrow = ruled.select("host", F.col(f"{found}.verdict").alias("verdict"))
     count = narrow.filter("host <> '' and verdict is not null").groupBy("host").agg(
         F.count_if(F.col("verdict") == "allow").alias("good"), F.count_if(F.col("verdict") == "block").alias("bad")
     )
@@ -128,8 +135,9 @@ def judged(pages: DataFrame, rules: Sequence[Rule], url: str = "url", html: str
     good, bad = count.agg(F.sum("good"), F.sum("bad")).first()
     seeds = count.select("host", (F.col("good") / float(good or 1)).alias("trust"), (F.col("bad") / float(bad or 1)).alias("distrust"))
     ranks = propagate(host_edges(parts.select("host", html), html), seeds)
-    blocked = materialise(ranks.filter("round(distrust - trust, 12) > 0").select(F.col("host").alias("_blocked")))
+    blocked = materialise(ranks.filter("round(distrust - trust, 12) > 0").select(F.col("host").alias(gone)))
     small = F.broadcast if blocked.count() <= BROADCAST_HOSTS else (lambda df: df)
-    joined = ruled.drop(html).join(small(blocked), F.col("host") == F.col("_blocked"), "left")
-    own = F.when(F.col("_blocked").isNotNull(), "block").otherwise("allow")
-    return joined.withColumn("rule", F.col("_rule.rule")).withColumn("verdict", F.coalesce(F.col("_rule.verdict"), own)).drop("_rule", "_blocked")
+    joined = ruled.drop(html).join(small(blocked), F.col("host") == F.col(gone), "left")
+    own = F.when(F.col(gone).isNotNull(), "block").otherwise("allow")
+    verdict = F.coalesce(F.col(f"{found}.verdict"), own)
+    return joined.withColumn("rule", F.col(f"{found}.rule")).withColumn("verdict", verdict).drop(found, gone)
