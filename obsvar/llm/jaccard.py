@@ -90,7 +90,19 @@ def _compared(docs: DataFrame, classes: DataFrame, shared: DataFrame, percent: i
     return links
 
 
-def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFrame:
+def _postings(classes: DataFrame) -> tuple[DataFrame, str]:
+    """(token, node, mid, at) of the prefix tokens that several nodes have; ``at`` packs size and place. The table's path.
+
+    Most tokens stand in one prefix alone: a count by token is all that is shuffled of those. The
+    others are merged whatever their number, as no broadcast of them would do for a large corpus.
+    """
+    held = classes.select("node", "mid", "n", F.posexplode("prefix").alias("pos", "token"))
+    common = held.groupBy("token").agg(F.count("*").alias("of")).filter("of > 1").select("token")
+    packed = held.select("token", "node", "mid", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("pos")).alias("at"))
+    return written(packed.join(common.hint("merge"), "token", "left_semi"), "jaccard-postings")
+
+
+def _links(docs: DataFrame, classes: DataFrame, postings: DataFrame, postings_at: str, percent: int, reader) -> DataFrame:
     """Edges (a, b) between nodes that connect all nodes which a chain of similar pairs connects.
 
     First every posting list is compared with its most typical member alone, which is linear. What
@@ -99,12 +111,6 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, reader) -> DataFra
     Pairs with one label are connected already and need no comparison.
     """
     spark = docs.sparkSession
-    held = classes.select("node", "mid", "n", F.posexplode("prefix").alias("pos", "token"))
-    # most tokens stand in one prefix alone: a count by token is all that is shuffled of those;
-    # merged whatever their number, as a broadcast of common tokens would not do for a large corpus
-    common = held.groupBy("token").agg(F.count("*").alias("of")).filter("of > 1").select("token")
-    packed = held.select("token", "node", "mid", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("pos")).alias("at"))
-    postings, postings_at = written(packed.join(common.hint("merge"), "token", "left_semi"), "jaccard-postings")
     n, pos = F.shiftright("at", 32).cast("int").alias("n"), F.col("at").bitwiseAND((1 << 32) - 1).cast("int").alias("pos")
     postings = postings.select("token", "node", "mid", n, pos)
     lists = (
@@ -176,15 +182,21 @@ def similar_groups(
     rows = small_batches(docs).select(F.col(id).alias("id"), F.col(text).alias("text"))
     levels = frequency_levels(rows, "text", words)
     signed = rows.select("id", signatures(words, percent, levels, AGREE)(F.col("text")).alias("s")).select("id", "s.*")
-    signed, _ = written(signed, "jaccard-signatures")
+    signed, signed_at = written(signed, "jaccard-signatures")
     classes = (
         signed.filter("n > 0")
         .groupBy("f1", "f2", "n")
         .agg(F.min("id").alias("rep"), F.first("mid").alias("mid"), F.first("prefix").alias("prefix"))
         .withColumn("node", F.coalesce("rep", "f1"))
     )
-    classes, _ = written(classes, "jaccard-classes")
-    links = _links(rows, classes, percent, lambda wanted: token_sets(words, percent, levels, wanted))
+    classes, classes_at = written(classes, "jaccard-classes")
+    # prefixes are stored as long as they are needed: once signed, and until the postings are made
+    signed, _ = written(signed.select("id", "n", "f1", "f2"), "jaccard-prints")
+    discard(docs.sparkSession, signed_at)
+    postings, postings_at = _postings(classes)
+    classes, _ = written(classes.select("f1", "f2", "n", "node", "rep"), "jaccard-nodes")
+    discard(docs.sparkSession, classes_at)
+    links = _links(rows, classes, postings, postings_at, percent, lambda wanted: token_sets(words, percent, levels, wanted))
     names = classes.select("f1", "f2", "n", "node", "rep")
     labels = components(links)
     smallest = labels.join(names.select("node", "rep"), "node").groupBy("label").agg(F.min("rep").alias("least"))
