@@ -7,7 +7,7 @@ with joins, positions come from global windows, and so on.
 from __future__ import annotations
 
 from obsvar.plans.registered import GENE_SETS
-from obsvar.sources.star import FLAG_MEMBERS, SLICE_WIDTHS
+from obsvar.sources.star import FLAG_MEMBERS, REST, SLICE_WIDTHS
 
 OBS = """obs as (select s_suppkey as obs_idx, s_name as _index, n_name as cell_type, r_name as batch,
     s_acctbal as total, s_acctbal > 5000 as rich
@@ -248,16 +248,20 @@ def _all_obs(metrics: bool = False) -> str:
     return " union all ".join(_member_obs(f, metrics) for f, _ in MEMBERS)
 
 
+def _own(low: int, high: int) -> str:
+    return f"case when p_size between {low} and {high} then p_size else {REST} end"
+
+
 FLAG_X = "x as (" + " union all ".join(
-    f"""select 'flag_{f}' as _file_name, l_suppkey as obs_idx, p_size as var_idx, sum(l_quantity) as value,
+    f"""select 'flag_{f}' as _file_name, l_suppkey as obs_idx, {_own(lo, hi)} as var_idx, sum(l_quantity) as value,
     cast(count(*) as integer) as n from lineitem join part on l_partkey = p_partkey
-    where l_returnflag = '{f}' and p_size between {lo} and {hi} group by all"""
+    where l_returnflag = '{f}' group by all"""
     for f, (lo, hi, _) in MEMBERS
 ) + ")"
 FLAG_OBS = "obs as (" + " union all ".join(
     f"select 'flag_{f}' as _file_name, s_suppkey as obs_idx from supplier" for f, _ in MEMBERS
 ) + ")"
-COMMON = list(range(max(lo for _, (lo, _, _) in MEMBERS), min(hi for _, (_, hi, _) in MEMBERS) + 1))
+COMMON = list(range(max(lo for _, (lo, _, _) in MEMBERS), min(hi for _, (_, hi, _) in MEMBERS) + 1)) + [REST]
 FILE_KEYS = ("_file_name", "obs_idx")
 
 
@@ -268,7 +272,7 @@ def _flag_wide(value: str, cast: str) -> str:
 
 def _flag_union(sizes: list[int]) -> str:
     def having(size: int) -> str:
-        return ", ".join(f"'flag_{f}'" for f, (lo, hi, _) in MEMBERS if lo <= size <= hi)
+        return ", ".join(f"'flag_{f}'" for f, (lo, hi, _) in MEMBERS if lo <= size <= hi or size == REST)
 
     columns = ", ".join(
         f"""case when o._file_name in ({having(s)}) then
@@ -281,10 +285,10 @@ def _flag_union(sizes: list[int]) -> str:
 
 def _flag_vars(select: str) -> str:
     return " union all ".join(
-        f"""select 'flag_{f}' as _file_name, cast(p_size - {lo} as bigint) as var_idx, {select.format(
-            size='p_size', flag=f, price="round(cast(sum(cast(p_retailprice as decimal(18,2))) as double), 6)",
+        f"""select 'flag_{f}' as _file_name, cast(if(sz = {REST}, {hi - lo + 1}, sz - {lo}) as bigint) as var_idx, {select.format(
+            size='sz', index=f'if(sz = {REST}, {hi - lo + 1}, sz - {lo})', flag=f, price="round(cast(sum(cast(p_retailprice as decimal(18,2))) as double), 6)",
             shown=1 if f == 'A' else 0, width={'A': 1, 'N': 2, 'R': 3}[f])}
-        from part where p_size between {lo} and {hi} group by p_size"""
+        from (select *, {_own(lo, hi)} as sz from part) group by sz"""
         for f, (lo, hi, _) in MEMBERS
     )
 
@@ -300,14 +304,14 @@ SQL |= {
     ),
     "harmonize_varm": _flag_vars(
         "cast(count(*) as double) as stats_0, case when {width} > 1 then {price} end as stats_1, "
-        "case when {width} > 2 then cast(min({size}) - 21 as double) end as stats_2"
+        "case when {width} > 2 then cast(min({index}) as double) end as stats_2"
     ),
     "harmonize_x_intersection": f"with {FLAG_X}, {FLAG_OBS} " + _flag_wide("value", "double"),
     "harmonize_layer": f"with {FLAG_X}, {FLAG_OBS} " + _flag_wide("n", "integer"),
-    "harmonize_x_union": _flag_union(list(range(1, 51))),
+    "harmonize_x_union": _flag_union([*range(1, 51), REST]),
     "project_genes_multi": _flag_union([5, 25, 45]),
     "harmonize_long": f"""with {FLAG_X} select _file_name, obs_idx, printf('SIZE_%02d', var_idx) as var_name, value
-      from x where var_idx between {COMMON[0]} and {COMMON[-1]}""",
+      from x where var_idx in ({', '.join(map(str, COMMON))})""",
     "harmonize_obsm_min": " union all ".join(
         f"select '{n}' as _file_name, vec_id as obs_idx, "
         + ", ".join(_r(f"embedding[{i + 1}]", f'"X_pca_{i}"') for i in range(min(SLICE_WIDTHS.values())))
@@ -334,13 +338,11 @@ SQL |= {
     "file_composition": f"""select _file_name, cell_type, count(*) as n_cells from ({_all_obs()}) group by all""",
     "cohort_counts": " union all ".join(
         f"""select 'flag_{f}' as _file_name, (select count(*) from supplier) as n_obs,
-        (select count(distinct p_size) from part where p_size between {lo} and {hi}) as n_vars"""
+        (select count(distinct {_own(lo, hi)}) from part) as n_vars"""
         for f, (lo, hi, _) in MEMBERS
     ),
     "cross_file_expr": f"""with {FLAG_X}, n as (select count(*) as n from supplier),
-      grid as (select distinct f as _file_name, p_size as var_idx from part,
-        unnest([{', '.join(f"'flag_{f}'" for f, _ in MEMBERS)}]) as u(f)
-        where p_size between {COMMON[0]} and {COMMON[-1]})
+      grid as (select f as _file_name, i as var_idx from unnest([{', '.join(f"'flag_{f}'" for f, _ in MEMBERS)}]) as u(f), unnest({COMMON}) as c(i))
       select g._file_name, printf('SIZE_%02d', g.var_idx) as var_name,
         round(coalesce(sum(value), 0) / max(n.n), 6) as mean_expr
       from n, grid g left join x on x._file_name = g._file_name and x.var_idx = g.var_idx group by all""",

@@ -4,7 +4,7 @@
 ``panel``       orders x brands; few variables and many observations, for wide views
 ``sized``       suppliers x part sizes, with a raw section on the full size axis
 ``embedding``   vectors with labels
-``by_flag``     a collection with one member per return flag and overlapping size axes
+``by_flag``     a collection with one member per return flag, overlapping size axes and one variable for other sizes
 ``slices``      a collection whose members hold vectors of different widths
 ``metadata``    one nested metadata object per event type
 """
@@ -28,7 +28,9 @@ FLAG_MEMBERS = {
 RAW_SIZES, MAIN_SIZES = 50, 25
 # The types in the events table.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-SLICE_WIDTHS = {"slice_1": 11, "slice_2": 12, "slice_3": 13}
+SLICE_WIDTHS = {"slice_1": 62, "slice_2": 63, "slice_3": 64}  # the last holds whole vectors
+#: The size that stands for all that are not a member's own.
+REST = 99
 
 
 class Tables:
@@ -155,21 +157,29 @@ def panel(spark: SparkSession, folder: str) -> Dataset:
     )
 
 
-def _size_var(part: DataFrame, low: int, high: int) -> DataFrame:
+def _own_size(low: int, high: int, rest: bool) -> tuple[Column, Column]:
+    """A part's size and its variable on the axis from ``low`` to ``high``; ``rest`` keeps all other sizes as one."""
+    inside = F.col("p_size").between(low, high)
+    size = F.when(inside, F.col("p_size"))
+    index = F.when(inside, F.col("p_size") - low)
+    if rest:
+        size, index = size.otherwise(REST), index.otherwise(high - low + 1)
+    return size, index.cast("bigint")
+
+
+def _size_var(part: DataFrame, low: int, high: int, rest: bool = False) -> DataFrame:
+    size, index = _own_size(low, high, rest)
     return (
-        part.filter(F.col("p_size").between(low, high))
-        .groupBy((F.col("p_size") - low).cast("bigint").alias("var_idx"), "p_size")
+        part.groupBy(index.alias("var_idx"), size.alias("size"))
         .agg(F.count("*").alias("n_parts"), exact_sum("p_retailprice").alias("price"))
-        .select(
-            "var_idx", F.format_string("SIZE_%02d", "p_size").alias("_index"), "n_parts", "price"
-        )
+        .filter("size is not null")
+        .select("var_idx", F.format_string("SIZE_%02d", "size").alias("_index"), "n_parts", "price")
     )
 
 
-def _size_cells(lines: DataFrame, part: DataFrame, low: int, high: int):
-    sizes = part.filter(F.col("p_size").between(low, high)).select(
-        F.col("p_partkey").alias("l_partkey"), (F.col("p_size") - low).cast("bigint").alias("var_idx")
-    )
+def _size_cells(lines: DataFrame, part: DataFrame, low: int, high: int, rest: bool = False):
+    _, index = _own_size(low, high, rest)
+    sizes = part.select(F.col("p_partkey").alias("l_partkey"), index.alias("var_idx")).filter("var_idx is not null")
     return lines.join(sizes, "l_partkey").groupBy(F.col("l_suppkey").alias("obs_idx"), "var_idx")
 
 
@@ -234,8 +244,8 @@ def _flag_member(t: Tables, flag: str) -> Dataset:
             F.coalesce("metric", F.lit(0.0)).alias(metric),
         )
     )
-    by_cell = _size_cells(lines, t.part, low, high)
-    var = _size_var(t.part, low, high)
+    by_cell = _size_cells(lines, t.part, low, high, rest=True)
+    var = _size_var(t.part, low, high, rest=True)
     width = {"A": 1, "N": 2, "R": 3}[flag]
     stats = [F.col("n_parts").cast("double"), F.col("price"), F.col("var_idx").cast("double")][:width]
     return Dataset(
