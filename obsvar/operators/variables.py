@@ -127,8 +127,9 @@ def _numbered(rows: DataFrame, scope: Sequence[str], blocked: Sequence[str]) ->
     tail = F.regexp_extract("_key", "((?:_[1-9][0-9]{0,17})*)$", 1)
     rows = materialise(rows.withColumn("_depth", F.size(F.split(tail, "_")) - 1))
     keys = rows.groupBy(*at, "_depth").agg(F.min("var_idx").alias("_first"))
-    scopes = rows.select(*scope).distinct() if scope else rows.sparkSession.range(1).select()
-    lost = scopes.crossJoin(F.broadcast(rows.sparkSession.createDataFrame([(b,) for b in blocked], "_key string"))) if blocked else keys.select(*at).filter("false")
+    scopes = rows.select(*scope).distinct() if scope else rows.sparkSession.range(1)
+    names = F.array(*map(F.lit, blocked)).cast("array<string>")
+    lost = scopes.select(*scope, F.explode(names).alias("_key"))
     held = lost.withColumn("_first", F.lit(-1).cast("bigint"))
     done, deepest = [], rows.agg(F.max("_depth")).first()[0]
     for depth in range(deepest + 1):
