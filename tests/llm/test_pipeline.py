@@ -23,7 +23,7 @@ here = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not
 def test_registered():
     names = contract.queries()
     assert QUERIES.keys() <= names.keys() and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @here
