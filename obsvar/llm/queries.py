@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,6 +115,8 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
 
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Every call starts with an empty cache of its own, so that its work follows its input."""
+    import public_tokenizers  # a package of vocabulary files, which no other query needs
+
     docs = table(spark, folder, "documents").select("doc_id", "text")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     found = tokencounts.counted(docs, tokenizer, scratch_path(spark, "token-cache"))
