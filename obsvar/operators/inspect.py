@@ -77,6 +77,7 @@ def table_names(ds: Dataset) -> list[str]:
 
     Matrices need their axis tables: X and layers both of them, obsm and obsp obs, varm and varp var.
     """
+    # The names of views and their prefixes, in catalog order.
     names = [n for n, df in (("obs", ds.obs), ("var", ds.var)) if df is not None] + ["info"]
     both = ds.obs is not None and ds.var is not None
     if both and ds.x is not None:
@@ -110,6 +111,7 @@ def dataset_info(ds: Dataset) -> DataFrame:
     missing = F.lit("N/A")
     has_x, raw = ds.x is not None, ds.raw
     raw_x = raw is not None and raw.x is not None
+    # The names of properties, in their order.
     rows: list[tuple[str, Column | str | None]] = [
         ("file_path", ds.path),
         ("n_obs", as_text("n_obs") if ds.obs is not None else missing),
