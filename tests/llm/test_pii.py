@@ -1,5 +1,7 @@
 import math
+import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -100,3 +102,49 @@ def test_edges(spark):
     spans = {r.doc_id: pii_text for r, pii_text in ((r, r.base) for r in found.collect())}
     assert spans[1] == [] and len(spans[9]) == 4_000
     assert pii.protected(empty_docs(spark)).count() == 0
+
+
+def brute_terms(texts):
+    """Disclosure of every term by counting in dictionaries, as the module's formula says."""
+    texts, n_e, n_et, n_t = set(texts), Counter(), Counter(), Counter()
+    for text in texts:
+        n_t.update(set(re.split(r"[^a-z0-9]+", text.lower())) - {""})
+        spans = [s.split(":") for s in expected(text).split(",") if s]
+        for kind in {s[0] for s in spans}:
+            mine = [(int(a), int(b)) for k, a, b in spans if k == kind]
+            entities = {text[a:b].lower() for a, b in mine}
+            bare, last = [], 0
+            for a, b in mine:
+                bare += [text[last:a], " "]
+                last = b
+            terms = set(re.split(r"[^a-z0-9]+", ("".join(bare) + text[last:]).lower())) - {""}
+            n_e.update(entities)
+            n_et.update((e, t) for e in entities for t in terms)
+    found = {}
+    for (e, t), n in n_et.items():
+        if n >= pii.SUPPORT and n_e[e] >= pii.SUPPORT and n_t[t]:
+            degree = 1 + math.log(min(1, n / n_t[t])) / math.log(len(texts) / n_e[e])
+            if degree >= pii.GENERALISE:
+                found[t] = max(degree, found.get(t, 0))
+    return found
+
+
+def test_terms_equal_brute_force(spark):
+    draw = random.Random(5)
+    mails = [f"m{k}@corp{k % 3}.example" for k in range(6)] + ["10.0.0.7", "+1 743 555 3824"]
+    texts = []
+    for k in range(260):
+        words = prose(25, k, 900).split()
+        for e in draw.sample(range(8), draw.choice([0, 0, 0, 1, 2])):
+            words.insert(draw.randrange(len(words)), mails[e])
+            if draw.random() < 0.9:
+                words.insert(draw.randrange(len(words)), f"secret{e}")
+        if draw.random() < 0.02:
+            words.append(f"secret{draw.randrange(8)}")
+        texts.append(" ".join(words))
+    texts += texts[:40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.term: r.disclosure for r in pii.disclosing_terms(docs).collect()}
+    want = brute_terms(texts)
+    assert len(want) >= 5 and found.keys() == want.keys()
+    assert all(abs(found[t] - d) < 1e-9 for t, d in want.items())
