@@ -76,11 +76,13 @@ def overlaps(
         .groupBy("_iw")
         .agg(F.min("_item").alias("_item"))
         .withColumn("_key", F.xxhash64("_iw"))
+        .filter(F.size("_iw") > min(mask[-1] for mask in MASKS))  # with fewer words there is no seed
     )
     places = seeds(bench.select("_key", "_iw"), "_iw", "_ip")
     index = places.groupBy(F.col("_mask").alias("_m"), F.col("_seed").alias("_s")).agg(
         F.collect_list(F.struct("_key", "_ip")).alias("_at")
     )
+    # an item of n words has n - 4 seeds or more, so this bounds the words of all items as well
     small = F.broadcast if places.count() <= BROADCAST_SEEDS else (lambda df: df)
     rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"), F.xxhash64(F.col(text)).alias("_print"))
     words = rows.select("_id", "_print", tokens("_text").alias("_dw"))
@@ -89,8 +91,10 @@ def overlaps(
     )
     found = found.select("_id", "_print", "_dp", F.explode("_at").alias("_hit"))
     once = found.groupBy("_id", "_print", F.col("_hit._key").alias("_key"), (F.col("_dp") - F.col("_hit._ip")).alias("_shift")).count()
+    # the words of an item go to a text once, whatever the number of ways in which they may lie
+    once = once.groupBy("_id", "_print", "_key").agg(F.collect_list("_shift").alias("_shifts"))
     lines = once.join(small(bench), "_key").groupBy("_id", "_print")
-    lines = materialise(lines.agg(F.collect_list(F.struct("_item", "_shift", "_iw")).alias("_lines")))
+    lines = materialise(lines.agg(F.collect_list(F.struct("_item", "_iw", "_shifts")).alias("_lines")))
     few = F.broadcast if lines.count() <= BROADCAST_TEXTS else (lambda df: df)
 
     def alike(left: str, right: str) -> Column:
@@ -99,15 +103,14 @@ def overlaps(
     hit = rows.alias("r").join(few(lines.select("_id", "_print")).alias("h"), alike("r", "h"), "left_semi")
     hit = hit.select("_id", "_print", tokens("_text").alias("_dw")).alias("t").join(lines.alias("l"), alike("t", "l"))
 
-    def beside(line: Column) -> Column:
-        low = F.greatest(F.lit(0), -line["_shift"])
-        span = F.least(F.size(line["_iw"]), F.size("_dw") - line["_shift"]) - low
-        same = F.zip_with(
-            F.slice(line["_iw"], low + 1, span), F.slice("_dw", low + line["_shift"] + 1, span), lambda a, b: (a == b).cast("int")
-        )
-        return F.struct(line["_item"].alias("_item"), line["_shift"].alias("_shift"), F.size(line["_iw"]).alias("_len"), same.alias("_same"))
+    def beside(item: Column, words: Column, shift: Column) -> Column:
+        low = F.greatest(F.lit(0), -shift)
+        span = F.least(F.size(words), F.size("_dw") - shift) - low
+        same = F.zip_with(F.slice(words, low + 1, span), F.slice("_dw", low + shift + 1, span), lambda a, b: (a == b).cast("int"))
+        return F.struct(item.alias("_item"), shift.alias("_shift"), F.size(words).alias("_len"), same.alias("_same"))
 
-    once = hit.select(F.col("t._id").alias("_id"), F.inline(F.transform("_lines", beside)))
+    every = F.flatten(F.transform("_lines", lambda l: F.transform(l["_shifts"], lambda s: beside(l["_item"], l["_iw"], s))))
+    once = hit.select(F.col("t._id").alias("_id"), F.inline(every))
     width = F.least(F.col("_len"), F.lit(WINDOW))
     best = F.array_max(
         F.transform(

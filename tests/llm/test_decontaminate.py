@@ -56,3 +56,12 @@ def test_edges(spark):
     assert decontaminate.decontaminated(docs, items.filter("false")).count() == docs.count()
     nulls = spark.createDataFrame([(None, inside(ITEMS[0][1], 1)), (None, "clean")], "doc_id long, text string")
     assert decontaminate.decontaminated(nulls, items).count() == 0  # rows that share an id share its verdict
+
+
+def test_many_shifts_of_repeated_words_and_many_short_items(spark):
+    items = [(k, f"{k} too short") for k in range(200)] + [(900, "again and " * 20), (901, "again and " * 21 + "so")]
+    docs = [(1, "well " + "again and " * 40), (2, "again so and"), (3, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert [(r.doc_id, r.n_items) for r in found] == [(1, 2)]
+    assert found[0].n_overlaps > 60 and found[0].best_same == 42
