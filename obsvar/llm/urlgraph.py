@@ -22,6 +22,8 @@ DAMPING, CUT_EVERY = 0.85, 4
 #: What ranks may lack, summed over all hosts: each round leaves at most ``DAMPING`` of what was lacking.
 TOLERANCE = 1e-4
 ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
+#: Steps of one partition of the walk: a small graph is not spread over as many tasks as the pages.
+STEPS = 200_000
 #: Hosts up to this number are broadcast to the pages (some 60 bytes each); more meet in a shuffle.
 BROADCAST_HOSTS = 100_000
 #: Absolute and protocol-relative targets of links.
@@ -100,7 +102,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     forward = edges.join(ahead, "a").select("a", "b", (F.col("w") / F.col("out")).alias("t"), zero.alias("d"))
     backward = edges.join(behind, "b").select(F.col("b").alias("a"), F.col("a").alias("b"), zero.alias("t"), (F.col("w") / F.col("in")).alias("d"))
     steps = materialise(forward.union(backward).groupBy("a", "b").agg(F.sum("t").alias("t"), F.sum("d").alias("d")))
-    seeds = materialise(seeds)
+    parts = max(1, -(-steps.count() // STEPS))
+    steps, seeds = steps.coalesce(parts), materialise(seeds.coalesce(parts))
     ranks = seeds
     start = seeds.select("host", (F.col("trust") * (1 - damping)).alias("trust"), (F.col("distrust") * (1 - damping)).alias("distrust"))
     for turn in range(rounds):
@@ -108,7 +111,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
             F.col("b").alias("host"), (damping * F.col("t") * F.col("trust")).alias("trust"), (damping * F.col("d") * F.col("distrust")).alias("distrust")
         )
         total = start.union(moved).groupBy("host")
-        ranks = total.agg(F.round(F.sum("trust"), 15).alias("trust"), F.round(F.sum("distrust"), 15).alias("distrust"))
+        ranks = total.agg(F.round(F.sum("trust"), 15).alias("trust"), F.round(F.sum("distrust"), 15).alias("distrust")).coalesce(parts)
         if turn % CUT_EVERY == CUT_EVERY - 1:
             ranks = materialise(ranks)
     return ranks
