@@ -16,6 +16,8 @@ from obsvar.llm import textblocks as tb
 
 #: Buckets of the frequency sketch: its size is fixed, whatever the corpus.
 SKETCH_BITS, SLICES = 20, 16
+#: Bytes of text that are hashed and sorted at once: some 60 bytes of arrays for each.
+BYTES = 1 << 18
 #: Values that tell the token orders and the two fingerprints apart.
 ORDER_SALTS = (0x0, 0x51ED270B9F3A4C65, 0x2545F4914F6CDD1D)
 PRINT_SALTS = (0x7F4A7C15F39CC060, 0x1B873593CC9E2D51)
@@ -101,7 +103,7 @@ def frequency_levels(docs: DataFrame, text: str, words: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for block in tb.blocks(batch.column(0)):
+            for block in tb.blocks(batch.column(0), BYTES):
                 hashes, _ = shingles(block, words)
                 seen += np.bincount((hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(seen))
         yield packed(dict(enumerate(seen.reshape(SLICES, -1))))
@@ -152,7 +154,7 @@ def signatures(words: int, percent: int, levels: np.ndarray, agree: int):
     def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             parts: list[list[pa.Array]] = []
-            for block in tb.blocks(texts):
+            for block in tb.blocks(texts, BYTES):
                 hashes, row, sizes = distinct_sets(block, words, levels)
                 level = levels[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
                 mid = _sums(level * np.uint64(1000), row, block.rows).astype(np.int64) // np.maximum(1, sizes)
@@ -175,7 +177,7 @@ def token_sets(words: int, percent: int, levels: np.ndarray, wanted: np.ndarray)
             slot = slots.to_numpy(zero_copy_only=False)
             take = (wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
             parts: list[list[pa.Array]] = []
-            for block in tb.blocks(texts.filter(pa.array(take))):
+            for block in tb.blocks(texts.filter(pa.array(take)), BYTES):
                 hashes, row, sizes = distinct_sets(block, words, levels)
                 lengths = prefix_sizes(sizes, percent)
                 others = []
