@@ -92,3 +92,32 @@ def test_files_that_would_be_lost(spark, tmp_path):
         files.read_annotation(spark, f"{tmp_path}/n.csv", "k int, v int").collect()
     with pytest.raises(Exception, match="header|schema"):
         files.read_annotation(spark, f"{tmp_path}/n.csv", "v int, k int").collect()
+
+
+def _some_cells(spark):
+    obs = spark.range(5).withColumnRenamed("id", "obs_idx")
+    var = spark.createDataFrame([(i, f"g{i % 9}") for i in range(10)], "var_idx bigint, _index string")
+    stored = [(0, 1, 5.0), (0, 1, 4.0), (0, 9, -2.0), (1, 4, 1.0), (3, 0, 7.0), (3, 3, 8.0), (9, 0, 7.0)]
+    return Dataset(obs=obs, var=var, x=spark.createDataFrame(stored, "obs_idx bigint, var_idx bigint, value double"))
+
+
+def test_sparse_vectors_hold_what_dense_ones_do(spark):
+    ds = _some_cells(spark)
+    dense = dict(rows(scans.scan_x_vector(ds)))
+    for o, size, indices, values in rows(scans.scan_x_sparse(ds)):
+        assert indices == sorted(indices)
+        stored = dict(zip(indices, values, strict=True))
+        assert [stored.get(i, 0.0) for i in range(size)] == dense.pop(o)
+    assert not dense
+    outside = Dataset(obs=ds.obs, var=ds.var, x=spark.createDataFrame([(0, 10, 1.0)], ds.x.schema))
+    with pytest.raises(Exception, match="outside the 10 variables"):
+        scans.scan_x_sparse(outside).select("size").collect()
+
+
+def test_dense_queries_make_no_row_or_plan_of_all_variables(spark, tmp_path):
+    """Work that grows with stored cells alone: a row of 50 million values would not fit."""
+    obs = spark.range(2).withColumnRenamed("id", "obs_idx")
+    var = spark.range(50_000_000).selectExpr("id as var_idx", "cast(id as string) as _index")
+    x = spark.createDataFrame([(0, 49_999_999, 2.0)], "obs_idx bigint, var_idx bigint, value double")
+    ds = Dataset(obs=obs, var=var, x=x)
+    assert rows(scans.scan_x_sparse(ds)) == [(0, 50_000_000, [49_999_999], [2.0]), (1, 50_000_000, [], [])]
