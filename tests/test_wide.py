@@ -5,6 +5,7 @@ import pytest
 from obsvar.model import Dataset, DatasetError
 from obsvar.operators import collection, matrix, scans
 from obsvar.plans import analysis
+from obsvar.plans.registered import QUERIES
 from obsvar.sources import files
 from obsvar.sources.store import create_views
 from tests.conftest import rows
@@ -114,6 +115,24 @@ def test_sparse_vectors_hold_what_dense_ones_do(spark):
         scans.scan_x_sparse(outside).select("size").collect()
 
 
+def test_blocks_hold_what_the_wide_view_does(spark):
+    ds = _some_cells(spark)
+    wide = scans.scan_x(ds)
+    labels, blocks = scans.scan_x_blocks(ds, width=4)
+    assert blocks.columns == ["obs_idx", "block", "c0", "c1", "c2", "c3"]
+    names = {(b, k): name for b, k, _, name in rows(labels)}
+    assert [names[divmod(i, 4)] for i in range(10)] == wide.columns[1:]
+    held = {(o, b): c for o, b, *c in rows(blocks)}
+    assert {o for o, b in held if b == 0} == set(range(5))
+    for o, *values in rows(wide):
+        shown = [x for b in range(3) for x in held.get((o, b), [0.0] * 4)][:10]
+        assert shown == values
+    assert held[0, 2] == [0.0, -2.0, None, None]
+    outside = Dataset(obs=ds.obs, var=ds.var, x=spark.createDataFrame([(0, 10, 1.0)], ds.x.schema))
+    with pytest.raises(Exception, match="outside the 10 variables"):
+        scans.scan_x_blocks(outside)[1].collect()
+
+
 def test_dense_queries_make_no_row_or_plan_of_all_variables(spark, tmp_path):
     """Work that grows with stored cells alone: a row of 50 million values would not fit."""
     obs = spark.range(2).withColumnRenamed("id", "obs_idx")
@@ -121,3 +140,5 @@ def test_dense_queries_make_no_row_or_plan_of_all_variables(spark, tmp_path):
     x = spark.createDataFrame([(0, 49_999_999, 2.0)], "obs_idx bigint, var_idx bigint, value double")
     ds = Dataset(obs=obs, var=var, x=x)
     assert rows(scans.scan_x_sparse(ds)) == [(0, 50_000_000, [49_999_999], [2.0]), (1, 50_000_000, [], [])]
+    plan = QUERIES["scan_x_wide_many"](spark, "/root/testdata/sf0.01")._jdf.queryExecution().analyzed().toString()
+    assert "G000100" not in plan
