@@ -303,6 +303,8 @@ def slotted(
 
 #: Slots in one word of a presence bitmap.
 WORD = 63
+#: Words of all members' bitmaps up to which they are broadcast, 8 MB; else the wide rows meet them in a shuffle.
+BROADCAST_WORDS = 1 << 20
 
 
 def presence_bitmaps(places: DataFrame, n_slots: int) -> DataFrame:
@@ -341,6 +343,8 @@ def harmonize_x(
     presence = presence_bitmaps(found.places, len(columns))
     zero = f"cast(0 as {cells.schema['value'].dataType.simpleString()})"
     has = "(shiftright(get(_has, {}), {}) & 1) = 1"
+    if len(col.members) * (len(columns) // WORD + 1) <= BROADCAST_WORDS:  # a row per member
+        presence = F.broadcast(presence)
     return wide.join(presence, FILE, "left").selectExpr(
         *keys,
         *[f"if({has.format(i // WORD, i % WORD)}, coalesce({quoted(n)}, {zero}), null) as {quoted(n)}" for i, n in columns],

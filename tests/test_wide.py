@@ -142,3 +142,15 @@ def test_dense_queries_make_no_row_or_plan_of_all_variables(spark, tmp_path):
     assert rows(scans.scan_x_sparse(ds)) == [(0, 50_000_000, [49_999_999], [2.0]), (1, 50_000_000, [], [])]
     plan = QUERIES["scan_x_wide_many"](spark, "/root/testdata/sf0.01")._jdf.queryExecution().analyzed().toString()
     assert "G000100" not in plan
+
+
+def test_wide_rows_are_dealt_out_by_their_values(spark, monkeypatch):
+    """As many tasks as rows times columns ask for, and cells in the shuffle, not rows of all columns."""
+    ds = _some_cells(spark)
+    want = rows(scans.scan_x(ds))
+    monkeypatch.setattr(scans, "TASK_VALUES", 5)
+    found = scans.scan_x(ds)
+    assert rows(found) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(obs_idx" in plan and ", 10), REPARTITION_BY_NUM" in plan
+    assert plan.index("partial_max") < plan.index("REPARTITION_BY_NUM")
