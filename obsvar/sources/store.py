@@ -25,6 +25,7 @@ from obsvar.operators.scans import (
     scan_uns, scan_var, scan_varm, scan_varp, scan_x, scan_x_long, vector_width,
 )
 from obsvar.operators.variables import detect_roles
+from obsvar.session import discard, written
 
 MANIFEST = "manifest"
 NAMED = ("layers", "obsm", "varm", "obsp", "varp")
@@ -50,14 +51,14 @@ def _folder(root: str, kind: str, name: str | None) -> str:
     return f"{root.rstrip('/')}/{kind}" + (f"/{quote(name, safe='')}" if name else "")
 
 
-#: Rows of a file and of one of its row groups: some 100 MB and 4 MB of stored cells.
-FILE_ROWS, GROUP_ROWS = 8_000_000, 250_000
+#: Rows of a file and of one of its row groups: some 25 MB and 4 MB of stored cells. A task sorts a file's rows.
+FILE_ROWS, GROUP_ROWS = 2_000_000, 250_000
 
 
 def save_dataset(ds: Dataset, path: str, file_rows: int = FILE_ROWS, group_rows: int = GROUP_ROWS) -> None:
     """Write every component; matrices sorted by variable, so variable filters skip row groups.
 
-    Each component is counted first, and cut into as many ranges as ``file_rows`` asks for: files
+    Each component is made once, into a scratch table; that is counted, and cut into as many ranges as ``file_rows`` asks for: files
     are neither tiny for a small component nor huge for a large one, however the session is set.
     ``group_rows`` bounds what a filter on one variable has to read. Observation numbers break the
     ties of the range sort: a variable with very many cells is spread over several files. The
@@ -68,8 +69,9 @@ def save_dataset(ds: Dataset, path: str, file_rows: int = FILE_ROWS, group_rows:
     for kind, name, df in _components(ds):
         spark = df.sparkSession
         keys = [k for k in CLUSTERING.get(kind, []) if k in df.columns]
-        rows = df
-        if keys:
+        rows, held = df, None
+        if keys:  # counted, sampled and sorted from a stored copy, so that it is made once
+            df, held = written(df, "component")
             files = max(1, -(-df.count() // file_rows))
             rows = df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
         sized = rows.write.mode("errorifexists").option("parquet.block.row.count.limit", group_rows)
@@ -80,6 +82,8 @@ def save_dataset(ds: Dataset, path: str, file_rows: int = FILE_ROWS, group_rows:
                 "width": vector_width(df) if "vec" in df.columns else None,
             }
         )
+        if held:
+            discard(spark, held)
     manifest = {
         "components": entries, "x_format": ds.x_format,
         "raw_x_format": ds.raw.x_format if ds.raw else None, "shape": ds.declared_shape,

@@ -112,3 +112,21 @@ def test_scratch_tables_go_and_other_paths_stay(spark, tmp_path):
     with pytest.raises(ValueError, match="not a scratch table"):
         discard(spark, str(tmp_path))
     assert tmp_path.exists()
+
+
+def test_components_are_made_once(spark, tmp_path):
+    """Counting, sampling and writing read a stored copy, which is gone afterwards."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    obs = spark.range(40).withColumnRenamed("id", "obs_idx").mapInArrow(seen, "obs_idx bigint")
+    var = spark.createDataFrame([(0, "g0")], "var_idx bigint, _index string")
+    x = spark.createDataFrame([(3, 0, 1.0)], "obs_idx bigint, var_idx bigint, value double")
+    store.save_dataset(Dataset(obs=obs, var=var, x=x), f"{tmp_path}/d", file_rows=10)
+    assert made.value == 40
+    assert spark.read.parquet(f"{tmp_path}/d/obs").count() == 40
+    assert len(list((tmp_path / "d" / "obs").glob("*.parquet"))) == 4
